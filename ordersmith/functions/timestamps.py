@@ -66,7 +66,7 @@ def utc_iso(ts_ntz=None) -> Column:
     """
     if ts_ntz is None:
         ts_ntz = F.convert_timezone(
-            F.lit("UTC"), F.current_timestamp().cast("timestamp_ntz"))
+            None, F.lit("UTC"), F.current_timestamp().cast("timestamp_ntz"))
     return F.concat(F.date_format(_col(ts_ntz), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
 
 
