@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.json import parse_value
+from ..functions.json import parse_messages
 from ..functions.numeric import to_money
 from ..functions.text import normalize_city, normalize_state
 from ..functions.timestamps import parse_ts
@@ -32,8 +32,7 @@ def parse_orders(envelope: DataFrame) -> DataFrame:
     """Order messages -> typed rows with ``event_time`` and
     ``offset`` kept for the dedup. Bad JSON, a missing or empty ``order_id``,
     and a missing ``customer_id`` are dropped."""
-    parsed = envelope.select(parse_value("value", ORDER_EVENT).alias("data"), "offset") \
-        .select("data.*", "offset")
+    parsed = parse_messages(envelope, ORDER_EVENT)
     return parsed.filter(_present("order_id") & F.col("customer_id").isNotNull()).select(
         "order_id", "customer_id", "order_status",
         *[parse_ts(c).alias(c) for c in ORDER_TS_COLUMNS],
@@ -81,8 +80,7 @@ def clean_payments(envelope: DataFrame, with_ingest_time: bool = True,
                    keep_event_time: bool = False) -> DataFrame:
     """B2: parse, drop rows without ``order_id``, value as double. No dedup:
     the upsert into staging reduces repeats."""
-    parsed = envelope.select(parse_value("value", PAYMENT_EVENT).alias("data"), "offset") \
-        .select("data.*", "offset")
+    parsed = parse_messages(envelope, PAYMENT_EVENT)
     cols = ["order_id", "payment_sequential", "payment_type", "payment_installments",
             F.col("payment_value").cast("double").alias("payment_value")]
     if keep_event_time:

@@ -44,44 +44,56 @@ def _money(df: DataFrame, *cols: str) -> DataFrame:
 
 
 class Marts:
-    """The model graph over the test tables, built lazily once per query."""
+    """The model graph over the test tables. Every node is built once per
+    instance, so a query using several marts shares their sub-plans (and
+    Spark reuses the shared exchanges)."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.t = tb.Tables(spark, sf_dir)
+        self._memo: dict[str, DataFrame] = {}
+
+    def _get(self, name, build):
+        if name not in self._memo:
+            self._memo[name] = build()
+        return self._memo[name]
 
     def raw_orders(self):
-        return tb.raw_orders(self.t)
+        return self._get("raw_orders", lambda: tb.raw_orders(self.t))
 
     def raw_payments(self):
-        return tb.raw_payments(self.t)
+        return self._get("raw_payments", lambda: tb.raw_payments(self.t))
 
     def raw_order_items(self):
-        return tb.raw_order_items(self.t)
+        return self._get("raw_order_items", lambda: tb.raw_order_items(self.t))
 
     def raw_sellers(self):
-        return tb.raw_sellers(self.t)
+        return self._get("raw_sellers", lambda: tb.raw_sellers(self.t))
 
     def stg_orders(self):
-        return models.stg_orders(self.raw_orders())
+        return self._get("stg_orders", lambda: models.stg_orders(self.raw_orders()))
 
     def stg_customers(self):
-        return models.stg_customers(self.raw_orders(), with_clock=False)
+        return self._get("stg_customers",
+                         lambda: models.stg_customers(self.raw_orders(), with_clock=False))
 
     def stg_sellers(self):
-        return models.stg_sellers(self.raw_sellers(), with_clock=False)
+        return self._get("stg_sellers",
+                         lambda: models.stg_sellers(self.raw_sellers(), with_clock=False))
 
     def dim_customers(self):
-        return models.dim_customers(self.stg_customers())
+        return self._get("dim_customers", lambda: models.dim_customers(self.stg_customers()))
 
     def dim_sellers(self):
-        return models.dim_sellers(self.stg_sellers(), self.raw_order_items(), self.raw_payments())
+        return self._get("dim_sellers", lambda: models.dim_sellers(
+            self.stg_sellers(), self.raw_order_items(), self.raw_payments()))
 
     def fact_orders(self):
-        return models.fact_orders(self.stg_orders(), self.stg_sellers(), self.raw_order_items(),
-                                  self.raw_payments(), with_clock=False)
+        return self._get("fact_orders", lambda: models.fact_orders(
+            self.stg_orders(), self.stg_sellers(), self.raw_order_items(), self.raw_payments(),
+            with_clock=False))
 
     def agg_daily_gmv(self):
-        return models.agg_daily_gmv(self.fact_orders())
+        return self._get("agg_daily_gmv", lambda: models.agg_daily_gmv(self.fact_orders()))
 
 
 # --- ingest ---------------------------------------------------------------

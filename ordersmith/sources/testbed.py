@@ -44,31 +44,85 @@ RETURNFLAG_PAYMENT_TYPE = {"A": "credit_card", "N": "boleto", "R": "voucher"}
 NATION_MAX_ROWS = 1000
 
 
+# Declared schemas of the test tables (read without a schema-inference job).
+TABLE_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+              "value double, props string",
+}
+
+
 class Tables:
-    """Lazy parquet readers for one scale-factor folder."""
+    """Lazy parquet readers for one scale-factor folder; each table's reader
+    (file listing, footer schema) is created once per instance."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, spread: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self.spread = spread
+        self._frames: dict[str, DataFrame] = {}
+        self._nations: DataFrame | None = None
 
     def __call__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._frames:
+            reader = self.spark.read
+            if name in TABLE_SCHEMAS:
+                reader = reader.schema(TABLE_SCHEMAS[name])
+            df = reader.parquet(f"{self.sf_dir}/{name}.parquet")
+            self._frames[name] = self._spread(df) if self.spread else df
+        return self._frames[name]
+
+    def _spread(self, df: DataFrame) -> DataFrame:
+        """The test files hold one Parquet row group each, so a scan is a
+        single task however large the table. When a scan has fewer splits
+        than the cluster has cores it is spread round-robin; a real input of
+        many files/row groups is left alone (no extra shuffle)."""
+        cores = self.spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores and self._rows_hint(df) > 50_000:
+            return df.repartition(cores)
+        return df
+
+    @staticmethod
+    def _rows_hint(df: DataFrame) -> int:
+        # Parquet footers give the row count without reading data.
+        try:
+            import pyarrow.parquet as pq
+            files = df.inputFiles()
+            return sum(pq.ParquetFile(f.replace("file:", "", 1)).metadata.num_rows
+                       for f in files if f.startswith("file:"))
+        except Exception:
+            return 0
+
+    def nations(self) -> DataFrame:
+        """(n_nationkey, n_name), broadcast once its size bound is proven."""
+        if self._nations is None:
+            self._nations = bounded_broadcast(self("nation").select("n_nationkey", "n_name"),
+                                              NATION_MAX_ROWS)
+        return self._nations
 
 
 def _state(nationkey: Column) -> Column:
-    return F.try_element_at(F.array(*[F.lit(s) for s in NATION_STATES]),
-                            nationkey.cast("int") + 1)
+    return F.try_element_at(F.lit(NATION_STATES), nationkey.cast("int") + 1)
 
 
 def _nations(t: Tables) -> DataFrame:
-    return bounded_broadcast(t("nation").select("n_nationkey", "n_name"), NATION_MAX_ROWS)
+    return t.nations()
 
 
 def order_rows(t: Tables) -> DataFrame:
     """Orders with typed timestamps (no customer city/state yet)."""
     o = t("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     k = F.col("o_orderkey")
-    pending = F.try_element_at(F.array(*[F.lit(s) for s in PENDING_STATUS_BY_MOD7]),
+    pending = F.try_element_at(F.lit(PENDING_STATUS_BY_MOD7),
                                F.pmod(k, F.lit(7)).cast("int") + 1)
     status = (F.when(F.col("o_orderstatus") == "F", "delivered")
               .when(F.col("o_orderstatus") == "O", "shipped").otherwise(pending))
