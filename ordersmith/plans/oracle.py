@@ -467,6 +467,27 @@ FROM fact_orders WHERE {dates}"""
     q["quality_on_sample"] = with_ctes("fact_orders") + f""",
 sample AS (SELECT * FROM fact_orders ORDER BY order_id LIMIT {R.SAMPLE_ROWS})
 """ + _suite_sql("sample", "fact_orders_sample", suites.fact_orders_suite())
+    both = (_suite_sql("fact_orders", "fact_orders", suites.fact_orders_suite()) + "\nUNION ALL\n"
+            + _suite_sql("dim_customers", "dim_customers", suites.dim_customers_suite()))
+    q["quality_summary"] = with_ctes("fact_orders", "dim_customers") + f""",
+rep AS ({both})
+SELECT suite, bool_and(success) AS success,
+  CAST(sum(CASE WHEN success THEN 1 ELSE 0 END) AS BIGINT) AS passed,
+  CAST(count(*) AS BIGINT) AS evaluated
+FROM rep GROUP BY suite"""
+    q["constraints_raw_payments"] = with_ctes("raw_payments") + """,
+keyed AS (SELECT *, order_id || '|' || CAST(payment_sequential AS VARCHAR) AS "__pk"
+          FROM raw_payments)
+""" + _suite_sql("keyed", "raw_payments", [
+        suites.not_null("order_id"), suites.not_null("payment_sequential"),
+        suites.unique("__pk")]).replace('"__pk"', '"__pk"')
+    q["customer_lookup"] = with_ctes("cust") + f"""
+SELECT customer_id, customer_city, customer_state FROM (
+  SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY customer_city ASC NULLS LAST,
+    customer_state ASC NULLS LAST) AS rn
+  FROM (SELECT customer_id, {_initcap('trim(customer_city)')} AS customer_city,
+          upper(trim(customer_state)) AS customer_state
+        FROM cust WHERE customer_id IS NOT NULL)) WHERE rn = 1"""
     return q
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.timestamps import utc_iso
 from ..operators.dedup import first_on_tie, keep_first, latest_per_key
-from ..operators.quality import run_model_tests, run_suite
+from ..operators.quality import enforce, run_model_tests, run_suite, summarize
 from ..sources import encoders
 from ..sources import testbed as tb
 from . import dashboard, ingest, models, suites
@@ -330,6 +330,26 @@ def q_quality_on_sample(spark, sf_dir):
     return run_suite(sample, "fact_orders_sample", suites.fact_orders_suite())
 
 
+def q_quality_summary(spark, sf_dir):
+    """Q9: per suite, success and passed/evaluated checks."""
+    m = Marts(spark, sf_dir)
+    rep = run_suite(m.fact_orders(), "fact_orders", suites.fact_orders_suite()).unionByName(
+        run_suite(m.dim_customers(), "dim_customers", suites.dim_customers_suite()))
+    return summarize(rep)
+
+
+def q_constraints_raw_payments(spark, sf_dir):
+    """Declared NOT NULL and primary key of the payments staging table."""
+    return enforce(Marts(spark, sf_dir).raw_payments(), ["order_id", "payment_sequential"],
+                   ["order_id", "payment_sequential"], "raw_payments")
+
+
+def q_customer_lookup(spark, sf_dir):
+    """The customer file as a lookup, one normalised row per id."""
+    t = tb.Tables(spark, sf_dir)
+    return ingest.customer_lookup(tb.customer_lookup(t), normalize=True)
+
+
 QUERIES: dict[str, Query] = {
     "clean_orders": q_clean_orders,
     "clean_payments": q_clean_payments,
@@ -366,5 +386,8 @@ QUERIES: dict[str, Query] = {
     "quality_dim_customers": q_quality_dim_customers,
     "model_tests": q_model_tests,
     "quality_on_sample": q_quality_on_sample,
+    "quality_summary": q_quality_summary,
+    "constraints_raw_payments": q_constraints_raw_payments,
+    "customer_lookup": q_customer_lookup,
 }
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ..operators.quality import (
+from ..operators.quality import (  # noqa: F401  (re-exported for oracle text)
     ModelTest, between, in_set, not_null, row_count_between, unique,
 )
 from ..schemas import BRAZILIAN_STATES, VALID_ORDER_STATUSES

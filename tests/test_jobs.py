@@ -4,7 +4,7 @@ import os
 import pytest
 
 from ordersmith.operators.quality import QualityError
-from ordersmith.plans import pipeline
+from ordersmith.plans import jobs as pipeline
 from ordersmith.sources.files import read_csv
 from ordersmith.schemas import SELLERS_CSV
 
