@@ -120,42 +120,61 @@ def _judge(chk: Check) -> Column:
     return F.struct(share.alias("share"), ok.alias("success"))
 
 
+def _grouped_pass(df: DataFrame, group_cols: list[str], aggs: list[Column]) -> DataFrame:
+    """One aggregation over ``df``: ``GROUPING SETS ((g1), (g2), ..., ())``.
+
+    Rows of the empty set carry the whole-table aggregates; rows of set
+    ``(g)`` carry per-value counts of ``g``. The table's plan is thus evaluated
+    once for every check on it (separate passes would each get a differently
+    pruned plan, which Spark cannot share). Partial aggregation runs before the
+    shuffle, so a value holding a third of all rows is reduced on the map side.
+    """
+    if not group_cols:
+        return df.groupBy().agg(*aggs, F.lit(0).alias("__gid"))
+    sets = [[g] for g in group_cols] + [[]]
+    return df.groupingSets(sets, *group_cols).agg(*aggs, F.grouping_id().alias("__gid"))
+
+
+def _gid_of(group_cols: list[str], col: str | None) -> int:
+    """grouping_id of the set ``(col)`` (``None``: the empty set)."""
+    k = len(group_cols)
+    full = (1 << k) - 1
+    if col is None:
+        return full
+    return full & ~(1 << (k - 1 - group_cols.index(col)))
+
+
 def run_suite(df: DataFrame, suite: str, checks: Sequence[Check]) -> DataFrame:
-    """Evaluate ``checks`` on ``df``; the report is a small DataFrame."""
-    parts: list[DataFrame] = []
+    """Evaluate ``checks`` on ``df`` in one pass; the report is a small DataFrame."""
+    group_cols = list(dict.fromkeys(c.column for c in checks if c.kind == "unique"))
     scalar = [(i, c) for i, c in enumerate(checks) if c.kind != "unique"]
-    if scalar:
-        aggs = [a for i, c in scalar for a in _scalar_aggs(c, i)]
-        one = df.agg(*aggs)
-        rows = F.array(*[F.struct(F.lit(i).alias("position"), F.col(f"e{i}").alias("evaluated"),
-                                  F.col(f"u{i}").alias("unexpected")) for i, _ in scalar])
-        parts.append(one.select(F.inline(rows)))
+    aggs = [F.count(F.lit(1)).alias("__n")] + [a for i, c in scalar for a in _scalar_aggs(c, i)]
+    g = _grouped_pass(df, group_cols, aggs)
+    whole = F.col("__gid") == _gid_of(group_cols, None)
+    second: list[Column] = []
+    for i, c in scalar:
+        second.append(F.coalesce(F.max(F.when(whole, F.col(f"e{i}"))), F.lit(0)).alias(f"e{i}"))
+        u = F.max(F.when(whole, F.col(f"u{i}")))
+        second.append((u if c.kind == "row_count" else F.coalesce(u, F.lit(0))).alias(f"u{i}"))
     for i, c in enumerate(checks):
         if c.kind != "unique":
             continue
-        counts = df.filter(F.col(c.column).isNotNull()).groupBy(c.column).agg(
-            F.count(F.lit(1)).alias("n"))
-        parts.append(counts.agg(
-            F.lit(i).alias("position"),
-            F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("evaluated"),
-            F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n")).otherwise(0)), F.lit(0))
-            .cast("bigint").alias("unexpected")))
-    merged = parts[0]
-    for p in parts[1:]:
-        merged = merged.unionByName(p)
-    meta = F.array(*[F.struct(F.lit(i).alias("p"), F.lit(c.name).alias("check"),
-                              F.lit(c.column).cast("string").alias("column"))
+        in_set = (F.col("__gid") == _gid_of(group_cols, c.column)) & F.col(c.column).isNotNull()
+        second.append(F.coalesce(F.sum(F.when(in_set, F.col("__n"))), F.lit(0)).alias(f"e{i}"))
+        second.append(F.coalesce(F.sum(F.when(in_set & (F.col("__n") > 1), F.col("__n"))),
+                                 F.lit(0)).alias(f"u{i}"))
+    one = g.agg(*second)
+    rows = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(c.name).alias("check"),
+                              F.lit(c.column).cast("string").alias("column"),
+                              F.col(f"e{i}").cast("bigint").alias("evaluated"),
+                              F.col(f"u{i}").cast("bigint").alias("unexpected"))
                      for i, c in enumerate(checks)])
+    out = one.select(F.inline(rows))
     judged = [F.when(F.col("position") == i, _judge(c)) for i, c in enumerate(checks)]
-    out = merged.select(
-        "position", "evaluated", "unexpected",
-        F.filter(meta, lambda m: m["p"] == F.col("position"))[0].alias("m"),
-        F.coalesce(*judged).alias("j"))
+    out = out.withColumn("j", F.coalesce(*judged))
     return out.select(
         F.lit(suite).alias("suite"), F.col("position").cast("int").alias("position"),
-        F.col("m.check").alias("check"), F.col("m.column").alias("column"),
-        F.col("evaluated").cast("bigint").alias("evaluated"),
-        F.col("unexpected").cast("bigint").alias("unexpected"),
+        "check", "column", "evaluated", "unexpected",
         F.col("j.share").alias("share"), F.col("j.success").alias("success"))
 
 
@@ -195,8 +214,7 @@ def run_model_tests(tables: dict[str, DataFrame], tests: Sequence[ModelTest]) ->
 
     ``not_null``: null rows; ``unique``: values present more than once;
     ``accepted_values``: distinct non-null values outside the list. One
-    aggregation per model for the first and last kind, one grouped pass per
-    ``unique`` test.
+    grouping-sets pass per model evaluates all of its tests.
     """
     parts: list[DataFrame] = []
     by_model: dict[str, list[tuple[int, ModelTest]]] = {}
@@ -204,37 +222,33 @@ def run_model_tests(tables: dict[str, DataFrame], tests: Sequence[ModelTest]) ->
         by_model.setdefault(t.model, []).append((i, t))
     for model, items in by_model.items():
         df = tables[model]
-        scalar = [(i, t) for i, t in items if t.test != "unique"]
-        if scalar:
-            aggs = []
-            for i, t in scalar:
-                c = F.col(t.column)
-                if t.test == "not_null":
-                    aggs.append(_count_if(c.isNull()).alias(f"f{i}"))
-                elif t.test == "accepted_values":
-                    aggs.append(F.countDistinct(F.when(~c.isin(*t.values), c)).alias(f"f{i}"))
-                else:
-                    raise ValueError(t.test)
-            one = df.agg(*aggs)
-            parts.append(one.select(F.inline(F.array(*[
-                F.struct(F.lit(i).alias("idx"), F.coalesce(F.col(f"f{i}"), F.lit(0))
-                         .cast("bigint").alias("failures")) for i, _ in scalar]))))
+        group_cols = list(dict.fromkeys(t.column for _, t in items if t.test != "not_null"))
+        aggs = [F.count(F.lit(1)).alias("__n")]
+        aggs += [_count_if(F.col(t.column).isNull()).alias(f"f{i}")
+                 for i, t in items if t.test == "not_null"]
+        g = _grouped_pass(df, group_cols, aggs)
+        second = []
         for i, t in items:
-            if t.test != "unique":
-                continue
-            dup = df.filter(F.col(t.column).isNotNull()).groupBy(t.column).count() \
-                .filter(F.col("count") > 1)
-            parts.append(dup.agg(F.lit(i).alias("idx"),
-                                 F.count(F.lit(1)).cast("bigint").alias("failures")))
+            c = F.col(t.column)
+            if t.test == "not_null":
+                whole = F.col("__gid") == _gid_of(group_cols, None)
+                f = F.coalesce(F.max(F.when(whole, F.col(f"f{i}"))), F.lit(0))
+            else:
+                mine = (F.col("__gid") == _gid_of(group_cols, t.column)) & c.isNotNull()
+                bad = (F.col("__n") > 1) if t.test == "unique" else ~c.isin(*t.values)
+                if t.test not in ("unique", "accepted_values"):
+                    raise ValueError(t.test)
+                f = F.count(F.when(mine & bad, F.lit(1)))
+            second.append(f.cast("bigint").alias(f"f{i}"))
+        one = g.agg(*second)
+        parts.append(one.select(F.inline(F.array(*[
+            F.struct(F.lit(i).alias("idx"), F.lit(t.model).alias("model"),
+                     F.lit(t.column).alias("column"), F.lit(t.test).alias("test"),
+                     F.col(f"f{i}").alias("failures")) for i, t in items]))))
     merged = parts[0]
     for p in parts[1:]:
         merged = merged.unionByName(p)
-    meta = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(t.model).alias("model"),
-                              F.lit(t.column).alias("column"), F.lit(t.test).alias("test"))
-                     for i, t in enumerate(tests)])
-    m = F.filter(meta, lambda x: x["i"] == F.col("idx"))[0]
-    return merged.select(m["model"].alias("model"), m["column"].alias("column"),
-                         m["test"].alias("test"), "failures",
+    return merged.select("model", "column", "test", "failures",
                          (F.col("failures") == 0).alias("success"))
 
 

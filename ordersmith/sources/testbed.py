@@ -84,11 +84,13 @@ class Tables:
     def _spread(self, df: DataFrame) -> DataFrame:
         """The test files hold one Parquet row group each, so a scan is a
         single task however large the table. When a scan has fewer splits
-        than the cluster has cores it is spread round-robin; a real input of
-        many files/row groups is left alone (no extra shuffle)."""
+        than the cluster has cores it is spread by a hash of its first column
+        (its key in every test table; deterministic on retry without the sort
+        a round-robin spread needs). A real input of many files/row groups is
+        left alone (no extra shuffle)."""
         cores = self.spark.sparkContext.defaultParallelism
         if df.rdd.getNumPartitions() < cores and self._rows_hint(df) > 50_000:
-            return df.repartition(cores)
+            return df.repartition(cores, df.columns[0])
         return df
 
     @staticmethod
