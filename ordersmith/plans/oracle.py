@@ -327,6 +327,13 @@ SELECT order_id, payment_sequential, payment_type, payment_installments,
     q["events_parsed"] = """
 SELECT event_id, user_id, event_type, value,
   TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events"""
+    q["parse_event_times"] = """
+SELECT event_id, ts AS iso_fraction, date_trunc('second', ts) AS iso_seconds,
+  date_trunc('second', ts) AS blank_seconds, date_trunc('second', ts) AS strict_blank,
+  CAST(NULL AS TIMESTAMP) AS strict_iso,
+  CAST(date_part('day', ts - date_trunc('month', ts)) AS BIGINT) AS day_of_month_elapsed,
+  strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS event_time_text
+FROM events"""
     q["upsert_orders"] = with_ctes("raw_orders") + """,
 tgt AS (SELECT order_id, customer_id, 'processing' AS order_status, purchase_timestamp,
           purchase_timestamp AS approved_at, CAST(NULL AS TIMESTAMP) AS delivered_carrier_date,

@@ -154,6 +154,24 @@ def q_events_parsed(spark, sf_dir):
                     F.from_json("props", "k int")["k"].alias("k"))
 
 
+def q_parse_event_times(spark, sf_dir):
+    """F2 F3 F5 F12 on every event time: formatted three ways, parsed back."""
+    from ..functions.timestamps import parse_ts, parse_ts_one_format, whole_days_between
+    e = tb.Tables(spark, sf_dir)("events").select("event_id", "ts")
+    frac = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
+    blank = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    return e.select(
+        "event_id",
+        parse_ts(frac).alias("iso_fraction"),
+        parse_ts(iso).alias("iso_seconds"),
+        parse_ts(blank).alias("blank_seconds"),
+        parse_ts_one_format(blank).alias("strict_blank"),
+        parse_ts_one_format(iso).alias("strict_iso"),
+        whole_days_between("ts", F.date_trunc("month", "ts")).alias("day_of_month_elapsed"),
+        utc_iso(F.col("ts")).alias("event_time_text"))
+
+
 def _stored_orders(ro: DataFrame) -> DataFrame:
     """Orders as an earlier load stored them: processing, approved at purchase,
     delivered at the estimate, no carrier date, no city/state."""
@@ -359,6 +377,7 @@ QUERIES: dict[str, Query] = {
     "latest_event_per_user": q_latest_event_per_user,
     "first_on_tie": q_first_on_tie,
     "events_parsed": q_events_parsed,
+    "parse_event_times": q_parse_event_times,
     "upsert_orders": q_upsert_orders,
     "upsert_payments": q_upsert_payments,
     "insert_new_sellers": q_insert_new_sellers,
