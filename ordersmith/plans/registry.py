@@ -49,7 +49,7 @@ class Marts:
     Spark reuses the shared exchanges)."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.t = tb.Tables(spark, sf_dir)
+        self.t = tb.Tables.for_session(spark, sf_dir)
         self._memo: dict[str, DataFrame] = {}
 
     def _get(self, name, build):
@@ -99,7 +99,7 @@ class Marts:
 # --- ingest ---------------------------------------------------------------
 
 def q_clean_orders(spark, sf_dir):
-    t = tb.Tables(spark, sf_dir)
+    t = tb.Tables.for_session(spark, sf_dir)
     return ingest.clean_orders(tb.order_event_stream(t), with_ingest_time=False)
 
 
@@ -112,34 +112,34 @@ def payment_topic(t: tb.Tables) -> DataFrame:
 
 
 def q_clean_payments(spark, sf_dir):
-    t = tb.Tables(spark, sf_dir)
+    t = tb.Tables.for_session(spark, sf_dir)
     return ingest.clean_payments(payment_topic(t), with_ingest_time=False)
 
 
 def q_encode_orders(spark, sf_dir):
-    t = tb.Tables(spark, sf_dir)
+    t = tb.Tables.for_session(spark, sf_dir)
     rows = tb._as_csv_text(tb.order_rows(t), "purchase_timestamp")
     return encoders.encode_orders(rows, utc_iso(F.col("purchase_timestamp")))
 
 
 def q_encode_payments(spark, sf_dir):
-    t = tb.Tables(spark, sf_dir)
+    t = tb.Tables.for_session(spark, sf_dir)
     return encoders.encode_payments(tb.payments_csv(t), utc_iso(F.col("l_shipdate")))
 
 
 def q_enrich_orders(spark, sf_dir):
-    t = tb.Tables(spark, sf_dir)
+    t = tb.Tables.for_session(spark, sf_dir)
     clean = ingest.clean_orders(tb.order_event_stream(t), with_ingest_time=False)
     return ingest.enrich_orders(clean, ingest.customer_lookup(tb.customer_lookup(t)))
 
 
 def q_latest_event_per_user(spark, sf_dir):
-    t = tb.Tables(spark, sf_dir)
+    t = tb.Tables.for_session(spark, sf_dir)
     return latest_per_key(t("events"), ["user_id"], "ts", [F.col("event_id").desc()])
 
 
 def q_first_on_tie(spark, sf_dir):
-    t = tb.Tables(spark, sf_dir)
+    t = tb.Tables.for_session(spark, sf_dir)
     arrival = [F.col("l_partkey").asc(), F.col("l_suppkey").asc(),
                F.col("l_extendedprice").asc()]
     kept = first_on_tie(tb.payment_events(t), ["order_id", "payment_sequential"],
@@ -148,7 +148,7 @@ def q_first_on_tie(spark, sf_dir):
 
 
 def q_events_parsed(spark, sf_dir):
-    t = tb.Tables(spark, sf_dir)
+    t = tb.Tables.for_session(spark, sf_dir)
     e = t("events")
     return e.select("event_id", "user_id", "event_type", "value",
                     F.from_json("props", "k int")["k"].alias("k"))
@@ -157,7 +157,7 @@ def q_events_parsed(spark, sf_dir):
 def q_parse_event_times(spark, sf_dir):
     """F2 F3 F5 F12 on every event time: formatted three ways, parsed back."""
     from ..functions.timestamps import parse_ts, parse_ts_one_format, whole_days_between
-    e = tb.Tables(spark, sf_dir)("events").select("event_id", "ts")
+    e = tb.Tables.for_session(spark, sf_dir)("events").select("event_id", "ts")
     frac = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
     blank = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
@@ -196,7 +196,7 @@ def _incoming(c: str):
 
 
 def q_upsert_orders(spark, sf_dir):
-    t = tb.Tables(spark, sf_dir)
+    t = tb.Tables.for_session(spark, sf_dir)
     ro = tb.raw_orders(t)
     target = _stored_orders(ro.filter(_even("order_id")))
     source = ro.filter(_incoming("order_id"))
@@ -204,7 +204,7 @@ def q_upsert_orders(spark, sf_dir):
 
 
 def q_upsert_payments(spark, sf_dir):
-    t = tb.Tables(spark, sf_dir)
+    t = tb.Tables.for_session(spark, sf_dir)
     ev = tb.payment_events(t)
     keys = ["order_id", "payment_sequential"]
     target = keep_first(ev.filter(_even("l_orderkey")), keys, tb.payment_latest_order()) \
@@ -220,7 +220,7 @@ def q_upsert_payments(spark, sf_dir):
 
 
 def q_insert_new_sellers(spark, sf_dir):
-    t = tb.Tables(spark, sf_dir)
+    t = tb.Tables.for_session(spark, sf_dir)
     s = tb.raw_sellers(t)
     target = s.filter(_even("seller_id"))
     source = s.withColumn("seller_city", F.upper("seller_city"))
@@ -228,7 +228,7 @@ def q_insert_new_sellers(spark, sf_dir):
 
 
 def q_insert_new_items(spark, sf_dir):
-    t = tb.Tables(spark, sf_dir)
+    t = tb.Tables.for_session(spark, sf_dir)
     target = tb.raw_order_items(t).filter(_even("order_id"))
     source = tb.order_item_rows(t).withColumn(
         "price", F.col("price") + F.lit(1).cast("decimal(12,2)"))
@@ -364,7 +364,7 @@ def q_constraints_raw_payments(spark, sf_dir):
 
 def q_customer_lookup(spark, sf_dir):
     """The customer file as a lookup, one normalised row per id."""
-    t = tb.Tables(spark, sf_dir)
+    t = tb.Tables.for_session(spark, sf_dir)
     return ingest.customer_lookup(tb.customer_lookup(t), normalize=True)
 
 

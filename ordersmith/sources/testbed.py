@@ -72,6 +72,17 @@ class Tables:
         self._frames: dict[str, DataFrame] = {}
         self._nations: DataFrame | None = None
 
+    _shared: dict[tuple[int, str], "Tables"] = {}
+
+    @classmethod
+    def for_session(cls, spark: SparkSession, sf_dir: str) -> "Tables":
+        """One reader set per session and folder: the test tables are read-only,
+        so their readers, spread decision and size check are made once."""
+        key = (id(spark), sf_dir.rstrip("/"))
+        if key not in cls._shared:
+            cls._shared[key] = cls(spark, sf_dir)
+        return cls._shared[key]
+
     def __call__(self, name: str) -> DataFrame:
         if name not in self._frames:
             reader = self.spark.read
