@@ -35,8 +35,8 @@ def main() -> None:
     from ordersmith.session import get_session
     import pyspark
 
-    spark = get_session(f"local[{cpus}]", app="ordersmith-bench",
-                        shuffle_partitions=int(cpus) * 2)
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus))
+    spark = get_session(f"local[{cpus}]", app="ordersmith-bench", shuffle_partitions=parts)
     import importlib.util
     spec = importlib.util.spec_from_file_location("spark_entry",
                                                   os.path.join(ROOT, "__spark_entry__.py"))

@@ -118,3 +118,32 @@ def test_encode_then_clean_round_trip(spark):
     back = ingest.clean_orders(env, with_ingest_time=False)
     orig = tb.order_rows(t)
     assert back.exceptAll(orig).count() == 0 and orig.exceptAll(back).count() == 0
+
+
+def test_seller_and_item_rows(spark):
+    sellers = spark.createDataFrame(
+        [("s1", "12345", " curitiba ", "pr"), ("s2", "54321", "manaus", " am"),
+         (None, "0", "x", "sp")],
+        "seller_id string, seller_zip_code_prefix string, seller_city string, "
+        "seller_state string")
+    assert rows(ingest.seller_rows(sellers)) == [("s1", "12345", "Curitiba", "PR"),
+                                                 ("s2", "54321", "Manaus", "AM")]
+    items = spark.createDataFrame(
+        [("o1", "1", "p1", "s1", "2017-09-19 09:45:35", "58.90", "13.29"),
+         ("o1", None, "p2", "s2", "bad", None, "x")],
+        "order_id string, order_item_id string, product_id string, seller_id string, "
+        "shipping_limit_date string, price string, freight_value string")
+    got = rows(ingest.item_rows(items), "order_id", "order_item_id", "shipping_limit_date",
+               "price", "freight_value")
+    from decimal import Decimal
+    assert got == sorted([("o1", 1, T(2017, 9, 19, 9, 45, 35), Decimal("58.90"), Decimal("13.29")),
+                          ("o1", 1, None, Decimal("0.00"), Decimal("0.00"))], key=repr)
+
+
+def test_kafka_source_is_wired(spark):
+    """The Kafka connector jar is not installed here: the read must fail in
+    Spark's data-source lookup, i.e. the options reached ``format("kafka")``."""
+    import pytest
+    from ordersmith.sources.topic import read_topic
+    with pytest.raises(Exception, match="(?i)kafka"):
+        read_topic(spark, "orders", "broker:9092", format="kafka").schema
