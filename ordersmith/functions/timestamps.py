@@ -58,22 +58,39 @@ def add_days(ts, days) -> Column:
     return F.timestamp_add("DAY", _col(days).cast("int"), _col(ts))
 
 
+def iso_text(ts, sep: str = "T", fraction: bool = False) -> Column:
+    """``timestamp_ntz`` -> ``yyyy-MM-dd<sep>HH:mm:ss[.ffffff]`` without any time
+    zone: built from the text cast of the value (``date_format`` would go through
+    the session zone and shift wall times that fall in a daylight-saving gap)."""
+    text = _col(ts).cast("timestamp_ntz").cast("string")
+    base = F.concat(F.substring(text, 1, 10), F.lit(sep), F.substring(text, 12, 8))
+    if not fraction:
+        return base
+    frac = F.rpad(F.regexp_extract(text, r"\.(\d+)$", 1), 6, "0")
+    return F.concat(base, F.lit("."), frac)
+
+
 def utc_iso(ts_ntz=None) -> Column:
-    """ISO-8601 text with a +00:00 suffix.
+    """ISO-8601 text with six fraction digits and a +00:00 suffix.
 
     With no argument the current time (converted from the session zone to UTC)
-    is used; pass a column for repeatable output.
+    is used; pass a ``timestamp_ntz`` column (UTC wall time) for repeatable output.
     """
     if ts_ntz is None:
         ts_ntz = F.convert_timezone(
             None, F.lit("UTC"), F.current_timestamp().cast("timestamp_ntz"))
-    return F.concat(F.date_format(_col(ts_ntz), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
+    return F.concat(iso_text(ts_ntz, "T", fraction=True), F.lit("+00:00"))
 
 
 def ts_text(ts, iso_t: bool = False) -> Column:
-    """Timestamp -> text as written by CSV exports (``yyyy-MM-dd HH:mm:ss``)."""
-    fmt = "yyyy-MM-dd'T'HH:mm:ss" if iso_t else "yyyy-MM-dd HH:mm:ss"
-    return F.date_format(_col(ts), fmt)
+    """Timestamp -> text as written by CSV exports (``yyyy-MM-dd HH:mm:ss``), or
+    the ISO form with 'T'; zone-free."""
+    return iso_text(ts, "T" if iso_t else " ")
+
+
+def month_start(ts) -> Column:
+    """First instant of the timestamp's month (``timestamp_ntz``), zone-free."""
+    return F.trunc(F.to_date(_col(ts)), "MM").cast("timestamp_ntz")
 
 
 def on_dates(ts, start, end) -> Column:
@@ -81,10 +98,11 @@ def on_dates(ts, start, end) -> Column:
     raw column so that Parquet row groups can be skipped by min/max statistics."""
     start = _as_date(start)
     end = _as_date(end)
-    lo = _dt.datetime.combine(start, _dt.time())
-    hi = _dt.datetime.combine(end + _dt.timedelta(days=1), _dt.time())
+    # Bounds as text -> timestamp_ntz: a Python datetime literal would be zoned.
+    lo = F.lit(f"{start.isoformat()} 00:00:00").cast("timestamp_ntz")
+    hi = F.lit(f"{(end + _dt.timedelta(days=1)).isoformat()} 00:00:00").cast("timestamp_ntz")
     c = _col(ts)
-    return (c >= F.lit(lo).cast("timestamp_ntz")) & (c < F.lit(hi).cast("timestamp_ntz"))
+    return (c >= lo) & (c < hi)
 
 
 def _as_date(d) -> _dt.date:

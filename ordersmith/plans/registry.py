@@ -156,11 +156,13 @@ def q_events_parsed(spark, sf_dir):
 
 def q_parse_event_times(spark, sf_dir):
     """F2 F3 F5 F12 on every event time: formatted three ways, parsed back."""
-    from ..functions.timestamps import parse_ts, parse_ts_one_format, whole_days_between
+    from ..functions.timestamps import (
+        iso_text, month_start, parse_ts, parse_ts_one_format, whole_days_between,
+    )
     e = tb.Tables.for_session(spark, sf_dir)("events").select("event_id", "ts")
-    frac = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
-    blank = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    frac = iso_text("ts", "T", fraction=True)
+    iso = iso_text("ts", "T")
+    blank = iso_text("ts", " ")
     return e.select(
         "event_id",
         parse_ts(frac).alias("iso_fraction"),
@@ -168,7 +170,7 @@ def q_parse_event_times(spark, sf_dir):
         parse_ts(blank).alias("blank_seconds"),
         parse_ts_one_format(blank).alias("strict_blank"),
         parse_ts_one_format(iso).alias("strict_iso"),
-        whole_days_between("ts", F.date_trunc("month", "ts")).alias("day_of_month_elapsed"),
+        whole_days_between("ts", month_start("ts")).alias("day_of_month_elapsed"),
         utc_iso(F.col("ts")).alias("event_time_text"))
 
 

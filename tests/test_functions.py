@@ -82,3 +82,22 @@ def test_utc_iso(spark):
         "2024-01-02T03:04:05.000006+00:00"]
     now = one(spark, utc_iso(), [(1,)], "x int")[0]
     assert now.endswith("+00:00") and now[10] == "T"
+
+
+def test_text_and_ranges_do_not_depend_on_session_zone(spark):
+    """1999-10-03 00:00 does not exist in Sao Paulo (DST started at midnight);
+    timestamp_ntz text and date ranges must not move with the session zone."""
+    from ordersmith.functions import iso_text, month_start, on_dates, ts_text
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        df = spark.createDataFrame([(T(1999, 10, 3, 0, 0, 0),), (T(1999, 10, 2, 23, 30, 0, 5),)],
+                                   "t timestamp_ntz")
+        got = df.select(ts_text("t"), iso_text("t", "T", fraction=True), utc_iso(F.col("t")),
+                        on_dates("t", "1999-10-03", "1999-10-03"), month_start("t")).collect()
+        assert tuple(got[0]) == ("1999-10-03 00:00:00", "1999-10-03T00:00:00.000000",
+                                 "1999-10-03T00:00:00.000000+00:00", True, T(1999, 10, 1))
+        assert tuple(got[1])[:4] == ("1999-10-02 23:30:00", "1999-10-02T23:30:00.000005",
+                                     "1999-10-02T23:30:00.000005+00:00", False)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
