@@ -7,7 +7,7 @@ items x payments fan-out join), so they check the rewritten Spark plans.
 
 from __future__ import annotations
 
-from ..schemas import BRAZILIAN_STATES, VALID_ORDER_STATUSES
+from ..schemas import VALID_ORDER_STATUSES
 from ..sources.testbed import NATION_STATES, PENDING_STATUS_BY_MOD7
 from . import registry as R
 
@@ -497,5 +497,3 @@ SELECT customer_id, customer_city, customer_state FROM (
         FROM cust WHERE customer_id IS NOT NULL)) WHERE rn = 1"""
     return q
 
-
-_unused = BRAZILIAN_STATES

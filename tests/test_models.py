@@ -1,8 +1,6 @@
 import datetime as dt
 from decimal import Decimal
 
-from pyspark.sql import functions as F
-
 from ordersmith.plans import dashboard, models
 from ordersmith.plans.registry import Marts
 from conftest import SF_SMALL, rows

@@ -1,6 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
-
 from ordersmith.operators.quality import (
     QualityError, between, enforce, gate, in_set, not_null, row_count_between, run_model_tests,
     run_suite, summarize, unique, ModelTest,
