@@ -53,6 +53,9 @@ def test_daily_run_passes_and_is_idempotent(spark, tmp_path):
     cfg = pipeline.Config(root=str(tmp_path / "lake"), **files(tmp_path))
     r1 = pipeline.run_daily(spark, cfg)
     assert r1["run"] == 1
+    # one message per exported row (3 orders, 3 payments)
+    assert spark.read.text(f"{cfg.topic_dir('orders')}/run-000000001").count() == 3
+    assert spark.read.text(f"{cfg.topic_dir('payments')}/run-000000001").count() == 3
     assert r1["staged"] == {"raw_orders": 3, "raw_payments": 3, "raw_sellers": 2,
                             "raw_order_items": 2}
     fact = {r["order_id"]: r for r in pipeline.marts(spark, cfg)["fact_orders"].collect()}

@@ -65,3 +65,30 @@ def test_seller_revenue_forms_match_brute_force(spark, items, pays):
         got = {r["seller_id"]: (r["total_orders"], int(round(float(r["total_revenue"]) * 100)))
                for r in seller_metrics(it, py, method).collect()}
         assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.text(alphabet="abcXYZ09 -'_.ãçéõÁ", max_size=12), min_size=1, max_size=20))
+def test_initcap_words_matches_brute_force(spark, texts):
+    import regex
+    from ordersmith.functions import initcap_words
+
+    def brute(t):
+        return "".join(w[:1].upper() + w[1:].lower()
+                       for w in regex.findall(r"[\p{L}\p{N}]+|[^\p{L}\p{N}]+", t))
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    assert [r[0] for r in df.select(initcap_words("x")).collect()] == [brute(t) for t in texts]
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(-10**12, 10**12), st.integers(1, 10**6)), min_size=1,
+                max_size=30), st.integers(0, 3))
+def test_round_ratio_is_half_away_from_zero(spark, pairs, digits):
+    from decimal import ROUND_HALF_UP, Decimal
+    from ordersmith.functions import round_ratio
+
+    df = spark.createDataFrame(pairs, "t long, n long")
+    got = [r[0] for r in df.select(round_ratio("t", "n", digits)).collect()]
+    want = [float((Decimal(t) / Decimal(n)).quantize(Decimal(1), rounding=ROUND_HALF_UP)
+                  / (10 ** digits)) for t, n in pairs]
+    assert got == want
