@@ -9,7 +9,8 @@ Semantics: ``evaluated`` is every row for ``not_null`` and row count, and the
 non-null rows for the others (nulls are ignored, and an empty set passes);
 ``share = (evaluated - unexpected) / evaluated``; a check passes when
 ``share >= mostly``. For ``unique`` every row of a repeated value is
-unexpected.
+unexpected. The row-count check reports the count as ``evaluated``, 0
+unexpected and no share; it passes when the count is within its bounds.
 """
 
 from __future__ import annotations
@@ -96,7 +97,7 @@ def _out_of_range(c: Column, chk: Check) -> Column:
 def _scalar_aggs(chk: Check, i: int) -> list[Column]:
     """(evaluated, unexpected) aggregate expressions of a non-unique check."""
     if chk.kind == "row_count":
-        return [F.count(F.lit(1)).alias(f"e{i}"), F.lit(None).cast("bigint").alias(f"u{i}")]
+        return [F.count(F.lit(1)).alias(f"e{i}"), F.lit(0).cast("bigint").alias(f"u{i}")]
     c = F.col(chk.column)
     if chk.kind == "not_null":
         return [F.count(F.lit(1)).alias(f"e{i}"), _count_if(c.isNull()).alias(f"u{i}")]
@@ -154,8 +155,7 @@ def run_suite(df: DataFrame, suite: str, checks: Sequence[Check]) -> DataFrame:
     second: list[Column] = []
     for i, c in scalar:
         second.append(F.coalesce(F.max(F.when(whole, F.col(f"e{i}"))), F.lit(0)).alias(f"e{i}"))
-        u = F.max(F.when(whole, F.col(f"u{i}")))
-        second.append((u if c.kind == "row_count" else F.coalesce(u, F.lit(0))).alias(f"u{i}"))
+        second.append(F.coalesce(F.max(F.when(whole, F.col(f"u{i}"))), F.lit(0)).alias(f"u{i}"))
     for i, c in enumerate(checks):
         if c.kind != "unique":
             continue

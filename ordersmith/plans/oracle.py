@@ -248,7 +248,7 @@ def _suite_sql(table: str, suite: str, checks) -> str:
             ev = f"count({col})"
             un = f"count(*) FILTER (WHERE {col} IS NOT NULL AND {col} NOT IN {_in(c.values)})"
         elif c.kind == "row_count":
-            ev, un = "count(*)", "CAST(NULL AS BIGINT)"
+            ev, un = "count(*)", "CAST(0 AS BIGINT)"
         elif c.kind == "unique":
             ev = f"(SELECT coalesce(sum(n), 0) FROM (SELECT count(*) AS n FROM {table} WHERE {col} IS NOT NULL GROUP BY {col}))"
             un = f"(SELECT coalesce(sum(n), 0) FROM (SELECT count(*) AS n FROM {table} WHERE {col} IS NOT NULL GROUP BY {col}) WHERE n > 1)"
