@@ -1,6 +1,8 @@
 import datetime as dt
 from decimal import Decimal
 
+from pyspark.sql import functions as F
+
 from ordersmith.plans import dashboard, models
 from ordersmith.plans.registry import Marts
 from conftest import SF_SMALL, rows
@@ -96,3 +98,33 @@ def test_status_share(spark):
                                  "order_status string, order_count long")
     out = rows(dashboard.order_status_share(dist), "order_status", "share", "percent")
     assert out == [("delivered", 0.75, 75.0), ("shipped", 0.25, 25.0)]
+
+
+def test_hot_order_and_hot_seller(spark):
+    """One order and one seller each hold a third of all items: the
+    pre-aggregated revenue equals the literal fan-out join, and the fact keeps
+    one row per order."""
+    n = 30_000
+    ids = spark.range(n)
+    items = ids.select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") / 2).cast("long")
+                                                              .cast("string")).alias("order_id"),
+        F.col("id").cast("int").alias("order_item_id"),
+        F.lit("p").alias("product_id"),
+        F.when(F.col("id") % 3 == 1, F.lit("s0"))
+        .otherwise(F.concat(F.lit("s"), (F.col("id") % 50).cast("string"))).alias("seller_id"),
+        F.lit(None).cast("timestamp_ntz").alias("shipping_limit_date"),
+        F.lit(None).cast("decimal(12,2)").alias("price"),
+        F.lit(None).cast("decimal(12,2)").alias("freight_value"))
+    pays = spark.range(0, n, 7).select(
+        F.when(F.col("id") % 2 == 0, F.lit("hot")).otherwise((F.col("id") / 2).cast("long")
+                                                             .cast("string")).alias("order_id"),
+        F.col("id").cast("int").alias("payment_sequential"),
+        F.lit("x").alias("payment_type"), F.lit(1).alias("payment_installments"),
+        (F.col("id") % 1000).cast("decimal(12,2)").alias("payment_value"))
+    a = models.seller_metrics(items, pays, "pre_aggregated")
+    b = models.seller_metrics(items, pays, "fan_out")
+    assert rows(a) == rows(b.select(*a.columns))
+    primary = models.order_primary_seller(items)
+    assert primary.filter("order_id = 'hot'").first()["seller_id"] == "s0"
+    assert primary.count() == items.select("order_id").distinct().count()
