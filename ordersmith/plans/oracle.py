@@ -397,7 +397,8 @@ SELECT order_id, order_item_id, product_id, seller_id, shipping_limit_date,
   CAST(price AS DOUBLE) AS price, CAST(freight_value AS DOUBLE) AS freight_value
 FROM first_src s WHERE NOT EXISTS (
   SELECT 1 FROM tgt WHERE tgt.order_id = s.order_id AND tgt.order_item_id = s.order_item_id)"""
-    q["stg_orders"] = with_ctes("stg_orders") + "SELECT * FROM stg_orders"
+    q["stg_orders"] = with_ctes("stg_orders") + \
+        "SELECT * REPLACE (CAST(delivery_days AS DOUBLE) AS delivery_days) FROM stg_orders"
     q["stg_customers"] = with_ctes("stg_customers") + "SELECT * FROM stg_customers"
     q["stg_sellers"] = with_ctes("stg_sellers") + "SELECT * FROM stg_sellers"
     q["dim_customers"] = with_ctes("dim_customers") + "SELECT * FROM dim_customers"
@@ -410,12 +411,15 @@ SELECT order_id, CAST(total_payment_value AS DOUBLE) AS total_payment_value FROM
     q["fact_orders"] = with_ctes("fact_orders") + """
 SELECT order_id, customer_key, seller_key, CAST(payment_value AS DOUBLE) AS payment_value,
   order_status, order_purchase_timestamp, order_approved_at, order_delivered_customer_date,
-  order_estimated_delivery_date, delivery_days, is_delivered, customer_state
+  order_estimated_delivery_date, CAST(delivery_days AS DOUBLE) AS delivery_days, is_delivered,
+  customer_state
 FROM fact_orders"""
     q["agg_daily_gmv"] = with_ctes("agg_daily_gmv") + \
-        "SELECT * FROM agg_daily_gmv ORDER BY order_date"
+        "SELECT * REPLACE (CAST(order_date AS TIMESTAMP) AS order_date) FROM agg_daily_gmv " \
+        "ORDER BY order_date"
     q["daily_gmv_range"] = with_ctes("agg_daily_gmv") + f"""
-SELECT order_date, total_orders, total_gmv, avg_payment_value, avg_delivery_days
+SELECT CAST(order_date AS TIMESTAMP) AS order_date, total_orders, total_gmv, avg_payment_value,
+  avg_delivery_days
 FROM agg_daily_gmv WHERE order_date BETWEEN DATE '{R.GMV_RANGE[0]}' AND DATE '{R.GMV_RANGE[1]}'
 ORDER BY order_date"""
     top = """

@@ -37,6 +37,19 @@ PAYMENT_COLUMNS = ["order_id", "payment_sequential", "payment_type", "payment_in
                    "payment_value"]
 
 
+def _comparable(df: DataFrame) -> DataFrame:
+    """Compared outputs: whole-day counts as double (what ``date_part`` returns
+    in the original SQL) and dates as midnight timestamps, so that the values
+    compare equal however the two result sets are materialised (pandas turns a
+    nullable bigint into float, and a DuckDB date into a timestamp)."""
+    for c in df.columns:
+        if c == "delivery_days":
+            df = df.withColumn(c, F.col(c).cast("double"))
+        elif c == "order_date":
+            df = df.withColumn(c, F.col(c).cast("timestamp_ntz"))
+    return df
+
+
 def _money(df: DataFrame, *cols: str) -> DataFrame:
     for c in cols:
         df = df.withColumn(c, F.col(c).cast("double"))
@@ -241,7 +254,7 @@ def q_insert_new_items(spark, sf_dir):
 # --- models -----------------------------------------------------------------
 
 def q_stg_orders(spark, sf_dir):
-    return Marts(spark, sf_dir).stg_orders().drop("ingested_at")
+    return _comparable(Marts(spark, sf_dir).stg_orders().drop("ingested_at"))
 
 
 def q_stg_customers(spark, sf_dir):
@@ -270,17 +283,17 @@ def q_order_primary_seller(spark, sf_dir):
 
 
 def q_fact_orders(spark, sf_dir):
-    return _money(Marts(spark, sf_dir).fact_orders(), "payment_value")
+    return _comparable(_money(Marts(spark, sf_dir).fact_orders(), "payment_value"))
 
 
 def q_agg_daily_gmv(spark, sf_dir):
-    return Marts(spark, sf_dir).agg_daily_gmv()
+    return _comparable(Marts(spark, sf_dir).agg_daily_gmv())
 
 
 # --- dashboard --------------------------------------------------------------
 
 def q_daily_gmv_range(spark, sf_dir):
-    return dashboard.daily_gmv(Marts(spark, sf_dir).agg_daily_gmv(), *GMV_RANGE)
+    return _comparable(dashboard.daily_gmv(Marts(spark, sf_dir).agg_daily_gmv(), *GMV_RANGE))
 
 
 def q_top_sellers(spark, sf_dir):
