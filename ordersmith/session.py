@@ -75,6 +75,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Total size in bytes of a file or folder (any Hadoop file system)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(hpath).getLength())
+
+
 def list_dirs(spark: SparkSession, path: str) -> list[str]:
     """Names of the sub-folders of ``path`` (empty if it does not exist)."""
     if not path_exists(spark, path):
@@ -89,5 +97,5 @@ def local_path(p: str) -> str:
     return p[len("file:"):] if p.startswith("file:") else p
 
 
-__all__ = ["get_session", "shared_dir", "scratch_path", "path_exists", "list_dirs",
+__all__ = ["get_session", "shared_dir", "scratch_path", "path_exists", "path_bytes", "list_dirs",
            "local_path", "DEFAULT_CONF"]

@@ -32,6 +32,7 @@ from ..functions.timestamps import add_days, add_seconds, ts_text
 from ..operators.dedup import keep_first
 from ..operators.lookup import bounded_broadcast
 from ..schemas import BRAZILIAN_STATES
+from ..session import path_bytes
 from .topic import as_envelope
 
 # Fixed values of the adapter: state by nation key (0-based), status by k mod 7.
@@ -42,6 +43,8 @@ PENDING_STATUS_BY_MOD7 = [
 RETURNFLAG_PAYMENT_TYPE = {"A": "credit_card", "N": "boleto", "R": "voucher"}
 # TPC-H fixes the nation table at 25 rows; the bound is checked before a broadcast.
 NATION_MAX_ROWS = 1000
+# Single-split inputs larger than this are spread over the cores.
+SPREAD_MIN_BYTES = 256 * 1024
 
 
 # Declared schemas of the test tables (read without a schema-inference job).
@@ -100,21 +103,11 @@ class Tables:
         a round-robin spread needs). A real input of many files/row groups is
         left alone (no extra shuffle)."""
         cores = self.spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores and self._rows_hint(df) > 50_000:
+        if df.rdd.getNumPartitions() < cores and \
+                path_bytes(self.spark, df.inputFiles()[0]) > SPREAD_MIN_BYTES:
             return df.repartition(cores, df.columns[0])
         return df
 
-    @staticmethod
-    def _rows_hint(df: DataFrame) -> int:
-        # Parquet footers give the row count without reading data.
-        try:
-            import pyarrow.parquet as pq
-            files = df.inputFiles()
-            return sum(pq.ParquetFile(f.replace("file:", "", 1)).metadata.num_rows
-                       for f in files if f.startswith("file:"))
-        except Exception:
-            return 0
-
     def nations(self) -> DataFrame:
         """(n_nationkey, n_name), broadcast once its size bound is proven."""
         if self._nations is None:
