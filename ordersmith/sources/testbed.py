@@ -44,7 +44,7 @@ RETURNFLAG_PAYMENT_TYPE = {"A": "credit_card", "N": "boleto", "R": "voucher"}
 # TPC-H fixes the nation table at 25 rows; the bound is checked before a broadcast.
 NATION_MAX_ROWS = 1000
 # Single-split inputs larger than this are spread over the cores.
-SPREAD_MIN_BYTES = 256 * 1024
+SPREAD_MIN_BYTES = 1024 * 1024
 
 
 # Declared schemas of the test tables (read without a schema-inference job).
