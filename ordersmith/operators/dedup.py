@@ -7,8 +7,9 @@ Two plans give the same rows when the order is total:
   sends at most one row per key: a key holding a third of all rows does not
   land whole in one task.
 * ``aggregate``: ``max_by(struct(row), struct(order))`` per key, with partial
-  aggregation before the shuffle. Only "larger wins" orders, so ascending
-  columns must be numeric (they are negated).
+  aggregation before the shuffle. The ranking is "larger wins", so a
+  preference for smaller values must be expressed by the caller (for
+  example by negating a numeric column).
 
 Callers give a total order (end it with a unique column) so the kept row does
 not depend on partitioning.
