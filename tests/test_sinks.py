@@ -27,6 +27,16 @@ def test_write_table_and_sampled_mart(spark, tmp_path):
     path = str(tmp_path / "mart")
     df = spark.range(100).select(F.col("id").cast("string").alias("order_id"))
     assert write_table(df, path) == 100
-    sample = read_mart(spark, path, limit=10, order_by=["order_id"])
+    sample = read_mart(spark, path, limit=10, order_by="order_id")
     assert [r[0] for r in sample.collect()] == sorted(str(i) for i in range(100))[:10]
     assert read_mart(spark, path, limit=10).count() == 10
+
+
+def test_first_rows_by_key_matches_order_limit(spark):
+    from ordersmith.sources.files import first_rows_by_key
+    df = spark.range(50_000).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("key"), F.col("id"))
+    for k in (1, 37, 1_000, 60_000):
+        got = [r["key"] for r in first_rows_by_key(df, "key", k).collect()]
+        want = [r["key"] for r in df.orderBy("key").limit(k).collect()]
+        assert got == want
