@@ -24,7 +24,6 @@ SEPARATOR[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 BLOCK_BYTES = 1 << 20
-INVALID = np.uint32(0xFFFFFFFF)
 
 _pow = np.ones(1, U64)
 _inv = np.ones(1, U64)
@@ -167,49 +166,40 @@ class Windows:
     """Windows of ``size`` tokens over a block, seen through content-chosen anchors.
 
     ``tokens`` are 64-bit token values of all documents one after another and
-    ``offs`` the documents' ranges. Among the ``size - k + 1`` k-grams of every
-    window the one with the smallest hash is an anchor (all of them on a tie), so
-    equal windows hold equal anchors at equal places. Each window belongs to its
-    leftmost anchor; an anchor's windows start at ``first .. last``.
+    ``offs`` the documents' ranges. A window's anchor is the k-gram in it with the
+    smallest hash (the leftmost on a tie), so equal windows hold equal anchors at equal
+    places. ``at`` are the anchors; the windows of one start at ``first .. last``.
     """
 
+    PARTS = 4
+
     def __init__(self, tokens: np.ndarray, offs: np.ndarray, size: int, k: int):
         n = len(tokens)
-        self.size, self.offs, self.n = size, offs, n
+        self.size, self.k, self.offs, self.n = size, k, offs, n
+        self.step = -(-(size - k + 1) // self.PARTS)
         up, down = powers(n + 1)
         self.sums = np.empty(n + 1, U64)
         self.sums[0] = 0
         np.cumsum(tokens * up[:n], dtype=U64, out=self.sums[1:])
         self.down = down
-        w = size - k + 1
         empty = np.zeros(0, np.int64)
         self.at = self.first = self.last = self.doc = empty
         self.key = np.zeros(0, U64)
         if n < size:
             return
         grams = (self.sums[k:] - self.sums[:-k]) * down[:n - k + 1]
-        order = ((grams * U64(0xD6E8FEB86659FD93)) >> U64(32)).astype(np.uint32)
-        np.minimum(order, INVALID - np.uint32(1), out=order)
-        ends = np.repeat(offs[1:], np.diff(offs))              # end of the document of each token
-        starts = np.repeat(offs[:-1], np.diff(offs))
-        pos = np.arange(n - k + 1)
-        order[pos + k > ends[:n - k + 1]] = INVALID
-        low = sliding(order, w, np.minimum)
-        fits = pos + size <= ends[:n - k + 1]
-        # a window that does not fit chooses nothing
-        low[~fits] = 0
-        pad = np.zeros(w - 1, np.uint32)
-        chosen = sliding(np.concatenate([pad, low]), w, np.maximum)[:len(order)]
-        at = np.flatnonzero((chosen == order) & (order != INVALID))
-        if not len(at):
+        order = (grams * U64(0xD6E8FEB86659FD93)) & U64(0xFFFFFFFF00000000)
+        order |= np.arange(n - k + 1, dtype=U64)
+        low = sliding(order, size - k + 1, np.minimum)
+        ends = np.repeat(offs[1:], np.diff(offs))[:n - k + 1]
+        starts = np.flatnonzero(np.arange(size, n - k + 1 + size) <= ends)
+        if not len(starts):
             return
-        prev = np.empty(len(at), np.int64)
-        prev[0] = -1
-        prev[1:] = at[:-1]
-        first = np.maximum(prev + 1, starts[at])
-        last = np.minimum(at, ends[at] - size)
-        keep = first <= last
-        self.at, self.first, self.last = at[keep], first[keep], last[keep]
+        anchor = (low[starts] & U64(0xFFFFFFFF)).astype(np.int64)
+        new = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
+        self.at = anchor[new]
+        self.first = starts[new]
+        self.last = starts[np.append(new[1:], len(starts)) - 1]
         self.key = fmix(grams[self.at])
         self.doc = np.searchsorted(offs, self.at, "right") - 1
 
@@ -220,6 +210,25 @@ class Windows:
         place = ((self.at - lo).astype(U64) << U64(32)) + (hi - lo).astype(U64)
         return fmix(h + place * U64(0x9E3779B97F4A7C15))
 
+    def part(self, q: int) -> tuple[np.ndarray, np.ndarray]:
+        """The anchors' windows that start ``q * step`` to ``q * step + step - 1`` before them."""
+        return (np.maximum(self.first, self.at - (q + 1) * self.step + 1),
+                np.minimum(self.last, self.at - q * self.step))
+
+    def signatures(self) -> np.ndarray:
+        """Per anchor four 16-bit hashes: of what all windows of a part share (0: no window).
+        Two anchors hold an equal window in a part only if these are equal."""
+        out = np.zeros(len(self.at), U64)
+        for q in range(self.PARTS):
+            lo, hi = self.part(q)
+            begin = self.at - q * self.step
+            end = self.at + self.size - min((q + 1) * self.step - 1, self.size - self.k)
+            own = lo <= hi
+            b, e = begin[own], end[own]
+            h = fmix((self.sums[e] - self.sums[b]) * self.down[b])
+            out[own] |= ((h >> U64(49)) + U64(1)) << U64(16 * q)
+        return out
+
     def window_hashes(self, starts: np.ndarray) -> np.ndarray:
         h = (self.sums[starts + self.size] - self.sums[starts]) * self.down[starts]
         return fmix(h ^ U64(0xD6E8FEB86659FD93))

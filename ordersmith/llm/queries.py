@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .jaccard_join import jaccard_join
 from .oracles import ORACLES
+from .substring_dedup import substring_dedup
+from .suffix_dedup import suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,8 +23,24 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "n_shingles", "component_id"))
 
 
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of repeated 100-byte strings removed from every document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup(docs).select("doc_id", F.col("n_tokens").alias("n_bytes"), "n_removed",
+                                     "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of 50-word windows that an earlier document holds, removed."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup(docs).select("doc_id", F.col("n_tokens").alias("n_words"), "n_removed",
+                                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op6_suffix_array_dedup": op6_suffix_array_dedup,
+    "op8_substring_dedup": op8_substring_dedup,
 }
 
 
