@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .decontaminate import contamination
 from .jaccard_join import jaccard_join
+from .mixing import mix_sources
 from .oracles import ORACLES
+from .quality_lm import classify, fit_quality_model
 from .substring_dedup import substring_dedup
 from .suffix_dedup import suffix_dedup
 
@@ -17,12 +20,24 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity and decision of every document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    model = fit_quality_model(docs, _table(spark, sf_dir, "labels"))
+    return classify(docs, model).drop("text")
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document under 5-word shingle Jaccard >= 0.75."""
     return (jaccard_join(_table(spark, sf_dir, "documents"))
             .select("doc_id", "n_shingles", "component_id"))
 
 
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in documents, with the similarity that showed them."""
+    return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of repeated 100-byte strings removed from every document."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -30,6 +45,11 @@ def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Block, slot and position of every document in the mix."""
+    return mix_sources(_table(spark, sf_dir, "documents").select("doc_id", "source"))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of 50-word windows that an earlier document holds, removed."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -37,9 +57,20 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                                         F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus pipeline's result."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "pipeline": pipeline,
+    "op1_quality_classifier": op1_quality_classifier,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_suffix_array_dedup": op6_suffix_array_dedup,
+    "op7_source_mixing": op7_source_mixing,
     "op8_substring_dedup": op8_substring_dedup,
 }
 
