@@ -29,4 +29,26 @@ SELECT s.doc_id, s.n AS n_shingles, least(s.doc_id, coalesce(min(r.y), s.doc_id)
 FROM sizes s LEFT JOIN reach r ON r.x = s.doc_id GROUP BY s.doc_id, s.n
 """
 
-ORACLES: dict[str, str] = {"op3_ngram_jaccard_join": OP3}
+# formatted_chars: per turn 22 code points of markup; a turn that cannot be parsed as it is
+# grows by one for every backslash and control string in it.
+OP4 = r"""
+WITH rows_ AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+), sizes AS (
+  SELECT *, list_sum([(length(x) - length(replace(x, c, ''))) // length(c) FOR c IN
+    ['<s>', '</s>', '[INST]', '[/INST]', chr(92)]]) * CAST(
+      contains(x, '</s>') OR contains(role, '[INST] ') OR regexp_matches(role, '(?s)\\.')
+      OR regexp_matches(text, '(?s)\\.') AS INT) AS grown
+  FROM (SELECT *, role || ' ' || text AS x FROM rows_)
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), ''))
+    AS loss_sha256,
+  CAST(sum(22 + length(role) + length(text) + grown) AS BIGINT) AS formatted_chars
+FROM sizes GROUP BY conv_id
+"""
+
+ORACLES: dict[str, str] = {"op3_ngram_jaccard_join": OP3, "op4_chat_formatting": OP4}

@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .chat_format import format_chats, under_loss
 from .decontaminate import contamination
+from .embedding_dedup import embedding_links
+from .html_extract import extract_main_text
 from .jaccard_join import jaccard_join
 from .mixing import mix_sources
 from .oracles import ORACLES
@@ -33,6 +36,23 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "n_shingles", "component_id"))
 
 
+def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every conversation, read back from its formatted text."""
+    trap = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", trap), (-7, 1, "assistant", trap)],
+                                  "conv_id long, turn long, role string, text string")
+    chats = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    out = format_chats(chats.unionByName(extra))
+    turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"],
+                                                                 F.lit("\n"))), "")
+    loss = under_loss(F.col("formatted"), F.col("loss_spans"))
+    return out.select("conv_id", F.size("turns").cast("long").alias("n_turns"),
+                      F.sha2(turns, 256).alias("turns_sha256"),
+                      F.length(loss).cast("long").alias("loss_chars"),
+                      F.sha2(loss, 256).alias("loss_sha256"),
+                      F.length("formatted").cast("long").alias("formatted_chars"))
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items found in documents, with the similarity that showed them."""
     return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -57,6 +77,17 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                                         F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every embedding at cosine >= 0.93 within its label."""
+    return embedding_links(_table(spark, sf_dir, "embeddings"))
+
+
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = _table(spark, sf_dir, "pages")
+    return extract_main_text(pages).select("page_id", "url", "text", "n_chars")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline's result."""
     import corpus_pipeline
@@ -68,10 +99,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": pipeline,
     "op1_quality_classifier": op1_quality_classifier,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op4_chat_formatting": op4_chat_formatting,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_suffix_array_dedup": op6_suffix_array_dedup,
     "op7_source_mixing": op7_source_mixing,
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_embedding_near_dedup": op9_embedding_near_dedup,
+    "op10_html_extraction": op10_html_extraction,
 }
 
 
