@@ -12,6 +12,7 @@ from .decontaminate import contamination
 from .embedding_dedup import embedding_links
 from .html_extract import extract_main_text
 from .jaccard_join import jaccard_join
+from .lm_scoring import score_texts
 from .mixing import mix_sources
 from .oracles import ORACLES
 from .quality_lm import classify, fit_quality_model
@@ -30,6 +31,11 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(docs, model).drop("text")
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of every document's text."""
+    return score_texts(_table(spark, sf_dir, "documents"))
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document under 5-word shingle Jaccard >= 0.75."""
     return (jaccard_join(_table(spark, sf_dir, "documents"))
@@ -98,6 +104,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": pipeline,
     "op1_quality_classifier": op1_quality_classifier,
+    "op2_lm_scoring": op2_lm_scoring,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_chat_formatting": op4_chat_formatting,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
