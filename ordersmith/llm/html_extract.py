@@ -26,10 +26,12 @@ from pyspark.sql.types import StructType
 from .staging import require
 
 SAMPLE_PAGES = 2000
+INTERRUPTION = -0.02
 ADDED = ["text", "n_chars"]
 
 _TAG = re.compile(r"<(?:!--.*?(?:-->|\Z)|(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)"
                   r"/?>|[!?][^>]*>)", re.S)
+_UNFINISHED = re.compile(r"<[a-zA-Z/!?][^<>]*\Z")       # a tag that the page's end cuts off
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?false)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true",
                      re.I)
@@ -132,8 +134,9 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, bool, bool]]:
         yield "", new[1], new[2], state[3], not inline
         stack.append(new)
         state = new
-    if raw is None and at < len(page):
-        yield page[at:], state[1], state[2], state[3], False
+    rest = _UNFINISHED.sub("", page[at:]) if raw is None else ""
+    if rest:
+        yield rest, state[1], state[2], state[3], False
 
 
 def _counts(page: str, into: dict) -> None:
@@ -170,8 +173,8 @@ def fit_weights(pages: DataFrame, html_col: str = "html", max_pages: int = SAMPL
 
     ``max_pages`` (about) bounds the sample, chosen by the hash of the page. A word scores
     1 plus its log odds of lying in an article, a tag -1 plus its own, between
-    -8 and 8; tags never score above 0. Words and tags of noise elements score -1, so that
-    an advert within an article does not cut it in two.
+    -8 and 8; tags never score above 0. Words and tags of noise elements, which no text
+    is taken from, score ``INTERRUPTION``, so that an advert does not cut an article in two.
     """
     share = min(1.0, max_pages / max(1, pages.count()))
     rows = (pages.where(F.pmod(F.xxhash64(html_col), F.lit(1 << 30)) < int(share * (1 << 30)))
@@ -182,9 +185,9 @@ def fit_weights(pages: DataFrame, html_col: str = "html", max_pages: int = SAMPL
     for r in rows:
         odds = max(-8.0, min(8.0, math.log((r["i"] + 0.5) / (r["o"] + 0.5))))
         if r["word"]:
-            weights[True, r["kind"], r["noise"]] = -1.0 if r["noise"] else 1 + odds
+            weights[True, r["kind"], r["noise"]] = INTERRUPTION if r["noise"] else 1 + odds
         else:
-            weights[False, r["kind"], r["noise"]] = -1.0 if r["noise"] else min(0.0, odds - 1)
+            weights[False, r["kind"], r["noise"]] = INTERRUPTION if r["noise"] else min(0.0, odds - 1)
     return weights
 
 
@@ -198,9 +201,11 @@ PRIOR = {**{(True, k, False): 2.0 for k in ("p", "h1", "h2", "h3", "h4", "blockq
 def _score(weights: dict, word: bool, kind: str, noise: bool) -> float:
     w = weights.get((word, kind, noise))
     if w is None:
-        w = PRIOR.get((True, kind, noise), 1.0) if word else -1.0
+        w = PRIOR.get((True, kind, noise), 1.0)
+        if not word:
+            w = -0.25 if w > 1 else -1.0
         if noise:
-            w = -1.0
+            w = INTERRUPTION
     return w
 
 
