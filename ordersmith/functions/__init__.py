@@ -2,11 +2,11 @@
 
 from .json import parse_value, to_json_keep_nulls
 from .numeric import (
-    money_to_double, round_avg_money, round_avg_whole, round_ratio, to_money, try_double,
+    round_avg_money, round_avg_whole, round_ratio, to_money, try_double,
     try_int,
 )
 from .text import (
-    blank_to_null, initcap_words, money_text, normalize_city, normalize_state, short_id,
+    initcap_words, money_text, normalize_city, normalize_state, short_id,
     surrogate_key,
 )
 from .timestamps import (
@@ -15,8 +15,8 @@ from .timestamps import (
 )
 
 __all__ = [
-    "parse_value", "to_json_keep_nulls", "money_to_double", "round_avg_money",
-    "round_avg_whole", "round_ratio", "to_money", "try_double", "try_int", "blank_to_null",
+    "parse_value", "to_json_keep_nulls", "round_avg_money",
+    "round_avg_whole", "round_ratio", "to_money", "try_double", "try_int",
     "initcap_words", "money_text", "normalize_city", "normalize_state", "short_id",
     "surrogate_key", "iso_text", "month_start", "add_days", "add_seconds", "on_dates", "parse_ts", "parse_ts_one_format",
     "to_ts", "ts_text", "utc_iso", "whole_days_between",

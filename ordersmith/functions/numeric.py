@@ -27,8 +27,12 @@ def try_double(c) -> Column:
 
 
 def to_money(c) -> Column:
-    """Round to a ``decimal(12,2)`` amount (half up, as an insert into NUMERIC)."""
-    return _col(c).try_cast("decimal(12,2)")
+    """Round to a ``decimal(12,2)`` amount (half up, as an insert into NUMERIC). An amount
+    too large for it is an error, as the insert would be; text that is no number is null."""
+    money = _col(c).try_cast("decimal(12,2)")
+    lost = money.isNull() & _col(c).try_cast("double").isNotNull()
+    return F.when(lost, F.raise_error(F.concat(F.lit("amount out of range: "), _col(c).cast("string")))
+                  .cast("decimal(12,2)")).otherwise(money)
 
 
 def round_ratio(total_units, count, digits: int = 0) -> Column:
@@ -64,7 +68,3 @@ def round_avg_whole(total, count, digits: int = 1) -> Column:
     """Average of a whole-number column (e.g. days), rounded to ``digits``."""
     units = _col(total).cast("decimal(38,0)") * F.lit(10 ** digits)
     return round_ratio(units, count, digits)
-
-
-def money_to_double(c) -> Column:
-    return _col(c).cast("double")

@@ -28,8 +28,29 @@ def initcap_words(c) -> Column:
     )
 
 
+def strip(c) -> Column:
+    """Text without white space of any kind at its ends (the loader's form of trimming)."""
+    return F.regexp_replace(_col(c), r"^\s+|\s+$", "")
+
+
+def title_words(c) -> Column:
+    """F6, loader form: a word is a run of letters, so ``bairro 2a`` -> ``Bairro 2A``."""
+    pieces = F.regexp_extract_all(_col(c), F.lit(r"(\p{L}+|[^\p{L}]+)"), 1)
+    return F.array_join(F.transform(pieces, lambda w: F.concat(
+        F.upper(F.left(w, F.lit(1))), F.lower(F.substring(w, 2, 1 << 30)))), "")
+
+
+def loader_city(c) -> Column:
+    """F6+F7 as the loader writes it: stripped, then title case."""
+    return title_words(strip(c))
+
+
+def loader_state(c) -> Column:
+    return F.upper(strip(c))
+
+
 def normalize_city(c) -> Column:
-    """``initcap(trim(city))``."""
+    """F6+F7 as the models write it: ``initcap(trim(city))``."""
     return initcap_words(F.trim(_col(c)))
 
 
@@ -51,7 +72,3 @@ def short_id(c, n: int = 8) -> Column:
 def money_text(c, currency: str = "R$") -> Column:
     """``R$1,234`` (no decimals, thousands separated)."""
     return F.concat(F.lit(currency), F.format_number(_col(c).cast("double"), 0))
-
-
-def blank_to_null(c) -> Column:
-    return F.nullif(_col(c), F.lit(""))

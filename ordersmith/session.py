@@ -46,8 +46,9 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for lineage cuts and staged tables.
 
     Read from ``spark.checkpoint.dir`` (or an already set checkpoint folder).
-    Only when neither is set (local runs, tests) a private folder under the
-    system temporary directory is created and registered.
+    Where neither is set, a local master (tests) gets a private temporary folder,
+    registered for the session; on a cluster that is an error, because executors
+    do not see each other's disks.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -56,6 +57,8 @@ def shared_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="ordersmith-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
@@ -75,14 +78,6 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
-def path_bytes(spark: SparkSession, path: str) -> int:
-    """Total size in bytes of a file or folder (any Hadoop file system)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(hpath).getLength())
-
-
 def list_dirs(spark: SparkSession, path: str) -> list[str]:
     """Names of the sub-folders of ``path`` (empty if it does not exist)."""
     if not path_exists(spark, path):
@@ -93,9 +88,13 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return sorted(st.getPath().getName() for st in fs.listStatus(hpath) if st.isDirectory())
 
 
-def local_path(p: str) -> str:
-    return p[len("file:"):] if p.startswith("file:") else p
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder this library wrote (no error if it is gone)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(hpath, True)
 
 
-__all__ = ["get_session", "shared_dir", "scratch_path", "path_exists", "path_bytes", "list_dirs",
-           "local_path", "DEFAULT_CONF"]
+__all__ = ["get_session", "shared_dir", "scratch_path", "path_exists", "list_dirs", "delete_path",
+           "DEFAULT_CONF"]

@@ -32,7 +32,6 @@ from ..functions.timestamps import add_days, add_seconds, ts_text
 from ..operators.dedup import keep_first
 from ..operators.lookup import bounded_broadcast
 from ..schemas import BRAZILIAN_STATES
-from ..session import path_bytes
 from .topic import as_envelope
 
 # Fixed values of the adapter: state by nation key (0-based), status by k mod 7.
@@ -43,9 +42,6 @@ PENDING_STATUS_BY_MOD7 = [
 RETURNFLAG_PAYMENT_TYPE = {"A": "credit_card", "N": "boleto", "R": "voucher"}
 # TPC-H fixes the nation table at 25 rows; the bound is checked before a broadcast.
 NATION_MAX_ROWS = 1000
-# Single-split inputs larger than this are spread over the cores.
-SPREAD_MIN_BYTES = 1024 * 1024
-
 
 # Declared schemas of the test tables (read without a schema-inference job).
 TABLE_SCHEMAS = {
@@ -68,46 +64,21 @@ class Tables:
     """Lazy parquet readers for one scale-factor folder; each table's reader
     (file listing, footer schema) is created once per instance."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, spread: bool = True):
+    def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
-        self.spread = spread
         self._frames: dict[str, DataFrame] = {}
         self._nations: DataFrame | None = None
 
-    _shared: dict[tuple[int, str], "Tables"] = {}
-
-    @classmethod
-    def for_session(cls, spark: SparkSession, sf_dir: str) -> "Tables":
-        """One reader set per session and folder: the test tables are read-only,
-        so their readers, spread decision and size check are made once."""
-        key = (id(spark), sf_dir.rstrip("/"))
-        if key not in cls._shared:
-            cls._shared[key] = cls(spark, sf_dir)
-        return cls._shared[key]
-
     def __call__(self, name: str) -> DataFrame:
         if name not in self._frames:
             reader = self.spark.read
             if name in TABLE_SCHEMAS:
                 reader = reader.schema(TABLE_SCHEMAS[name])
             df = reader.parquet(f"{self.sf_dir}/{name}.parquet")
-            self._frames[name] = self._spread(df) if self.spread else df
+            self._frames[name] = df
         return self._frames[name]
 
-    def _spread(self, df: DataFrame) -> DataFrame:
-        """The test files hold one Parquet row group each, so a scan is a
-        single task however large the table. When a scan has fewer splits
-        than the cluster has cores it is spread by a hash of its first column
-        (its key in every test table; deterministic on retry without the sort
-        a round-robin spread needs). A real input of many files/row groups is
-        left alone (no extra shuffle)."""
-        cores = self.spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores and \
-                path_bytes(self.spark, df.inputFiles()[0]) > SPREAD_MIN_BYTES:
-            return df.repartition(cores, df.columns[0])
-        return df
-
     def nations(self) -> DataFrame:
         """(n_nationkey, n_name), broadcast once its size bound is proven."""
         if self._nations is None:

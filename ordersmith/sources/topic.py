@@ -3,9 +3,10 @@ offset, timestamp)``, bounded from the first to the last message.
 
 ``format="kafka"`` reads a Kafka topic (the connector jar must be on the
 classpath); ``format="json-lines"`` reads files of one JSON message per line
-and synthesises the envelope, which is what tests and the testbed use. Offsets
-of file messages are unique and increase with the position in a file, so they
-order messages as a broker would within one file.
+and synthesises the envelope, which is what tests and the testbed use. Messages
+are ordered by (batch, source, offset): the micro-batch of a stream, then for file
+messages the path (run folders and part numbers sort by time of writing) with the start of
+the split, then the place within it; for Kafka the partition's offset alone.
 """
 
 from __future__ import annotations
@@ -31,22 +32,31 @@ def read_topic(spark: SparkSession, topic: str, source: str | list[str], *,
             "endingOffsets": "latest",
         }
         opts.update(options or {})
-        return spark.read.format("kafka").options(**opts).load()
+        return _kafka_places(spark.read.format("kafka").options(**opts).load())
     if format == "json-lines":
         paths = [source] if isinstance(source, str) else list(source)
         raw = spark.read.options(**(options or {})).text(paths)
-        return as_envelope(raw.select(F.col("value").alias("value"),
-                                      F.input_file_name().alias("__file"),
-                                      F.monotonically_increasing_id().alias("__pos")),
-                           topic)
+        return as_envelope(_placed(raw), topic, source_col="__source")
     raise ValueError(f"unknown topic format {format!r}")
 
 
+def _placed(raw: DataFrame) -> DataFrame:
+    """Lines with the split they come from and their order within it (a task reads each
+    of its splits from start to end, so its running number rises there)."""
+    split = F.concat(F.col("_metadata.file_path"), F.lit("#"),
+                     F.lpad(F.col("_metadata.file_block_start").cast("string"), 20, "0"))
+    return raw.select("value", split.alias("__source"),
+                      F.monotonically_increasing_id().alias("__pos"))
+
+
 def as_envelope(df: DataFrame, topic: str, value_col: str = "value",
                 offset_col: str | None = "__pos", partition_col: str | None = None,
-                key_col: str | None = None) -> DataFrame:
-    """Shape any frame holding message text into the envelope schema."""
+                key_col: str | None = None, source_col: str | None = None) -> DataFrame:
+    """Shape any frame holding message text into the envelope schema, with its place
+    (batch, source) among the topic's messages."""
     cols = {
+        "batch": F.lit(0).cast("long"),
+        "source": F.col(source_col) if source_col else F.lit(None).cast("string"),
         "key": (F.col(key_col).cast("binary") if key_col else F.lit(None).cast("binary")),
         "value": F.col(value_col).cast("binary"),
         "topic": F.lit(topic),
@@ -54,15 +64,17 @@ def as_envelope(df: DataFrame, topic: str, value_col: str = "value",
         "offset": (F.col(offset_col).cast("long") if offset_col else F.lit(None).cast("long")),
         "timestamp": F.lit(None).cast("timestamp"),
     }
-    return df.select(*[cols[f.name].alias(f.name) for f in ENVELOPE.fields])
+    return df.select(*[cols[c].alias(c) for c in [*ENVELOPE.fieldNames(), "batch", "source"]])
+
+
+def in_batch(batch: DataFrame, batch_id: int) -> DataFrame:
+    """A micro-batch with its number: later batches rank after earlier ones."""
+    return batch.withColumn("batch", F.lit(batch_id).cast("long"))
 
 
-def with_batch_offsets(batch: DataFrame, batch_id: int) -> DataFrame:
-    """Fill missing offsets of one micro-batch: unique, increasing within a file
-    part, and larger than every offset of earlier batches (batch id in the high
-    bits), so "later message wins" holds across batches too."""
-    own = (F.lit(batch_id).cast("long") * F.lit(1 << 42)) + F.monotonically_increasing_id()
-    return batch.withColumn("offset", F.coalesce(F.col("offset"), own))
+def _kafka_places(messages: DataFrame) -> DataFrame:
+    return messages.withColumn("batch", F.lit(0).cast("long")) \
+        .withColumn("source", F.lit(None).cast("string"))
 
 
 def read_topic_stream(spark: SparkSession, topic: str, source: str, *,
@@ -72,10 +84,10 @@ def read_topic_stream(spark: SparkSession, topic: str, source: str, *,
         opts = {"kafka.bootstrap.servers": source, "subscribe": topic,
                 "startingOffsets": "earliest"}
         opts.update(options or {})
-        return spark.readStream.format("kafka").options(**opts).load()
+        return _kafka_places(spark.readStream.format("kafka").options(**opts).load())
     if format == "json-lines":
-        # Offsets are assigned per micro-batch (see ``with_batch_offsets``):
-        # a streaming plan cannot number rows.
+        # a streaming plan cannot number rows; files of a batch are ordered by path
         raw = spark.readStream.options(**(options or {})).text(source)
-        return as_envelope(raw, topic, offset_col=None)
+        path = F.col("_metadata.file_path").alias("__source")
+        return as_envelope(raw.select("value", path), topic, offset_col=None, source_col="__source")
     raise ValueError(f"unknown topic format {format!r}")
