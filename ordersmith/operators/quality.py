@@ -1,7 +1,7 @@
 """Declarative data-quality checks.
 
 A suite is a list of :class:`Check`; :func:`run_suite` evaluates all of them in
-one aggregation pass over the table (plus one grouped pass per uniqueness
+one aggregation pass over the table (plus one narrow count per uniqueness
 check) and returns the report as a DataFrame, one row per check:
 ``(suite, position, check, column, evaluated, unexpected, share, success)``.
 
@@ -65,7 +65,7 @@ def in_set(column: str, values: Sequence, mostly: float = 1.0) -> Check:
     return Check("in_set", column, mostly, values=tuple(values))
 
 
-def row_count_between(min_value: int, max_value: int) -> Check:
+def row_count_between(min_value: int | None, max_value: int | None) -> Check:
     return Check("row_count", None, 1.0, min_value, max_value)
 
 
@@ -121,55 +121,43 @@ def _judge(chk: Check) -> Column:
     return F.struct(share.alias("share"), ok.alias("success"))
 
 
-def _grouped_pass(df: DataFrame, group_cols: list[str], aggs: list[Column]) -> DataFrame:
-    """One aggregation over ``df``: ``GROUPING SETS ((g1), (g2), ..., ())``.
-
-    Rows of the empty set carry the whole-table aggregates; rows of set
-    ``(g)`` carry per-value counts of ``g``. The table's plan is thus evaluated
-    once for every check on it (separate passes would each get a differently
-    pruned plan, which Spark cannot share). Partial aggregation runs before the
-    shuffle, so a value holding a third of all rows is reduced on the map side.
-    """
-    if not group_cols:
-        return df.groupBy().agg(*aggs, F.lit(0).alias("__gid"))
-    sets = [[g] for g in group_cols] + [[]]
-    return df.groupingSets(sets, *group_cols).agg(*aggs, F.grouping_id().alias("__gid"))
+def _repeats(df: DataFrame, key: list[str]) -> DataFrame:
+    """One row: non-null keys' rows (``n``), rows of repeated keys (``rows``) and how many
+    keys repeat (``keys``). One count per key, combined before its shuffle."""
+    known = df.select(*key).dropna(subset=key).groupBy(*key).agg(F.count(F.lit(1)).alias("__n"))
+    again = F.col("__n") > 1
+    return known.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("n"),
+                     F.coalesce(F.sum(F.when(again, F.col("__n"))), F.lit(0)).alias("rows"),
+                     F.count(F.when(again, 1)).alias("keys"))
 
 
-def _gid_of(group_cols: list[str], col: str | None) -> int:
-    """grouping_id of the set ``(col)`` (``None``: the empty set)."""
-    k = len(group_cols)
-    full = (1 << k) - 1
-    if col is None:
-        return full
-    return full & ~(1 << (k - 1 - group_cols.index(col)))
+def run_suite(df: DataFrame, suite: str, checks: Sequence[Check],
+              key: Sequence[str] | None = None) -> DataFrame:
+    """Evaluate ``checks`` on ``df`` (best a written table): one aggregation without a shuffle
+    of rows for all checks but uniqueness, one narrow count per unique column. ``key``
+    names the columns of a uniqueness check whose column is '__pk'."""
+    scalar = [(i, c) for i, c in enumerate(checks) if c.kind != "unique"]
+    parts = []
 
+    def row(i, c, evaluated, unexpected):
+        return F.struct(F.lit(i).alias("position"), F.lit(c.name).alias("check"),
+                        F.lit(c.column).cast("string").alias("column"),
+                        evaluated.cast("bigint").alias("evaluated"),
+                        unexpected.cast("bigint").alias("unexpected"))
 
-def run_suite(df: DataFrame, suite: str, checks: Sequence[Check]) -> DataFrame:
-    """Evaluate ``checks`` on ``df`` in one pass; the report is a small DataFrame."""
-    group_cols = list(dict.fromkeys(c.column for c in checks if c.kind == "unique"))
-    scalar = [(i, c) for i, c in enumerate(checks) if c.kind != "unique"]
-    aggs = [F.count(F.lit(1)).alias("__n")] + [a for i, c in scalar for a in _scalar_aggs(c, i)]
-    g = _grouped_pass(df, group_cols, aggs)
-    whole = F.col("__gid") == _gid_of(group_cols, None)
-    second: list[Column] = []
-    for i, c in scalar:
-        second.append(F.coalesce(F.max(F.when(whole, F.col(f"e{i}"))), F.lit(0)).alias(f"e{i}"))
-        second.append(F.coalesce(F.max(F.when(whole, F.col(f"u{i}"))), F.lit(0)).alias(f"u{i}"))
+    if scalar:
+        one = df.agg(*[a for i, c in scalar for a in _scalar_aggs(c, i)])
+        parts.append(one.select(F.inline(F.array(*[
+            row(i, c, F.coalesce(F.col(f"e{i}"), F.lit(0)), F.coalesce(F.col(f"u{i}"), F.lit(0)))
+            for i, c in scalar]))))
     for i, c in enumerate(checks):
-        if c.kind != "unique":
-            continue
-        in_set = (F.col("__gid") == _gid_of(group_cols, c.column)) & F.col(c.column).isNotNull()
-        second.append(F.coalesce(F.sum(F.when(in_set, F.col("__n"))), F.lit(0)).alias(f"e{i}"))
-        second.append(F.coalesce(F.sum(F.when(in_set & (F.col("__n") > 1), F.col("__n"))),
-                                 F.lit(0)).alias(f"u{i}"))
-    one = g.agg(*second)
-    rows = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(c.name).alias("check"),
-                              F.lit(c.column).cast("string").alias("column"),
-                              F.col(f"e{i}").cast("bigint").alias("evaluated"),
-                              F.col(f"u{i}").cast("bigint").alias("unexpected"))
-                     for i, c in enumerate(checks)])
-    out = one.select(F.inline(rows))
+        if c.kind == "unique":
+            columns = list(key) if key and c.column == "__pk" else [c.column]
+            parts.append(_repeats(df, columns).select(F.inline(F.array(
+                row(i, c, F.col("n"), F.col("rows"))))))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
     judged = [F.when(F.col("position") == i, _judge(c)) for i, c in enumerate(checks)]
     out = out.withColumn("j", F.coalesce(*judged))
     return out.select(
@@ -213,38 +201,35 @@ def run_model_tests(tables: dict[str, DataFrame], tests: Sequence[ModelTest]) ->
     """Q8: ``(model, column, test, failures, success)`` per declared test.
 
     ``not_null``: null rows; ``unique``: values present more than once;
-    ``accepted_values``: distinct non-null values outside the list. One
-    grouping-sets pass per model evaluates all of its tests.
+    ``accepted_values``: distinct non-null values outside the list. Per model one
+    aggregation for its null counts, and one narrow count per tested column.
     """
     parts: list[DataFrame] = []
+
+    def row(i, t, failures):
+        return F.struct(F.lit(i).alias("idx"), F.lit(t.model).alias("model"),
+                        F.lit(t.column).alias("column"), F.lit(t.test).alias("test"),
+                        failures.cast("bigint").alias("failures"))
+
     by_model: dict[str, list[tuple[int, ModelTest]]] = {}
     for i, t in enumerate(tests):
         by_model.setdefault(t.model, []).append((i, t))
     for model, items in by_model.items():
         df = tables[model]
-        group_cols = list(dict.fromkeys(t.column for _, t in items if t.test != "not_null"))
-        aggs = [F.count(F.lit(1)).alias("__n")]
-        aggs += [_count_if(F.col(t.column).isNull()).alias(f"f{i}")
-                 for i, t in items if t.test == "not_null"]
-        g = _grouped_pass(df, group_cols, aggs)
-        second = []
+        nulls = [(i, t) for i, t in items if t.test == "not_null"]
+        if nulls:
+            one = df.agg(*[_count_if(F.col(t.column).isNull()).alias(f"f{i}") for i, t in nulls])
+            parts.append(one.select(F.inline(F.array(*[
+                row(i, t, F.coalesce(F.col(f"f{i}"), F.lit(0))) for i, t in nulls]))))
         for i, t in items:
-            c = F.col(t.column)
-            if t.test == "not_null":
-                whole = F.col("__gid") == _gid_of(group_cols, None)
-                f = F.coalesce(F.max(F.when(whole, F.col(f"f{i}"))), F.lit(0))
-            else:
-                mine = (F.col("__gid") == _gid_of(group_cols, t.column)) & c.isNotNull()
-                bad = (F.col("__n") > 1) if t.test == "unique" else ~c.isin(*t.values)
-                if t.test not in ("unique", "accepted_values"):
-                    raise ValueError(t.test)
-                f = F.count(F.when(mine & bad, F.lit(1)))
-            second.append(f.cast("bigint").alias(f"f{i}"))
-        one = g.agg(*second)
-        parts.append(one.select(F.inline(F.array(*[
-            F.struct(F.lit(i).alias("idx"), F.lit(t.model).alias("model"),
-                     F.lit(t.column).alias("column"), F.lit(t.test).alias("test"),
-                     F.col(f"f{i}").alias("failures")) for i, t in items]))))
+            if t.test == "unique":
+                parts.append(_repeats(df, [t.column]).select(F.inline(F.array(row(i, t, F.col("keys"))))))
+            elif t.test == "accepted_values":
+                outside = df.select(t.column).where(~F.col(t.column).isin(*t.values)).distinct()
+                parts.append(outside.agg(F.count(t.column).alias("f"))
+                             .select(F.inline(F.array(row(i, t, F.col("f"))))))
+            elif t.test != "not_null":
+                raise ValueError(t.test)
     merged = parts[0]
     for p in parts[1:]:
         merged = merged.unionByName(p)
@@ -257,7 +242,5 @@ def enforce(df: DataFrame, not_null_cols: Sequence[str], key: Sequence[str],
     """Report of declared constraints (NOT NULL columns, primary key)."""
     checks = [not_null(c) for c in not_null_cols]
     if len(key) == 1:
-        checks.append(unique(key[0]))
-        return run_suite(df, table, checks)
-    keyed = df.withColumn("__pk", F.to_json(F.struct(*key)))
-    return run_suite(keyed, table, [*checks, unique("__pk")])
+        return run_suite(df, table, [*checks, unique(key[0])])
+    return run_suite(df, table, [*checks, unique("__pk")], key)

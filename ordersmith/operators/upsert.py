@@ -1,8 +1,9 @@
 """Upsert and insert-if-absent (K4 K5 K6, R2).
 
 Both are joins on the primary key, so they shuffle both sides once by the key
-and scale with the table. The source is first reduced to one row per key (the
-later row wins, as a database would require), then joined to the target.
+and scale with the table. The source must hold one row per key (the callers
+reduce it: the later row wins). Source rows with a null key are left out: a key
+that never matches would add a row with every load.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     cols = [c for c in target.columns if c not in keys]
     upd = set(update_cols) | ({newer_col} if newer_col else set())
     t = target.withColumn(_T, F.lit(True)).alias("t")
-    s = source.select(*keys, *[c for c in cols if c in source.columns]) \
+    s = source.dropna(subset=keys).select(*keys, *[c for c in cols if c in source.columns]) \
         .withColumn(_S, F.lit(True)).alias("s")
     j = t.join(s, on=keys, how="full_outer")
     in_t = F.col(f"t.{_T}").isNotNull()
@@ -59,5 +60,5 @@ def insert_new(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Dat
     """``INSERT ... ON CONFLICT DO NOTHING``: source rows whose key is not in the
     target are appended (the source must hold one row per key: see dedup)."""
     keys = list(keys)
-    fresh = source.join(target.select(*keys), on=keys, how="left_anti")
+    fresh = source.dropna(subset=keys).join(target.select(*keys), on=keys, how="left_anti")
     return target.unionByName(fresh.select(*target.columns))

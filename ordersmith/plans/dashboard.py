@@ -84,7 +84,7 @@ def delivery_by_state(fact: DataFrame, state: str | None = None) -> DataFrame:
         .orderBy(F.col("avg_delivery_days").desc(), F.col("customer_state").asc())
 
 
-def kpis(fact: DataFrame, start: DateLike, end: DateLike, order_id_unique: bool = True) -> DataFrame:
+def kpis(fact: DataFrame, start: DateLike, end: DateLike, order_id_unique: bool = False) -> DataFrame:
     """One row (even for an empty range): orders, GMV, average
     delivery days, distinct seller keys ('unknown' counts as one); null -> 0."""
     f = fact.filter(on_dates("order_purchase_timestamp", start, end))

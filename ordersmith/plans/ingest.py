@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.json import parse_messages
 from ..functions.numeric import to_money
-from ..functions.text import normalize_city, normalize_state
+from ..functions.text import loader_city, loader_state, strip
 from ..functions.timestamps import parse_ts
 from ..operators.dedup import distinct_on, keep_first
 from ..operators.lookup import enrich
@@ -23,6 +23,14 @@ ORDER_TS_COLUMNS = ["purchase_timestamp", "approved_at", "delivered_carrier_date
 ORDER_COLUMNS = ["order_id", "customer_id", "order_status", *ORDER_TS_COLUMNS]
 
 
+# Where a message stands among the others of its topic: micro-batch, file, place in it.
+ARRIVAL = ("batch", "source", "offset")
+
+
+def _later_first() -> list[Column]:
+    return [F.col(c).desc_nulls_last() for c in ARRIVAL]
+
+
 def _present(c: str) -> Column:
     """Python truthiness of a text field: not null and not ''."""
     return F.col(c).isNotNull() & (F.col(c) != "")
@@ -32,11 +40,11 @@ def parse_orders(envelope: DataFrame) -> DataFrame:
     """Order messages -> typed rows with ``event_time`` and
     ``offset`` kept for the dedup. Bad JSON, a missing or empty ``order_id``,
     and a missing ``customer_id`` are dropped."""
-    parsed = parse_messages(envelope, ORDER_EVENT)
+    parsed = parse_messages(envelope, ORDER_EVENT, keep=ARRIVAL)
     return parsed.filter(_present("order_id") & F.col("customer_id").isNotNull()).select(
         "order_id", "customer_id", "order_status",
         *[parse_ts(c).alias(c) for c in ORDER_TS_COLUMNS],
-        "event_time", "offset")
+        "event_time", *ARRIVAL)
 
 
 def clean_orders(envelope: DataFrame, with_ingest_time: bool = True,
@@ -48,7 +56,7 @@ def clean_orders(envelope: DataFrame, with_ingest_time: bool = True,
     values decide, so the kept row never depends on partitioning.
     """
     rows = parse_orders(envelope)
-    order = [F.col("event_time").desc_nulls_last(), F.col("offset").desc_nulls_last(),
+    order = [F.col("event_time").desc_nulls_last(), *_later_first(),
              *[F.col(c).asc_nulls_last() for c in ORDER_COLUMNS[1:]]]
     latest = keep_first(rows, ["order_id"], order)
     cols = list(ORDER_COLUMNS) + (["event_time"] if keep_event_time else [])
@@ -65,8 +73,8 @@ def customer_lookup(customers_csv: DataFrame, normalize: bool = False) -> DataFr
     """
     c = customers_csv.select("customer_id", "customer_city", "customer_state")
     if normalize:
-        c = c.select("customer_id", normalize_city("customer_city").alias("customer_city"),
-                     normalize_state("customer_state").alias("customer_state"))
+        c = c.select("customer_id", loader_city("customer_city").alias("customer_city"),
+                     loader_state("customer_state").alias("customer_state"))
     return distinct_on(c.filter(F.col("customer_id").isNotNull()), ["customer_id"])
 
 
@@ -78,22 +86,51 @@ def enrich_orders(orders: DataFrame, customers: DataFrame) -> DataFrame:
 
 def clean_payments(envelope: DataFrame, with_ingest_time: bool = True,
                    keep_event_time: bool = False) -> DataFrame:
-    """B2: parse, drop rows without ``order_id``, value as double. No dedup:
-    the upsert into staging reduces repeats."""
-    parsed = parse_messages(envelope, PAYMENT_EVENT)
+    """B2: parse, drop rows without ``order_id``, numbers from JSON numbers or text. An
+    absent sequence or instalment count is 1, an absent value 0; a field that is there but
+    is no number rejects the message (see :func:`rejected_payments`). No dedup: the
+    upsert into staging reduces repeats."""
+    parsed = _payment_fields(parse_messages(envelope, PAYMENT_EVENT, keep=ARRIVAL))
     cols = ["order_id", "payment_sequential", "payment_type", "payment_installments",
-            F.col("payment_value").cast("double").alias("payment_value")]
+            "payment_value"]
     if keep_event_time:
-        cols += ["event_time", "offset"]
-    out = parsed.filter(_present("order_id")).select(*cols)
+        cols += ["event_time", *ARRIVAL]
+    out = parsed.filter(_present("order_id") & F.col("__bad").isNull()).select(*cols)
     if with_ingest_time:
         out = out.withColumn("ingested_at", F.localtimestamp())
     return out
 
 
+def _payment_fields(parsed: DataFrame) -> DataFrame:
+    """Typed number fields, and in ``__bad`` the first one that cannot be read."""
+    types = {"payment_sequential": ("int", 1), "payment_installments": ("int", 1),
+             "payment_value": ("double", 0.0)}
+    typed = {c: F.when(F.col(c).isNull(), F.lit(d)).otherwise(strip(c).try_cast(t))
+             for c, (t, d) in types.items()}
+    bad = F.coalesce(*[F.when(F.col(c).isNotNull() & typed[c].isNull(), F.lit(c)) for c in types])
+    return parsed.withColumn("__bad", bad).withColumns(typed)
+
+
+def rejected_payments(envelope: DataFrame) -> DataFrame:
+    """(value, reason) of the payment messages that the ingest leaves out."""
+    parsed = parse_messages(envelope, PAYMENT_EVENT, keep=("value",))
+    reason = F.when(~F.coalesce(_present("order_id"), F.lit(False)), F.lit("order_id"))
+    return (_payment_fields(parsed).withColumn("reason", F.coalesce(reason, "__bad"))
+            .filter("reason is not null").select(F.col("value").cast("string").alias("value"), "reason"))
+
+
+def rejected_orders(envelope: DataFrame) -> DataFrame:
+    """(value, reason) of the order messages that the ingest leaves out."""
+    parsed = parse_messages(envelope, ORDER_EVENT, keep=("value",))
+    reason = (F.when(~F.coalesce(_present("order_id"), F.lit(False)), F.lit("order_id"))
+              .when(F.col("customer_id").isNull(), F.lit("customer_id")))
+    return (parsed.withColumn("reason", reason).filter("reason is not null")
+            .select(F.col("value").cast("string").alias("value"), "reason"))
+
+
 def latest_payments(payments: DataFrame) -> DataFrame:
     """One payment per (order_id, payment_sequential): the later message wins."""
-    order = [F.col("event_time").desc_nulls_last(), F.col("offset").desc_nulls_last(),
+    order = [F.col("event_time").desc_nulls_last(), *_later_first(),
              *[F.col(c).asc_nulls_last() for c in ("payment_type", "payment_installments",
                                                    "payment_value")]]
     return keep_first(payments, STAGING_KEYS["raw_payments"], order)
@@ -113,38 +150,59 @@ def staged_payments(clean: DataFrame) -> DataFrame:
     p = p.withColumn("payment_value", to_money("payment_value"))
     if "ingested_at" not in p.columns:
         p = p.withColumn("ingested_at", F.localtimestamp())
-    return p.select(*[f.name for f in RAW_PAYMENTS.fields])
+    extra = ["event_time"] if "event_time" in p.columns else []
+    return p.select(*[f.name for f in RAW_PAYMENTS.fields], *extra)
 
 
 def upsert_orders(target: DataFrame, source: DataFrame, only_newer: bool = False) -> DataFrame:
-    """K4 (+R2 with ``only_newer``: needs ``event_time`` on both sides)."""
-    return upsert(target, source, STAGING_KEYS["raw_orders"], ORDER_UPDATE_COLUMNS,
+    """K4 (+R2 with ``only_newer``: needs ``event_time`` on both sides). The event time
+    moves with every update that is taken."""
+    timed = "event_time" in target.columns and "event_time" in source.columns
+    return upsert(target, source, STAGING_KEYS["raw_orders"],
+                  [*ORDER_UPDATE_COLUMNS, *(["event_time"] if timed else [])],
                   newer_col="event_time" if only_newer else None)
 
 
-def upsert_payments(target: DataFrame, source: DataFrame) -> DataFrame:
-    """K5."""
-    return upsert(target, source, STAGING_KEYS["raw_payments"], PAYMENT_UPDATE_COLUMNS)
+def upsert_payments(target: DataFrame, source: DataFrame, only_newer: bool = False) -> DataFrame:
+    """K5 (+R2 with ``only_newer``, as for orders)."""
+    timed = "event_time" in target.columns and "event_time" in source.columns
+    return upsert(target, source, STAGING_KEYS["raw_payments"],
+                  [*PAYMENT_UPDATE_COLUMNS, *(["event_time"] if timed else [])],
+                  newer_col="event_time" if only_newer else None)
 
 
 def seller_rows(sellers_csv: DataFrame) -> DataFrame:
     """Sellers file -> ``raw_sellers`` rows (``strip().title()``, ``strip().upper()``)."""
     return sellers_csv.filter(F.col("seller_id").isNotNull()).select(
         "seller_id", "seller_zip_code_prefix",
-        normalize_city(F.coalesce("seller_city", F.lit(""))).alias("seller_city"),
-        normalize_state(F.coalesce("seller_state", F.lit(""))).alias("seller_state"))
+        loader_city(F.coalesce("seller_city", F.lit(""))).alias("seller_city"),
+        loader_state(F.coalesce("seller_state", F.lit(""))).alias("seller_state"))
 
 
 def item_rows(items_csv: DataFrame) -> DataFrame:
-    """Order items file -> ``raw_order_items`` rows (F3 on the date, money)."""
-    return items_csv.filter(F.col("order_id").isNotNull()).select(
-        "order_id",
-        F.coalesce(F.trim("order_item_id").try_cast("int"), F.lit(1)).alias("order_item_id"),
-        "product_id", "seller_id",
+    """Order items file -> ``raw_order_items`` rows (F3 on the date, money). An absent item
+    number is 1, an absent amount 0; rows whose number or amount cannot be read are left
+    out (:func:`rejected_items`)."""
+    return _item_fields(items_csv).filter("__bad is null").drop("__bad")
+
+
+def rejected_items(items_csv: DataFrame) -> DataFrame:
+    """Item rows that the load leaves out, as read, with the column that is at fault."""
+    return (_item_fields(items_csv, keep=True).filter("__bad is not null")
+            .select("raw.*", F.col("__bad").alias("reason")))
+
+
+def _item_fields(items_csv: DataFrame, keep: bool = False) -> DataFrame:
+    number = {"order_item_id": ("int", 1), "price": ("double", 0.0), "freight_value": ("double", 0.0)}
+    typed = {c: F.when(F.col(c).isNull(), F.lit(d)).otherwise(strip(c).try_cast(t))
+             for c, (t, d) in number.items()}
+    bad = F.coalesce(F.when(~F.coalesce(_present("order_id"), F.lit(False)), F.lit("order_id")),
+                     *[F.when(typed[c].isNull(), F.lit(c)) for c in number])
+    return items_csv.select(
+        "order_id", typed["order_item_id"].alias("order_item_id"), "product_id", "seller_id",
         parse_ts("shipping_limit_date").alias("shipping_limit_date"),
-        to_money(F.coalesce(F.trim("price").try_cast("double"), F.lit(0.0))).alias("price"),
-        to_money(F.coalesce(F.trim("freight_value").try_cast("double"), F.lit(0.0)))
-        .alias("freight_value"))
+        to_money(typed["price"]).alias("price"), to_money(typed["freight_value"]).alias("freight_value"),
+        bad.alias("__bad"), *([F.struct(*items_csv.columns).alias("raw")] if keep else []))
 
 
 def insert_new_sellers(target: DataFrame, source: DataFrame) -> DataFrame:

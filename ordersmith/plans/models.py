@@ -143,28 +143,22 @@ def dim_sellers(stg_sellers_df: DataFrame, raw_order_items: DataFrame, raw_payme
 
 
 def fact_orders(stg_orders_df: DataFrame, seller_keys: DataFrame, raw_order_items: DataFrame,
-                raw_payments: DataFrame, customer_keys: DataFrame | None = None,
+                raw_payments: DataFrame, customer_keys: DataFrame,
                 with_clock: bool = True) -> DataFrame:
     """One row per order.
 
     ``seller_keys`` holds (seller_id, seller_key) of the seller dimension; an
     order without items, or whose primary seller is unknown, gets 'unknown'.
 
-    The customer dimension is built from the same staged orders (every order's
-    ``customer_id`` is in it, with key ``md5(customer_id)``), so by default
-    the key is derived instead of joined: the same values without a shuffle of
-    every order by customer. Pass ``customer_keys`` (customer_id,
-    customer_key) to join a dimension built elsewhere.
+    ``customer_keys`` holds (customer_id, customer_key) of the customer dimension; an
+    order whose customer is not in it has a null key.
     """
     primary = order_primary_seller(raw_order_items)
     with_key = primary.join(seller_keys.select("seller_id", "seller_key"), "seller_id", "left") \
         .select("order_id", "seller_key")
     paid = order_payment_total(raw_payments)
     o = stg_orders_df
-    if customer_keys is not None:
-        o = o.join(customer_keys.select("customer_id", "customer_key"), "customer_id", "left")
-    else:
-        o = o.withColumn("customer_key", surrogate_key("customer_id"))
+    o = o.join(customer_keys.select("customer_id", "customer_key"), "customer_id", "left")
     j = o.join(with_key, "order_id", "left").join(paid, "order_id", "left")
     cols = [
         F.col("order_id"), F.col("customer_key"),
@@ -181,12 +175,11 @@ def fact_orders(stg_orders_df: DataFrame, seller_keys: DataFrame, raw_order_item
     return j.select(*cols)
 
 
-def agg_daily_gmv(fact: DataFrame, order_id_unique: bool = True) -> DataFrame:
+def agg_daily_gmv(fact: DataFrame, order_id_unique: bool = False) -> DataFrame:
     """One row per purchase date.
 
-    ``order_id`` is the fact's key (checked by the fact suite), so the distinct
-    order count is a plain count, which keeps the aggregation to one shuffle of
-    partial results. ``order_id_unique=False`` counts distinct values.
+    Orders are counted distinctly. ``order_id_unique=True`` takes the plain count; only
+    for a fact whose uniqueness a check of the same run has shown.
     """
     f = fact.filter(F.col("order_purchase_timestamp").isNotNull())
     n_orders = F.count("order_id") if order_id_unique else F.countDistinct("order_id")

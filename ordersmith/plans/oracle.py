@@ -1,16 +1,73 @@
 """Oracle SQL (DuckDB dialect) for every registered query with a SQL form.
 
-The adapter and the models are written as plain CTEs following the model SQL
-of the original pipeline literally (e.g. the seller revenue is the literal
-items x payments fan-out join), so they check the rewritten Spark plans.
+The adapter and the models are written from their definitions, in another form than the
+Spark code: scalar subqueries instead of pre-aggregated joins, the seller revenue as
+the sum over every pair of an item and a payment of one order. Value lists and checks are
+spelled out here, so that a wrong list in the code turns a row red.
 """
 
 from __future__ import annotations
 
-from ..schemas import VALID_ORDER_STATUSES
-from ..sources.testbed import NATION_STATES, PENDING_STATUS_BY_MOD7
+from collections import namedtuple
+
 from . import registry as R
 
+# The lists and checks below are this module's own statement of them.
+STATUSES = ["delivered", "shipped", "processing", "approved", "invoiced", "unavailable", "canceled"]
+STATES = ["AC", "AL", "AP", "AM", "BA", "CE", "DF", "ES", "GO", "MA", "MT", "MS", "MG", "PA", "PB", "PR",
+          "PE", "PI", "RJ", "RN", "RS", "RO", "RR", "SC", "SP", "SE", "TO"]
+PENDING_NAMES = ["processing", "approved", "invoiced", "unavailable", "canceled", "created", "processing"]
+Expectation = namedtuple("Expectation", "kind name column mostly min_value max_value values",
+                         defaults=(None, 1.0, None, None, ()))
+_NULL = ("not_null", "expect_column_values_to_not_be_null")
+_UNIQUE = ("unique", "expect_column_values_to_be_unique")
+_BETWEEN = ("between", "expect_column_values_to_be_between")
+_SET = ("in_set", "expect_column_values_to_be_in_set")
+_ROWS = ("row_count", "expect_table_row_count_to_be_between")
+FACT_CHECKS = [
+    Expectation(*_NULL, "order_id"), Expectation(*_UNIQUE, "order_id"),
+    Expectation(*_NULL, "customer_key"), Expectation(*_NULL, "payment_value"),
+    Expectation(*_BETWEEN, "payment_value", 1.0, 0, 100000), Expectation(*_NULL, "order_status"),
+    Expectation(*_SET, "order_status", 1.0, None, None, STATUSES),
+    Expectation(*_BETWEEN, "delivery_days", 0.98, 0, 365),
+    Expectation(*_ROWS, None, 1.0, 1, 10000000),
+    Expectation(*_NULL, "order_purchase_timestamp", 0.99),
+]
+CUSTOMER_CHECKS = [
+    Expectation(*_NULL, "customer_key"), Expectation(*_UNIQUE, "customer_key"),
+    Expectation(*_NULL, "customer_id"), Expectation(*_UNIQUE, "customer_id"),
+    Expectation(*_SET, "state", 0.95, None, None, STATES), Expectation(*_NULL, "city", 0.99),
+]
+PAYMENT_KEY_CHECKS = [
+    Expectation(*_NULL, "order_id"), Expectation(*_NULL, "payment_sequential"),
+    Expectation(*_UNIQUE, "__pk"),
+]
+Declared = namedtuple("Declared", "model column test values", defaults=((),))
+MODEL_TESTS = [
+    Declared("raw_orders", "order_id", "not_null"), Declared("raw_orders", "customer_id", "not_null"),
+    Declared("raw_orders", "order_status", "accepted_values", STATUSES),
+    Declared("raw_payments", "order_id", "not_null"),
+    Declared("raw_sellers", "seller_id", "not_null"), Declared("raw_sellers", "seller_id", "unique"),
+    Declared("raw_order_items", "order_id", "not_null"),
+    Declared("stg_orders", "order_id", "not_null"), Declared("stg_orders", "order_id", "unique"),
+    Declared("stg_orders", "customer_id", "not_null"), Declared("stg_orders", "order_status", "not_null"),
+    Declared("stg_orders", "order_status", "accepted_values", STATUSES),
+    *[Declared(m, c, t) for m, cols in (("stg_customers", ("customer_key", "customer_id")),
+                                        ("stg_sellers", ("seller_key", "seller_id")))
+      for c in cols for t in ("not_null", "unique")],
+    Declared("fact_orders", "order_id", "not_null"), Declared("fact_orders", "order_id", "unique"),
+    Declared("fact_orders", "customer_key", "not_null"),
+    Declared("fact_orders", "payment_value", "not_null"),
+    Declared("fact_orders", "order_status", "accepted_values", STATUSES),
+    Declared("dim_customers", "customer_key", "not_null"),
+    Declared("dim_customers", "customer_key", "unique"),
+    Declared("dim_customers", "customer_id", "not_null"),
+    Declared("dim_customers", "customer_id", "unique"),
+    Declared("dim_sellers", "seller_key", "not_null"), Declared("dim_sellers", "seller_key", "unique"),
+    Declared("agg_daily_gmv", "order_date", "not_null"), Declared("agg_daily_gmv", "order_date", "unique"),
+    Declared("agg_daily_gmv", "total_gmv", "not_null"),
+]
+
 
 def _list(values) -> str:
     return "[" + ", ".join(f"'{v}'" for v in values) + "]"
@@ -25,15 +82,20 @@ def _initcap(x: str) -> str:
             r", '([\p{L}\p{N}]+|[^\p{L}\p{N}]+)', 1), lambda w: upper(w[1:1]) || lower(w[2:])), '')")
 
 
+def _title(x: str) -> str:
+    return ("array_to_string(list_transform(regexp_extract_all(" + x +
+            r", '(\p{L}+|[^\p{L}]+)', 1), lambda w: upper(w[1:1]) || lower(w[2:])), '')")
+
+
 def _round_ratio(total: str, n: str, digits: int) -> str:
     """Half away from zero of total/n with whole-number total (T4)."""
     return (f"CASE WHEN ({n}) > 0 THEN CAST(sign({total}) * ((2 * abs({total}) + ({n})) // "
             f"(2 * ({n}))) AS DOUBLE) / {float(10 ** digits)} END")
 
 
-ST = _list(NATION_STATES)
-PENDING = _list(PENDING_STATUS_BY_MOD7)
-VALID = _in(VALID_ORDER_STATUSES)
+ST = _list(STATES[:25])
+PENDING = _list(PENDING_NAMES)
+VALID = _in(STATUSES)
 
 CTES: dict[str, tuple[list[str], str]] = {}
 
@@ -144,17 +206,17 @@ cte("dim_customers", ["stg_customers"], """
   SELECT customer_key, customer_id, customer_city AS city, customer_state AS state
   FROM stg_customers""")
 
-cte("seller_metrics", ["raw_order_items", "raw_payments"], """
-  SELECT oi.seller_id, count(DISTINCT oi.order_id) AS total_orders,
-    sum(coalesce(p.payment_value, 0)) AS total_revenue
-  FROM raw_order_items oi LEFT JOIN raw_payments p ON oi.order_id = p.order_id
-  GROUP BY oi.seller_id""")
+# every (item, payment) pair of one order, one row each: a payment counts once per item
+cte("sold", ["raw_order_items", "raw_payments"], """
+  SELECT i.seller_id AS who, i.order_id AS what, q.payment_value AS amount
+  FROM raw_order_items i, raw_payments q WHERE q.order_id = i.order_id""")
 
-cte("dim_sellers", ["stg_sellers", "seller_metrics"], """
-  SELECT s.seller_key, s.seller_id, s.seller_city AS city, s.seller_state AS state,
-    CAST(coalesce(sm.total_orders, 0) AS BIGINT) AS total_orders,
-    round(coalesce(sm.total_revenue, 0), 2) AS total_revenue
-  FROM stg_sellers s LEFT JOIN seller_metrics sm ON s.seller_id = sm.seller_id""")
+cte("dim_sellers", ["stg_sellers", "sold", "raw_order_items"], """
+  SELECT x.seller_key, x.seller_id, x.seller_city AS city, x.seller_state AS state,
+    (SELECT count(*) FROM (SELECT DISTINCT order_id FROM raw_order_items i
+       WHERE i.seller_id = x.seller_id)) AS total_orders,
+    coalesce((SELECT sum(amount) FROM sold WHERE who = x.seller_id), 0) AS total_revenue
+  FROM stg_sellers x""")
 
 cte("order_items", ["raw_order_items"], """
   SELECT order_id, min(seller_id) AS seller_id FROM raw_order_items GROUP BY order_id""")
@@ -163,17 +225,19 @@ cte("payments", ["raw_payments"], """
   SELECT order_id, sum(payment_value) AS total_payment_value FROM raw_payments
   GROUP BY order_id""")
 
-cte("fact_orders", ["stg_orders", "dim_customers", "order_items", "dim_sellers", "payments"], """
-  SELECT o.order_id, c.customer_key, coalesce(s.seller_key, 'unknown') AS seller_key,
-    coalesce(p.total_payment_value, 0) AS payment_value, o.order_status,
-    o.order_purchase_timestamp, o.order_approved_at, o.order_delivered_customer_date,
-    o.order_estimated_delivery_date, o.delivery_days,
-    (o.order_status = 'delivered') AS is_delivered, o.customer_state
-  FROM stg_orders o
-  LEFT JOIN dim_customers c ON o.customer_id = c.customer_id
-  LEFT JOIN order_items oi ON o.order_id = oi.order_id
-  LEFT JOIN dim_sellers s ON oi.seller_id = s.seller_id
-  LEFT JOIN payments p ON o.order_id = p.order_id""")
+cte("fact_orders", ["stg_orders", "stg_customers", "raw_order_items", "stg_sellers", "raw_payments"], """
+  SELECT a.order_id,
+    (SELECT any_value(k.customer_key) FROM stg_customers k WHERE k.customer_id = a.customer_id)
+      AS customer_key,
+    coalesce((SELECT any_value(z.seller_key) FROM stg_sellers z WHERE z.seller_id =
+      (SELECT min(i.seller_id) FROM raw_order_items i WHERE i.order_id = a.order_id)), 'unknown')
+      AS seller_key,
+    coalesce((SELECT sum(q.payment_value) FROM raw_payments q WHERE q.order_id = a.order_id), 0)
+      AS payment_value,
+    a.order_status, a.order_purchase_timestamp, a.order_approved_at,
+    a.order_delivered_customer_date, a.order_estimated_delivery_date, a.delivery_days,
+    a.order_status IN ('delivered') AS is_delivered, a.customer_state
+  FROM stg_orders a""")
 
 cte("agg_daily_gmv", ["fact_orders"], f"""
   SELECT order_date, CAST(total_orders AS BIGINT) AS total_orders,
@@ -283,13 +347,39 @@ def _model_tests_sql(tests) -> str:
     return "\nUNION ALL\n".join(rows)
 
 
-def oracle_sql() -> dict[str, str]:
-    from . import suites
+def stream_ingest_orders_sql() -> str:
+    """The streamed staging table equals the latest event of every order, enriched."""
+    return with_ctes("order_events", "cust") + """,
+latest AS (SELECT order_id, max(event_time) AS event_time FROM order_events GROUP BY order_id)
+SELECT e.order_id, e.customer_id, e.order_status, e.purchase_timestamp, e.approved_at,
+  e.delivered_carrier_date, e.delivered_customer_date, e.estimated_delivery_date,
+  c.customer_city, c.customer_state, e.event_time
+FROM latest l JOIN order_events e ON e.order_id = l.order_id AND e.event_time = l.event_time
+LEFT JOIN cust c ON c.customer_id = e.customer_id"""
 
+
+def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     ts_cols = ("purchase_timestamp", "approved_at", "delivered_carrier_date",
                "delivered_customer_date", "estimated_delivery_date")
     q["clean_orders"] = with_ctes("clean_orders") + "SELECT * FROM clean_orders"
+    q["topic_orders"] = q["clean_orders"]
+    q["same_time_orders"] = with_ctes("ord") + """
+SELECT order_id, customer_id, order_status, purchase_timestamp, approved_at,
+  delivered_carrier_date, delivered_customer_date, estimated_delivery_date FROM ord"""
+    q["csv_sellers"] = with_ctes("raw_sellers") + f"""
+SELECT seller_id, seller_zip_code_prefix, {_title("'\"x\", ' || seller_city")} AS seller_city,
+  upper(seller_state) AS seller_state FROM raw_sellers"""
+    q["clean_payments_dirty"] = with_ctes("raw_payments") + """
+SELECT order_id, CASE k WHEN 0 THEN 1 ELSE payment_sequential END AS payment_sequential,
+  payment_type, CASE k WHEN 0 THEN 1 ELSE payment_installments END AS payment_installments,
+  CASE k WHEN 0 THEN 0.0 ELSE CAST(payment_value AS DOUBLE) END AS payment_value
+FROM (SELECT *, CAST(order_id AS BIGINT) % 7 AS k FROM raw_payments) WHERE k NOT IN (2, 3, 4)"""
+    q["rejected_payments"] = with_ctes("raw_payments") + """
+SELECT CASE WHEN CAST(order_id AS BIGINT) % 7 = 2 THEN 'payment_value' ELSE 'order_id' END AS reason,
+  count(*) AS messages FROM raw_payments WHERE CAST(order_id AS BIGINT) % 7 IN (2, 3, 4) GROUP BY 1"""
+    q["daily_run"] = with_ctes("agg_daily_gmv") + \
+        "SELECT * REPLACE (CAST(order_date AS TIMESTAMP) AS order_date) FROM agg_daily_gmv"
     q["clean_payments"] = with_ctes("pay_ev") + """
 SELECT order_id, payment_sequential, payment_type, payment_installments,
   CAST(payment_value AS DOUBLE) AS payment_value FROM pay_ev"""
@@ -468,18 +558,18 @@ FROM fact_orders WHERE {dates}"""
     q["kpis_empty_range"] = with_ctes("fact_orders") + kp.format(
         avg=kavg, dates=_dates("order_purchase_timestamp", R.EMPTY_RANGE))
     q["quality_fact_orders"] = with_ctes("fact_orders") + _suite_sql(
-        "fact_orders", "fact_orders", suites.fact_orders_suite())
+        "fact_orders", "fact_orders", FACT_CHECKS)
     q["quality_dim_customers"] = with_ctes("dim_customers") + _suite_sql(
-        "dim_customers", "dim_customers", suites.dim_customers_suite())
+        "dim_customers", "dim_customers", CUSTOMER_CHECKS)
     q["model_tests"] = with_ctes(
         "raw_orders", "raw_payments", "raw_sellers", "raw_order_items", "stg_orders",
         "stg_customers", "stg_sellers", "fact_orders", "dim_customers", "dim_sellers",
-        "agg_daily_gmv") + _model_tests_sql(suites.declared_model_tests())
+        "agg_daily_gmv") + _model_tests_sql(MODEL_TESTS)
     q["quality_on_sample"] = with_ctes("fact_orders") + f""",
 sample AS (SELECT * FROM fact_orders ORDER BY order_id LIMIT {R.SAMPLE_ROWS})
-""" + _suite_sql("sample", "fact_orders_sample", suites.fact_orders_suite())
-    both = (_suite_sql("fact_orders", "fact_orders", suites.fact_orders_suite()) + "\nUNION ALL\n"
-            + _suite_sql("dim_customers", "dim_customers", suites.dim_customers_suite()))
+""" + _suite_sql("sample", "fact_orders_sample", FACT_CHECKS)
+    both = (_suite_sql("fact_orders", "fact_orders", FACT_CHECKS) + "\nUNION ALL\n"
+            + _suite_sql("dim_customers", "dim_customers", CUSTOMER_CHECKS))
     q["quality_summary"] = with_ctes("fact_orders", "dim_customers") + f""",
 rep AS ({both})
 SELECT suite, bool_and(success) AS success,
@@ -489,9 +579,7 @@ FROM rep GROUP BY suite"""
     q["constraints_raw_payments"] = with_ctes("raw_payments") + """,
 keyed AS (SELECT *, order_id || '|' || CAST(payment_sequential AS VARCHAR) AS "__pk"
           FROM raw_payments)
-""" + _suite_sql("keyed", "raw_payments", [
-        suites.not_null("order_id"), suites.not_null("payment_sequential"),
-        suites.unique("__pk")]).replace('"__pk"', '"__pk"')
+""" + _suite_sql("keyed", "raw_payments", PAYMENT_KEY_CHECKS)
     q["customer_lookup"] = with_ctes("cust") + f"""
 SELECT customer_id, customer_city, customer_state FROM (
   SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY customer_city ASC NULLS LAST,

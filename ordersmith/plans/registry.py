@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 from ..functions.timestamps import utc_iso
 from ..operators.dedup import first_on_tie, keep_first, latest_per_key
 from ..operators.quality import enforce, run_model_tests, run_suite, summarize
-from ..session import shared_dir
+from ..session import scratch_path
 from ..sources import encoders
-from ..sources.files import first_rows_by_key
+from ..sources.files import read_mart, read_sellers
+from ..sources.topic import read_topic
 from ..sources import testbed as tb
 from . import dashboard, ingest, models, suites
 
@@ -63,13 +64,20 @@ class Marts:
     instance, so a query using several marts shares their sub-plans (and
     Spark reuses the shared exchanges)."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.t = tb.Tables.for_session(spark, sf_dir)
+    def __init__(self, spark: SparkSession, sf_dir: str, written: bool = False):
+        """``written``: every node is written once under the shared folder and read back,
+        as the daily job does, so tests read tables and not their lineage."""
+        self.t = tb.Tables(spark, sf_dir)
+        self.root = scratch_path(spark, "marts") if written else None
         self._memo: dict[str, DataFrame] = {}
 
     def _get(self, name, build):
         if name not in self._memo:
-            self._memo[name] = build()
+            df = build()
+            if self.root:
+                df.write.parquet(f"{self.root}/{name}")
+                df = df.sparkSession.read.schema(df.schema).parquet(f"{self.root}/{name}")
+            self._memo[name] = df
         return self._memo[name]
 
     def raw_orders(self):
@@ -105,7 +113,7 @@ class Marts:
     def fact_orders(self):
         return self._get("fact_orders", lambda: models.fact_orders(
             self.stg_orders(), self.stg_sellers(), self.raw_order_items(), self.raw_payments(),
-            with_clock=False))
+            self.dim_customers(), with_clock=False))
 
     def agg_daily_gmv(self):
         return self._get("agg_daily_gmv", lambda: models.agg_daily_gmv(self.fact_orders()))
@@ -114,7 +122,7 @@ class Marts:
 # --- ingest ---------------------------------------------------------------
 
 def q_clean_orders(spark, sf_dir):
-    t = tb.Tables.for_session(spark, sf_dir)
+    t = tb.Tables(spark, sf_dir)
     return ingest.clean_orders(tb.order_event_stream(t), with_ingest_time=False)
 
 
@@ -127,34 +135,34 @@ def payment_topic(t: tb.Tables) -> DataFrame:
 
 
 def q_clean_payments(spark, sf_dir):
-    t = tb.Tables.for_session(spark, sf_dir)
+    t = tb.Tables(spark, sf_dir)
     return ingest.clean_payments(payment_topic(t), with_ingest_time=False)
 
 
 def q_encode_orders(spark, sf_dir):
-    t = tb.Tables.for_session(spark, sf_dir)
+    t = tb.Tables(spark, sf_dir)
     rows = tb._as_csv_text(tb.order_rows(t), "purchase_timestamp")
     return encoders.encode_orders(rows, utc_iso(F.col("purchase_timestamp")))
 
 
 def q_encode_payments(spark, sf_dir):
-    t = tb.Tables.for_session(spark, sf_dir)
+    t = tb.Tables(spark, sf_dir)
     return encoders.encode_payments(tb.payments_csv(t), utc_iso(F.col("l_shipdate")))
 
 
 def q_enrich_orders(spark, sf_dir):
-    t = tb.Tables.for_session(spark, sf_dir)
+    t = tb.Tables(spark, sf_dir)
     clean = ingest.clean_orders(tb.order_event_stream(t), with_ingest_time=False)
     return ingest.enrich_orders(clean, ingest.customer_lookup(tb.customer_lookup(t)))
 
 
 def q_latest_event_per_user(spark, sf_dir):
-    t = tb.Tables.for_session(spark, sf_dir)
+    t = tb.Tables(spark, sf_dir)
     return latest_per_key(t("events"), ["user_id"], "ts", [F.col("event_id").desc()])
 
 
 def q_first_on_tie(spark, sf_dir):
-    t = tb.Tables.for_session(spark, sf_dir)
+    t = tb.Tables(spark, sf_dir)
     arrival = [F.col("l_partkey").asc(), F.col("l_suppkey").asc(),
                F.col("l_extendedprice").asc()]
     kept = first_on_tie(tb.payment_events(t), ["order_id", "payment_sequential"],
@@ -163,7 +171,7 @@ def q_first_on_tie(spark, sf_dir):
 
 
 def q_events_parsed(spark, sf_dir):
-    t = tb.Tables.for_session(spark, sf_dir)
+    t = tb.Tables(spark, sf_dir)
     e = t("events")
     return e.select("event_id", "user_id", "event_type", "value",
                     F.from_json("props", "k int")["k"].alias("k"))
@@ -174,7 +182,7 @@ def q_parse_event_times(spark, sf_dir):
     from ..functions.timestamps import (
         iso_text, month_start, parse_ts, parse_ts_one_format, whole_days_between,
     )
-    e = tb.Tables.for_session(spark, sf_dir)("events").select("event_id", "ts")
+    e = tb.Tables(spark, sf_dir)("events").select("event_id", "ts")
     frac = iso_text("ts", "T", fraction=True)
     iso = iso_text("ts", "T")
     blank = iso_text("ts", " ")
@@ -213,7 +221,7 @@ def _incoming(c: str):
 
 
 def q_upsert_orders(spark, sf_dir):
-    t = tb.Tables.for_session(spark, sf_dir)
+    t = tb.Tables(spark, sf_dir)
     ro = tb.raw_orders(t)
     target = _stored_orders(ro.filter(_even("order_id")))
     source = ro.filter(_incoming("order_id"))
@@ -221,7 +229,7 @@ def q_upsert_orders(spark, sf_dir):
 
 
 def q_upsert_payments(spark, sf_dir):
-    t = tb.Tables.for_session(spark, sf_dir)
+    t = tb.Tables(spark, sf_dir)
     ev = tb.payment_events(t)
     keys = ["order_id", "payment_sequential"]
     target = keep_first(ev.filter(_even("l_orderkey")), keys, tb.payment_latest_order()) \
@@ -237,7 +245,7 @@ def q_upsert_payments(spark, sf_dir):
 
 
 def q_insert_new_sellers(spark, sf_dir):
-    t = tb.Tables.for_session(spark, sf_dir)
+    t = tb.Tables(spark, sf_dir)
     s = tb.raw_sellers(t)
     target = s.filter(_even("seller_id"))
     source = s.withColumn("seller_city", F.upper("seller_city"))
@@ -245,7 +253,7 @@ def q_insert_new_sellers(spark, sf_dir):
 
 
 def q_insert_new_items(spark, sf_dir):
-    t = tb.Tables.for_session(spark, sf_dir)
+    t = tb.Tables(spark, sf_dir)
     target = tb.raw_order_items(t).filter(_even("order_id"))
     source = tb.order_item_rows(t).withColumn(
         "price", F.col("price") + F.lit(1).cast("decimal(12,2)"))
@@ -337,17 +345,17 @@ def q_kpis_empty_range(spark, sf_dir):
 # --- quality ----------------------------------------------------------------
 
 def q_quality_fact_orders(spark, sf_dir):
-    return run_suite(Marts(spark, sf_dir).fact_orders(), "fact_orders",
-                     suites.fact_orders_suite())
+    return run_suite(Marts(spark, sf_dir, written=True).fact_orders(), "fact_orders",
+                     suites.fact_orders_suite(*suites.REFERENCE_FACT_ROWS))
 
 
 def q_quality_dim_customers(spark, sf_dir):
-    return run_suite(Marts(spark, sf_dir).dim_customers(), "dim_customers",
+    return run_suite(Marts(spark, sf_dir, written=True).dim_customers(), "dim_customers",
                      suites.dim_customers_suite())
 
 
 def q_model_tests(spark, sf_dir):
-    m = Marts(spark, sf_dir)
+    m = Marts(spark, sf_dir, written=True)
     tables = {
         "raw_orders": m.raw_orders(), "raw_payments": m.raw_payments(),
         "raw_sellers": m.raw_sellers(), "raw_order_items": m.raw_order_items(),
@@ -362,37 +370,130 @@ def q_model_tests(spark, sf_dir):
 def q_quality_on_sample(spark, sf_dir):
     """The suite on a fixed sample (first rows by key).
 
-    The fact is checkpointed first (the pipeline reads it from its written
-    mart); the sample then scans it a few times without recomputing it, and no
-    task receives more than about the sample size (see ``first_rows_by_key``).
+    The fact is written first and the sample read from it, as the pipeline does.
     """
-    shared_dir(spark)
-    fact = Marts(spark, sf_dir).fact_orders().checkpoint(eager=True)
-    sample = first_rows_by_key(fact, "order_id", SAMPLE_ROWS)
-    return run_suite(sample, "fact_orders_sample", suites.fact_orders_suite())
+    m = Marts(spark, sf_dir, written=True)
+    m.fact_orders()
+    sample = read_mart(spark, f"{m.root}/fact_orders", SAMPLE_ROWS, "order_id")
+    return run_suite(sample, "fact_orders_sample", suites.fact_orders_suite(*suites.REFERENCE_FACT_ROWS))
 
 
 def q_quality_summary(spark, sf_dir):
     """Q9: per suite, success and passed/evaluated checks."""
-    m = Marts(spark, sf_dir)
-    rep = run_suite(m.fact_orders(), "fact_orders", suites.fact_orders_suite()).unionByName(
+    m = Marts(spark, sf_dir, written=True)
+    rep = run_suite(m.fact_orders(), "fact_orders", suites.fact_orders_suite(*suites.REFERENCE_FACT_ROWS)).unionByName(
         run_suite(m.dim_customers(), "dim_customers", suites.dim_customers_suite()))
     return summarize(rep)
 
 
 def q_constraints_raw_payments(spark, sf_dir):
     """Declared NOT NULL and primary key of the payments staging table."""
-    return enforce(Marts(spark, sf_dir).raw_payments(), ["order_id", "payment_sequential"],
+    return enforce(Marts(spark, sf_dir, written=True).raw_payments(), ["order_id", "payment_sequential"],
                    ["order_id", "payment_sequential"], "raw_payments")
 
 
 def q_customer_lookup(spark, sf_dir):
     """The customer file as a lookup, one normalised row per id."""
-    t = tb.Tables.for_session(spark, sf_dir)
+    t = tb.Tables(spark, sf_dir)
     return ingest.customer_lookup(tb.customer_lookup(t), normalize=True)
 
 
+def q_csv_sellers(spark, sf_dir):
+    """K2 K3 K6: the sellers written as a CSV file (columns in another order, cities with
+    quotes and commas) and loaded by name."""
+    t = tb.Tables(spark, sf_dir)
+    path = scratch_path(spark, "sellers-csv")
+    odd = F.concat(F.lit('"x", '), F.col("seller_city"))
+    tb.raw_sellers(t).select("seller_state", odd.alias("seller_city"), "seller_zip_code_prefix",
+                             F.lit("more").alias("another"), "seller_id") \
+        .write.csv(path, header=True, escape='"', quote='"')
+    return ingest.seller_rows(read_sellers(spark, path))
+
+
+def q_topic_orders(spark, sf_dir):
+    """K1 B1: the order events written as JSON lines, in two runs, and read as a topic."""
+    events = tb.order_event_stream(tb.Tables(spark, sf_dir))
+    path = scratch_path(spark, "topic-orders")
+    for run, rest in (("run-000000001", 0), ("run-000000002", 1)):
+        events.filter(F.pmod("offset", F.lit(2)) == rest) \
+            .select(F.col("value").cast("string")).write.text(f"{path}/{run}")
+    return ingest.clean_orders(read_topic(spark, "orders", f"{path}/*"), with_ingest_time=False)
+
+
+def q_same_time_orders(spark, sf_dir):
+    """The same event time in two runs of files of unequal size: the later run wins."""
+    t = tb.Tables(spark, sf_dir)
+    rows = tb._as_csv_text(tb.order_rows(t), "purchase_timestamp")
+    when = F.lit("2020-01-01T00:00:00")
+    path = scratch_path(spark, "topic-ties")
+    first = rows.withColumn("order_status", F.lit("processing"))
+    for run, part, files in (("run-000000001", first, 1), ("run-000000002", rows, 7)):
+        part.select(F.to_json(F.struct(*encoders.order_event_fields(part, when)),
+                              {"ignoreNullFields": "false"}).alias("value")) \
+            .repartition(files, "value").write.text(f"{path}/{run}")
+    return ingest.clean_orders(read_topic(spark, "orders", f"{path}/*"), with_ingest_time=False)
+
+
+def _dirty_payments(t: tb.Tables) -> DataFrame:
+    """Payment messages, a part of them broken by key: by k mod 7 the sequence missing (0),
+    numbers as text (1), text that is no number (2), an empty order id (3), JSON cut off (4)."""
+    p = tb.raw_payments(t)
+    kind = F.pmod(F.col("order_id").cast("long"), F.lit(7))
+    plain = F.to_json(F.struct("order_id", "payment_sequential", "payment_type",
+                               "payment_installments",
+                               F.col("payment_value").cast("double").alias("payment_value")))
+    text = F.to_json(F.struct("order_id", *[F.concat(F.lit(" "), F.col(c).cast("string")).alias(c) for c in
+                              ("payment_sequential", "payment_installments", "payment_value")],
+                              "payment_type"))
+    value = (F.when(kind == 0, F.to_json(F.struct("order_id", "payment_type")))
+             .when(kind == 1, text).when(kind == 2, F.replace(plain, F.lit('"payment_value":'),
+                                                             F.lit('"payment_value":"x","y":')))
+             .when(kind == 3, F.regexp_replace(plain, '"order_id":"[0-9]+"', '"order_id":""'))
+             .when(kind == 4, F.left(plain, F.lit(20))).otherwise(plain))
+    from ..sources.topic import as_envelope
+    return as_envelope(p.select(value.alias("value")), "payments", offset_col=None)
+
+
+def q_clean_payments_dirty(spark, sf_dir):
+    """Defaults, numbers as text, and messages that are left out."""
+    return ingest.clean_payments(_dirty_payments(tb.Tables(spark, sf_dir)), with_ingest_time=False)
+
+
+def q_rejected_payments(spark, sf_dir):
+    """Rejects of the same messages, counted by reason."""
+    return ingest.rejected_payments(_dirty_payments(tb.Tables(spark, sf_dir))) \
+        .groupBy("reason").agg(F.count(F.lit(1)).alias("messages"))
+
+
+def q_daily_run(spark, sf_dir):
+    """One whole daily run from CSV files; its sales mart."""
+    from . import jobs
+
+    t = tb.Tables(spark, sf_dir)
+    root = scratch_path(spark, "daily-run")
+    files = {
+        "orders": tb.orders_csv(t), "customers": tb.customer_lookup(t),
+        "payments": tb.raw_payments(t), "sellers": tb.raw_sellers(t),
+        "items": tb.raw_order_items(t).withColumn(
+            "shipping_limit_date", F.date_format("shipping_limit_date", "yyyy-MM-dd HH:mm:ss")),
+    }
+    for name, df in files.items():
+        df.select(*[F.col(c).cast("string") for c in df.columns]) \
+            .write.csv(f"{root}/csv/{name}", header=True, escape='"', quote='"')
+    cfg = jobs.Config(root=root, orders_csv=f"{root}/csv/orders", payments_csv=f"{root}/csv/payments",
+                      customers_csv=f"{root}/csv/customers", sellers_csv=f"{root}/csv/sellers",
+                      order_items_csv=f"{root}/csv/items")
+    jobs.run_daily(spark, cfg, halt_on_failure=False)
+    return _comparable(jobs.marts(spark, cfg)["agg_daily_gmv"])
+
+
 QUERIES: dict[str, Query] = {
+    "csv_sellers": q_csv_sellers,
+    "topic_orders": q_topic_orders,
+    "same_time_orders": q_same_time_orders,
+    "clean_payments_dirty": q_clean_payments_dirty,
+    "rejected_payments": q_rejected_payments,
+    "daily_run": q_daily_run,
     "clean_orders": q_clean_orders,
     "clean_payments": q_clean_payments,
     "encode_orders": q_encode_orders,

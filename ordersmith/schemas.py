@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql.types import (
     BinaryType,
     DecimalType,
-    DoubleType,
     IntegerType,
     LongType,
     StringType,
@@ -27,8 +26,6 @@ BRAZILIAN_STATES = [
     "MA", "MT", "MS", "MG", "PA", "PB", "PR", "PE", "PI",
     "RJ", "RN", "RS", "RO", "RR", "SC", "SP", "SE", "TO",
 ]
-ORDERS_TOPIC = "orders"
-PAYMENTS_TOPIC = "payments"
 EVENT_SCHEMA_VERSION = "1.0"
 # Seller key used in the fact table when an order has no items.
 UNKNOWN_SELLER = "unknown"
@@ -48,15 +45,11 @@ ORDER_EVENT = _strings(
     "event_time", "schema_version",
 )
 
-PAYMENT_EVENT = StructType([
-    StructField("order_id", StringType(), True),
-    StructField("payment_sequential", IntegerType(), True),
-    StructField("payment_type", StringType(), True),
-    StructField("payment_installments", IntegerType(), True),
-    StructField("payment_value", DoubleType(), True),
-    StructField("event_time", StringType(), True),
-    StructField("schema_version", StringType(), True),
-])
+# Numbers of a payment event may come as JSON numbers or as text: read as text, cast after.
+PAYMENT_EVENT = _strings(
+    "order_id", "payment_sequential", "payment_type", "payment_installments", "payment_value",
+    "event_time", "schema_version",
+)
 
 # Topic envelope (what a Kafka source yields).
 ENVELOPE = StructType([

@@ -52,6 +52,13 @@ def write_version(df: DataFrame, root: str, version: int, count: bool = True) ->
     return obs.get["rows"] if count else None
 
 
+def write_rows(df: DataFrame, write) -> int:
+    """Run ``write`` on the frame's writer and return the rows it wrote (A10)."""
+    obs = Observation("rows_sent")
+    write(df.observe(obs, F.count(F.lit(1)).alias("rows")).write)
+    return obs.get["rows"]
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                 options: dict | None = None) -> int:
     """Write a mart or staging output once and log its row count from
