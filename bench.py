@@ -3,7 +3,7 @@
 Prints one JSON line: {"metric", "value" (sum of per-query medians, sec),
 "unit", "queries": {name: median sec}, "sf", "cpus", "spark", "runs"}.
 Each query is run once to warm up, then ``BENCH_RUNS`` times (default 3),
-every run collecting its full result (so every run does all the work).
+every run computing its full result into the no-op sink.
 """
 
 from __future__ import annotations
