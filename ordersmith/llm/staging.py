@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import scratch_path
 
 PARTITION_BYTES = 16 << 20
+UNKNOWN = 1 << 60         # Spark's estimate where it knows nothing
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -33,9 +34,12 @@ def release(spark: SparkSession) -> None:
 
 def partitions_for(df: DataFrame, bytes_each: int = PARTITION_BYTES) -> int:
     """Shuffle partitions for work in proportion to ``df``: grows with its size, at
-    least the session's setting. The same at every size; no branch depends on it."""
+    least the session's setting. Frames that Spark has no size for take the setting. Only the
+    number of partitions depends on it, not what is done."""
     size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if size >= UNKNOWN:
+        return least
     return int(max(least, min(size // bytes_each, 200_000)))
 
 
