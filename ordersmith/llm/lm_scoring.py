@@ -204,10 +204,15 @@ def _count_rows(min_count: int):
 
 
 def _quantise(x: np.ndarray) -> list[np.ndarray]:
-    """Byte codes and their code book: quantiles of the values, each by its mean."""
+    """Byte codes and their code book. Up to 256 values are kept as they are; more fall
+    into bins between quantiles and even steps, each standing for its mean."""
     if not len(x):
         return [np.zeros(0, np.uint8), np.zeros(1)]
-    edges = np.unique(np.quantile(x, np.linspace(0, 1, 257)[1:-1]))
+    values, code = np.unique(x, return_inverse=True)
+    if len(values) <= 256:
+        return [code.astype(np.uint8), values]
+    edges = np.unique(np.concatenate([np.quantile(x, np.linspace(0, 1, 129)[1:-1]),
+                                      np.linspace(values[0], values[-1], 130)[1:-1]]))
     code = np.searchsorted(edges, x, "right")
     size = np.bincount(code, minlength=len(edges) + 1)
     book = np.bincount(code, x, minlength=len(edges) + 1) / np.maximum(size, 1)
