@@ -95,12 +95,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                    size: int = 100) -> DataFrame:
     """``docs`` with repeated strings cut out of the text, all columns kept.
 
-    A character cut in two is dropped whole; ``n_chars``, if there, is counted anew;
+    A character cut in two is dropped whole (so is a replacement character in a cut text); ``n_chars``, if there, is counted anew;
     a document that nothing is left of is dropped (an empty one stays).
     """
     out = suffix_dedup(docs, id_col, text_col, size)
     text = F.when(F.col("n_removed") == 0, F.col(text_col)).otherwise(
-        F.expr("replace(try_validate_utf8(decode(kept, 'UTF-8')), '�', '')"))
+        F.replace(F.make_valid_utf8(F.col("kept").cast("string")), F.lit("\ufffd"), F.lit("")))
     out = out.where("n_removed < n_tokens or n_tokens = 0").withColumn("__t", text)
     cols = [F.col("__t").alias(c) if c == text_col else
             F.length("__t").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c)

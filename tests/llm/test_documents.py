@@ -159,11 +159,13 @@ def test_suffix_dedup_awkward_rows(spark):
 
 
 def test_remove_repeats_keeps_valid_text(spark):
-    rows = [(1, "é" * 120, "a"), (2, "xx" + "é" * 120, "b"), (3, None, "c"), (4, "é" * 120, "d")]
+    rows = [(1, "é" * 120, "a"), (2, "xx" + "é" * 120, "b"), (3, None, "c"), (4, "é" * 120, "d"),
+            (5, "é" + "a" * 99, "e"), (6, "ok ©" + "a" * 99, "f")]       # both end in byte A9
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     out = {r["doc_id"]: r["text"] for r in remove_repeats(df).collect()}
     assert out[3] is None and 4 not in out and out[2].startswith("xx")
     assert set(out[2]) <= set("xé")
+    assert out[6] == "ok "
 
 
 def test_multikey_order_sorts():
