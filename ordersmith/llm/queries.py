@@ -32,8 +32,8 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Log probabilities of every document's text."""
-    return score_texts(_table(spark, sf_dir, "documents"))
+    """Log probabilities of every document's text, from all bigrams of the training documents."""
+    return score_texts(_table(spark, sf_dir, "documents"), min_count=1)
 
 
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
