@@ -4,8 +4,11 @@ import zlib
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from ordersmith.llm import mixing
+from ordersmith.llm.mixing import mix_sources
 from ordersmith.llm.queries import QUERIES
 from test_llm_models import tokens
 
@@ -39,3 +42,23 @@ def test_op2_scores_with_bigrams_seen_once(spark):
     for held in (True, False):
         own = [(got[i], s) for i, h, s in want if h == held]
         assert sum(g for g, _ in own) == pytest.approx(sum(s for _, s in own), rel=0.005)
+
+
+@pytest.mark.parametrize("weights", [
+    {"a": 0.5004, "b": 0.2996, "c": 0.2}, {"a": 0.9999, "b": 0.0001},
+    {"hot": 10 ** 0.5} | {f"s{i:02d}": 1.0 for i in range(19)}])
+def test_op7_keeps_to_the_weights_over_many_slots(spark, weights, monkeypatch):
+    monkeypatch.setattr(mixing, "CHUNK", 7000)
+    total = sum(weights.values())
+    df = None
+    for s, w in weights.items():
+        own = spark.range(int(40_000 * w / total) + 3).select("id", F.lit(s).alias("source"))
+        df = own if df is None else df.unionByName(own)
+    out = mix_sources(df, weights, id_col="id", block_rows=1).toPandas()
+    assert out["slot"].is_unique and len(out) == df.count()
+    assert ((out["slot"] >= out["release"]) & (out["slot"] < out["deadline"])).all()
+    on = out[out["on_target"]].sort_values("slot")
+    assert len(on) > 30_000 and (on["slot"] == range(len(on))).all()
+    for s, w in weights.items():
+        ahead = (on["source"] == s).cumsum() - (on["slot"] + 1) * (w / total)
+        assert ahead.abs().max() < 1 + 1e-6
