@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from ordersmith.llm import mixing
+from ordersmith.llm import quality_lm as ql
 from ordersmith.llm.mixing import mix_sources
 from ordersmith.llm.queries import QUERIES
 from test_llm_models import tokens
@@ -62,3 +63,24 @@ def test_op7_keeps_to_the_weights_over_many_slots(spark, weights, monkeypatch):
     for s, w in weights.items():
         ahead = (on["source"] == s).cumsum() - (on["slot"] + 1) * (w / total)
         assert ahead.abs().max() < 1 + 1e-6
+
+
+def test_op1_judges_all_languages_from_all_trusted_documents(spark):
+    def text(k, n=30):
+        return " ".join(f"w{(k * 7 + j * j) % 40}" for j in range(n))
+
+    # 3 % in a small language, a few in a rare one, some without; a sample of 100 holds 3 of 'xx'
+    lang = ["xx" if k % 33 == 0 else "rare" if k % 199 == 5 else None if k % 33 == 1 else "en"
+            for k in range(1200)]
+    rows = [(k, lang[k], text(k, 8 if k % 10 == 9 else 30)) for k in range(1200)]
+    noise = " ".join(f"noise{j}" for j in range(30))
+    rows += [(5000 + i, x, noise) for i, x in enumerate(["xx", "rare", None, "en", "unseen"])]
+    rows += [(5100, "en", "noise1 noise2 noise3 noise4 noise5 noise6")]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(1200)], "doc_id long, quality int, toxic int")
+    model = ql.fit_quality_model(docs, labels, max_docs=100)
+    assert {"xx", "", "en"} == set(model.thresholds)
+    out = {r["doc_id"]: r for r in ql.classify(docs, model).collect()}
+    assert all(r["threshold"] is not None for r in out.values())
+    assert not any(out[i]["accepted"] for i in [*range(5000, 5005), 5100])
+    assert sum(out[k]["accepted"] for k in range(1200)) >= 0.95 * 1200
