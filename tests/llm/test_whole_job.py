@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from ordersmith.llm import mixing
 from ordersmith.llm import quality_lm as ql
+from ordersmith.llm.decontaminate import contamination
 from ordersmith.llm.mixing import mix_sources
 from ordersmith.llm.queries import QUERIES
 from test_llm_models import tokens
@@ -84,3 +85,17 @@ def test_op1_judges_all_languages_from_all_trusted_documents(spark):
     assert all(r["threshold"] is not None for r in out.values())
     assert not any(out[i]["accepted"] for i in [*range(5000, 5005), 5100])
     assert sum(out[k]["accepted"] for k in range(1200)) >= 0.95 * 1200
+
+
+def op5_docs(spark):
+    return [r["text"] for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").orderBy("doc_id")
+            .select("text").where("length(text) > 200").limit(300).collect()]
+
+
+def test_op5_finds_an_item_that_a_third_of_the_rows_hold(spark):
+    bench = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet")
+    item = bench.orderBy("item_id").first()
+    rows = [(k, t + (" " + item["text"] if k % 3 == 0 else "")) for k, t in enumerate(op5_docs(spark))]
+    got = contamination(spark.createDataFrame(rows, "doc_id long, text string"), bench)
+    found = {r["doc_id"] for r in got.where(f"item_id = {item['item_id']}").collect()}
+    assert {k for k, _ in rows if k % 3 == 0} <= found
