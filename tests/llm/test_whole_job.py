@@ -1,5 +1,6 @@
 """Operators against the whole job: nothing left out of models, schedules or searches."""
 import math
+import random
 import zlib
 from collections import Counter
 
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from ordersmith.llm import mixing
 from ordersmith.llm import quality_lm as ql
-from ordersmith.llm.decontaminate import contamination
+from ordersmith.llm.decontaminate import CELL, _answer, _item_words, contamination, lcs_length
 from ordersmith.llm.mixing import mix_sources
 from ordersmith.llm.queries import QUERIES
 from test_llm_models import tokens
@@ -99,3 +100,36 @@ def test_op5_finds_an_item_that_a_third_of_the_rows_hold(spark):
     got = contamination(spark.createDataFrame(rows, "doc_id long, text string"), bench)
     found = {r["doc_id"] for r in got.where(f"item_id = {item['item_id']}").collect()}
     assert {k for k, _ in rows if k % 3 == 0} <= found
+
+
+def test_op5_finds_all_that_the_rule_finds(spark):
+    """Recall against brute-force LCS, on paraphrases down to half of the item."""
+    texts, rng = op5_docs(spark), random.Random(5)
+    asked = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").orderBy("item_id").limit(40).collect()
+    items = {r["item_id"]: (_item_words(r["text"]), _item_words(_answer(r["text"]))) for r in asked}
+    rows = []
+    for k, r in enumerate(asked * 4):
+        words = r["text"].split()
+        answer = len(_answer(r["text"]).split())
+        body = len(words) - answer
+        for j in rng.sample(range(len(words)), len(words) // 2) if k % 2 else \
+                rng.sample(range(body), min(body, len(words) // 2)):
+            words[j] = f"rare{k}x{j}"
+        rows.append((k, " ".join([texts[k % 100], *words, texts[-1 - k % 100]])))
+    want = set()
+    for k, t in rows:
+        words = _item_words(t)
+        for i, (item, answer) in items.items():
+            for at in range(0, len(words), CELL):
+                if at + CELL >= len(words) and at:
+                    continue                          # belongs to the passage before
+                near = words[max(0, at - len(item) - CELL):at + 3 * CELL + len(item)]
+                common = lcs_length(item, near)
+                if common >= 0.5 * len(item) and (common >= 0.7 * len(item) or
+                                                  lcs_length(answer, near) >= 0.7 * len(answer)):
+                    want.add((k, i))
+                    break
+    bench = spark.createDataFrame([(r["item_id"], r["text"]) for r in asked], "item_id long, text string")
+    out = contamination(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()
+    assert len(want) >= 80 and {(r["doc_id"], r["item_id"]) for r in out} == want
+    assert min(r["cosine"] for r in out) < 0.3
