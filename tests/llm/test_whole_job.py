@@ -4,10 +4,12 @@ import random
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from ordersmith.llm import decontaminate as dec
 from ordersmith.llm import mixing
 from ordersmith.llm import quality_lm as ql
 from ordersmith.llm.decontaminate import CELL, _answer, _item_words, contamination, lcs_length
@@ -133,3 +135,9 @@ def test_op5_finds_all_that_the_rule_finds(spark):
     out = contamination(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()
     assert len(want) >= 80 and {(r["doc_id"], r["item_id"]) for r in out} == want
     assert min(r["cosine"] for r in out) < 0.3
+
+
+def test_op5_latent_space_has_its_full_size():
+    assert (dec.FEATURES, dec.OVERSAMPLING) == (1 << 15, 32)
+    top = np.array([2**64 - 1], np.uint64)
+    assert dec._feature(top)[0] == dec.FEATURES - 1
