@@ -51,4 +51,84 @@ SELECT conv_id, count(*) AS n_turns,
 FROM sizes GROUP BY conv_id
 """
 
-ORACLES: dict[str, str] = {"op3_ngram_jaccard_join": OP3, "op4_chat_formatting": OP4}
+# crc32 is written out (reflected, polynomial 0xEDB88320): DuckDB has none.
+_CRC = """
+  SELECT d AS crc_id, xor(list_reduce([CAST(ascii(substr(d, i, 1)) AS BIGINT) FOR i IN range(1, len(d) + 1)],
+    lambda c, b: list_reduce(range(1, 9), lambda x, k: CASE WHEN x % 2 = 1
+      THEN xor(x // 2, 3988292384) ELSE x // 2 END, xor(c, b)), 4294967295), 4294967295) AS h
+  FROM (SELECT DISTINCT CAST(doc_id AS VARCHAR) AS d FROM documents)
+"""
+
+OP11 = rf"""
+WITH crc AS ({_CRC}),
+plain AS (
+  SELECT doc_id, h % 10 = 0 AS planted, h // 10 AS g,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents JOIN crc ON crc_id = CAST(doc_id AS VARCHAR)
+), shaped AS (
+  SELECT *, CASE WHEN planted AND len(w) > 0 THEN g % len(w) END AS a FROM plain
+), texts AS (
+  SELECT doc_id, CASE WHEN a IS NULL THEN w ELSE [CASE WHEN i < a THEN w[i + 1]
+      ELSE w[a + (i - a) % (1 + (len(w) - a) // (3 + g % 8)) + 1] END FOR i IN range(len(w))] END AS w
+  FROM shaped
+), places AS (
+  SELECT doc_id, i, array_to_string(w[i + 1:i + 6], ' ') AS six
+  FROM (SELECT doc_id, w, unnest(range(len(w) - 5)) AS i FROM texts WHERE len(w) >= 12)
+), pairs AS (
+  SELECT doc_id, x.i AS i, y.i - x.i AS q, x.i - row_number() OVER (PARTITION BY doc_id, y.i - x.i ORDER BY x.i) AS isle
+  FROM places x JOIN places y USING (doc_id, six) WHERE x.i < y.i
+), runs AS (
+  SELECT doc_id, s, size, min(q) AS q FROM (
+    SELECT doc_id, q, min(i) AS s, count(*) + 5 + q AS size FROM pairs GROUP BY doc_id, q, isle)
+  WHERE size >= greatest(12, 2 * q) GROUP BY doc_id, s, size
+), summary AS (
+  SELECT doc_id, count(*) AS n_runs, max((size, -s, -q)) AS best,
+    sha256(string_agg(s || ',' || size || ',' || q || chr(10), '' ORDER BY s, q)) AS runs_sha256
+  FROM runs GROUP BY doc_id
+), dropped AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + size)) AS i FROM runs),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS t
+  FROM (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS i FROM texts)
+  ANTI JOIN dropped USING (doc_id, i) GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, -best[2] AS start, best[1] AS length, -best[3] AS period,
+  (1000 * best[1]) // -best[3] AS exponent_milli, coalesce(runs_sha256, sha256('')) AS runs_sha256,
+  sha256(coalesce(t, '')) AS collapsed_sha256
+FROM texts LEFT JOIN summary USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+OP12 = r"""
+WITH draws AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || doc_id) AS d,
+    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u
+  FROM documents
+), h AS (
+  SELECT doc_id, t, u, CAST(len(u) AS BIGINT) AS n,
+    CAST('0x' || substr(d, 1, 8) AS BIGINT) % (len(u) + 1) AS x,
+    CAST('0x' || substr(d, 9, 8) AS BIGINT) % (len(u) + 1) AS y,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+      OR CAST('0x' || substr(d, 17, 8) AS BIGINT) % 100 >= 50 THEN 'plain'
+      WHEN CAST('0x' || substr(d, 25, 8) AS BIGINT) % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM draws
+), cut AS (
+  SELECT *, array_to_string(u[1:least(x, y)], '') AS pre,
+    array_to_string(u[least(x, y) + 1:greatest(x, y)], '') AS mid,
+    array_to_string(u[greatest(x, y) + 1:], '') AS suf FROM h
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+    ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(t) AS restored_sha256
+FROM cut
+"""
+
+OP13 = r"""
+SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+  doc_id = min(doc_id) OVER same AS kept, sha256(t) AS text_sha256
+FROM (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
+WINDOW same AS (PARTITION BY t)
+"""
+
+ORACLES: dict[str, str] = {"op3_ngram_jaccard_join": OP3, "op4_chat_formatting": OP4,
+                           "op11_periodic_runs": OP11, "op12_fill_in_middle": OP12,
+                           "op13_exact_dedup": OP13}

@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 from .chat_format import format_chats, under_loss
 from .decontaminate import contamination
 from .embedding_dedup import embedding_links
+from .exact_dedup import exact_dedup
+from .fill_in_middle import fill_in_middle, restore
 from .html_extract import extract_main_text
 from .jaccard_join import jaccard_join
 from .lm_scoring import score_texts
 from .mixing import mix_sources
 from .oracles import ORACLES
+from .periodic_runs import periodic_runs
 from .quality_lm import classify, fit_quality_model
 from .substring_dedup import substring_dedup
 from .suffix_dedup import suffix_dedup
@@ -94,6 +97,51 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(pages).select("page_id", "url", "text", "n_chars")
 
 
+def with_planted_repeats(docs: DataFrame) -> DataFrame:
+    """Documents of which about one in ten ends in a repeated stretch of its own words."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    chosen = docs.withColumn("g", F.floor(h / 10)).withColumn("words", F.when(
+        h % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))))
+    n = F.size("words")
+    chosen = chosen.withColumn("a", F.when(n > 0, F.col("g") % n))
+    chosen = chosen.withColumn("p", 1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8)))
+    a, p = F.col("a"), F.col("p")
+    planted = F.transform("words", lambda w, i: F.when(
+        i >= a, F.get("words", (a + (i - a) % p).cast("int"))).otherwise(w))
+    text = F.when(a.isNotNull(), F.array_join(planted, " ")).otherwise(F.col("text"))
+    return chosen.withColumn("text", text).drop("g", "words", "a", "p")
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of at least 12 words in every document, and its text without the repeats."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic_runs(with_planted_repeats(docs), least=12)
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"],
+                                                      F.concat(r["period"], F.lit("\n"))))
+    length, period = longest["length"], -longest["period"]
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"),
+                        (-longest["start"]).alias("start"), length.alias("length"), period.alias("period"),
+                        F.floor(1000 * length / period).alias("exponent_milli"),
+                        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+                        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fill-in-middle form of every document, and the text restored from it."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    back = restore(F.col("output"), F.col("form"))
+    return fill_in_middle(docs).select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                                       F.sha2("output", 256).alias("output_sha256"),
+                                       F.sha2(back, 256).alias("restored_sha256"))
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group of equal texts of every document, and whether it stays."""
+    return exact_dedup(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline's result."""
     import corpus_pipeline
@@ -113,6 +161,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_html_extraction": op10_html_extraction,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_exact_dedup": op13_exact_dedup,
 }
 
 
