@@ -4,9 +4,9 @@
    The narrow rows are a written table, so nothing later recomputes them.
 2. Rows are grouped by the hash, counted, and the smallest id is taken. Copies meet on
    the map side first, so a group with a third of all rows sends one row per task.
-3. Texts of groups of two or more are read again and grouped by (hash, bytes): this
-   compares the bytes themselves, again on the map side first. A hash with more than one
-   class of bytes is a collision, and its rows are grouped anew by class.
+3. The texts are read again and grouped by (hash, bytes): this compares the bytes themselves,
+   again on the map side first, and no row meets another by its hash alone. A hash with more
+   than one class of bytes is a collision, and its rows are grouped anew by class.
 4. Every row takes its group's keeper. Groups larger than ``1 / HOT_GROUPS`` of all rows
    (there are fewer than ``HOT_GROUPS`` of them) are broadcast; the others are joined on
    the hash, where no key is larger than that share.
@@ -59,7 +59,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     groups = stage(_groups(rows, "h").where("n > 1"), "exact-groups")
     share = rows.count() // HOT_GROUPS
     hot, cold = groups.where(F.col("n") > share), groups.where(F.col("n") <= share)
-    collided = _collisions(source.select("h", "norm"), hot, cold)
+    collided = _collisions(source.select("h", "norm"), rows)
 
     own = _groups(rows.join(collided, "h", "left_semi"), "h", "sha")
     own = own.select("h", "sha", F.col("n").alias("n2"), F.col("first").alias("first2"))
@@ -73,18 +73,16 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       F.lower(F.hex("sha")).alias("text_sha256"))
 
 
-def _collisions(texts: DataFrame, hot: DataFrame, cold: DataFrame) -> DataFrame:
+def _collisions(texts: DataFrame, rows: DataFrame) -> DataFrame:
     """(h) of the groups whose texts are not all the same bytes."""
-    parts = [texts.join(F.broadcast(hot.select("h")), "h", "left_semi"),
-             texts.join(cold.select("h"), "h", "left_semi")]
-    found = [p.groupBy("h", "norm").agg(F.count("*").alias("copies")).select("h", "norm") for p in parts]
-    classes = found[0].unionByName(found[1]).select("h", F.sha2("norm", 256).alias("sha"))
-    per_hash = classes.groupBy("h").agg(F.count("*").alias("classes"),
-                                        F.min("sha").alias("low"), F.max("sha").alias("high"))
-    # Classes are told apart by SHA-256 from here on; two of one digest would be an error.
-    told = F.when(F.col("low") != F.col("high"), F.col("h")).otherwise(
-        F.raise_error(F.lit("different texts with equal 128-bit and 256-bit hashes")).cast("binary"))
-    return stage(per_hash.where("classes > 1").select(told.alias("h")), "exact-collisions")
+    classes = texts.groupBy("h", "norm").agg(F.count("*").alias("copies"))
+    found = stage(classes.groupBy("h").agg(F.count("*").alias("classes")).where("classes > 1"),
+                  "exact-collisions")
+    # From here on classes are told apart by SHA-256; two of one digest would be an error.
+    digests = rows.select("h", "sha").join(found, "h").groupBy("h", "sha").agg(F.max("classes").alias("c"))
+    told = digests.groupBy("h").agg(F.count("*").alias("n"), F.max("c").alias("c"))
+    return told.select(F.when(F.col("n") == F.col("c"), F.col("h")).otherwise(F.raise_error(F.lit(
+        "different texts with equal 128-bit and 256-bit hashes")).cast("binary")).alias("h"))
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
