@@ -94,7 +94,7 @@ def _out_of_range(c: Column, chk: Check) -> Column:
     return c.isNotNull() & bad
 
 
-def _scalar_aggs(chk: Check, i: int) -> list[Column]:
+def _scalar_aggs(chk: Check, i: str) -> list[Column]:
     """(evaluated, unexpected) aggregate expressions of a non-unique check."""
     if chk.kind == "row_count":
         return [F.count(F.lit(1)).alias(f"e{i}"), F.lit(0).cast("bigint").alias(f"u{i}")]
@@ -131,11 +131,19 @@ def _repeats(df: DataFrame, key: list[str]) -> DataFrame:
                      F.count(F.when(again, 1)).alias("keys"))
 
 
-def run_suite(df: DataFrame, suite: str, checks: Sequence[Check],
-              key: Sequence[str] | None = None) -> DataFrame:
+def suite_metrics(checks: Sequence[Check], prefix: str = "") -> list[Column]:
+    """Aggregates of all checks but uniqueness, for one aggregation or to be observed while the
+    table is written; :func:`run_suite` takes their values as ``observed``."""
+    return [a for i, c in enumerate(checks) if c.kind != "unique"
+            for a in _scalar_aggs(c, f"{prefix}{i}")]
+
+
+def run_suite(df: DataFrame, suite: str, checks: Sequence[Check], key: Sequence[str] | None = None,
+              observed: dict | None = None, prefix: str = "") -> DataFrame:
     """Evaluate ``checks`` on ``df`` (best a written table): one aggregation without a shuffle
     of rows for all checks but uniqueness, one narrow count per unique column. ``key``
-    names the columns of a uniqueness check whose column is '__pk'."""
+    names the columns of a uniqueness check whose column is '__pk'. With the values
+    ``observed`` when the table was written only uniqueness reads it again."""
     scalar = [(i, c) for i, c in enumerate(checks) if c.kind != "unique"]
     parts = []
 
@@ -146,10 +154,13 @@ def run_suite(df: DataFrame, suite: str, checks: Sequence[Check],
                         unexpected.cast("bigint").alias("unexpected"))
 
     if scalar:
-        one = df.agg(*[a for i, c in scalar for a in _scalar_aggs(c, i)])
+        names = [f"{k}{prefix}{i}" for i, _ in scalar for k in "eu"]
+        one = df.sparkSession.createDataFrame([tuple(observed[n] for n in names)],
+                                              ", ".join(f"{n} long" for n in names)) \
+            if observed is not None else df.agg(*suite_metrics(checks, prefix))
         parts.append(one.select(F.inline(F.array(*[
-            row(i, c, F.coalesce(F.col(f"e{i}"), F.lit(0)), F.coalesce(F.col(f"u{i}"), F.lit(0)))
-            for i, c in scalar]))))
+            row(i, c, F.coalesce(F.col(f"e{prefix}{i}"), F.lit(0)),
+                F.coalesce(F.col(f"u{prefix}{i}"), F.lit(0))) for i, c in scalar]))))
     for i, c in enumerate(checks):
         if c.kind == "unique":
             columns = list(key) if key and c.column == "__pk" else [c.column]
@@ -197,14 +208,36 @@ class ModelTest:
     values: tuple = ()
 
 
-def run_model_tests(tables: dict[str, DataFrame], tests: Sequence[ModelTest]) -> DataFrame:
+def _outside(t: ModelTest) -> Column:
+    return F.col(t.column).isNotNull() & ~F.col(t.column).isin(*t.values)
+
+
+def declared_metrics(model: str, tests: Sequence[ModelTest]) -> list[Column]:
+    """Aggregates of a model's null and value tests, to be observed while it is written."""
+    out = []
+    for i, t in enumerate(tests):
+        if t.model == model and t.test == "not_null":
+            out.append(_count_if(F.col(t.column).isNull()).alias(f"f{i}"))
+        elif t.model == model and t.test == "accepted_values":
+            out.append(_count_if(_outside(t)).alias(f"f{i}"))
+    return out
+
+
+def run_model_tests(tables: dict[str, DataFrame], tests: Sequence[ModelTest],
+                    observed: dict[str, dict] | None = None) -> DataFrame:
     """Q8: ``(model, column, test, failures, success)`` per declared test.
 
     ``not_null``: null rows; ``unique``: values present more than once;
     ``accepted_values``: distinct non-null values outside the list. Per model one
     aggregation for its null counts, and one narrow count per tested column.
+
+    ``observed`` holds, by model, the values of :func:`declared_metrics` taken when it was written:
+    its null tests then read nothing, and a value test reads the table only to count the
+    different values when some row was outside.
     """
     parts: list[DataFrame] = []
+    known: list[tuple[int, ModelTest, int]] = []
+    observed = observed or {}
 
     def row(i, t, failures):
         return F.struct(F.lit(i).alias("idx"), F.lit(t.model).alias("model"),
@@ -216,20 +249,30 @@ def run_model_tests(tables: dict[str, DataFrame], tests: Sequence[ModelTest]) ->
         by_model.setdefault(t.model, []).append((i, t))
     for model, items in by_model.items():
         df = tables[model]
+        seen = observed.get(model)
         nulls = [(i, t) for i, t in items if t.test == "not_null"]
-        if nulls:
+        if seen is not None:
+            known += [(i, t, seen[f"f{i}"] or 0) for i, t in nulls]
+        elif nulls:
             one = df.agg(*[_count_if(F.col(t.column).isNull()).alias(f"f{i}") for i, t in nulls])
             parts.append(one.select(F.inline(F.array(*[
                 row(i, t, F.coalesce(F.col(f"f{i}"), F.lit(0))) for i, t in nulls]))))
         for i, t in items:
             if t.test == "unique":
                 parts.append(_repeats(df, [t.column]).select(F.inline(F.array(row(i, t, F.col("keys"))))))
+            elif t.test == "accepted_values" and seen is not None and not seen[f"f{i}"]:
+                known.append((i, t, 0))
             elif t.test == "accepted_values":
                 outside = df.select(t.column).where(~F.col(t.column).isin(*t.values)).distinct()
                 parts.append(outside.agg(F.count(t.column).alias("f"))
                              .select(F.inline(F.array(row(i, t, F.col("f"))))))
             elif t.test != "not_null":
                 raise ValueError(t.test)
+    if known:
+        spark = next(iter(tables.values())).sparkSession
+        parts.append(spark.createDataFrame(
+            [(i, t.model, t.column, t.test, n) for i, t, n in known],
+            "idx int, model string, column string, test string, failures long"))
     merged = parts[0]
     for p in parts[1:]:
         merged = merged.unionByName(p)

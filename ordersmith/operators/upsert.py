@@ -56,9 +56,13 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     return j.select(*out)
 
 
+def only_new(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``source`` whose key is complete and not in ``target``."""
+    keys = list(keys)
+    return source.dropna(subset=keys).join(target.select(*keys), on=keys, how="left_anti")
+
+
 def insert_new(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``INSERT ... ON CONFLICT DO NOTHING``: source rows whose key is not in the
     target are appended (the source must hold one row per key: see dedup)."""
-    keys = list(keys)
-    fresh = source.dropna(subset=keys).join(target.select(*keys), on=keys, how="left_anti")
-    return target.unionByName(fresh.select(*target.columns))
+    return target.unionByName(only_new(target, source, keys).select(*target.columns))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import round_avg_whole
@@ -17,6 +17,22 @@ from ..functions.text import money_text, short_id
 from ..functions.timestamps import on_dates
 
 DateLike = dt.date | str
+# Partition column of a fact mart laid out by date (year * 100 + month of the purchase).
+MONTH = "order_month"
+
+
+def month_of(ts) -> Column:
+    return (F.year(ts) * 100 + F.month(ts)).cast("int")
+
+
+def purchased(fact: DataFrame, start: DateLike, end: DateLike) -> DataFrame:
+    """Orders purchased on dates in [start, end]. On a mart laid out by month the range also
+    names the month folders, so that the scan opens no others."""
+    cond = on_dates("order_purchase_timestamp", start, end)
+    if MONTH in fact.columns:
+        first, last = (int(str(d)[:7].replace("-", "")) for d in (start, end))
+        cond = cond & F.col(MONTH).between(first, last)
+    return fact.filter(cond)
 
 
 def daily_gmv(agg_daily: DataFrame, start: DateLike, end: DateLike) -> DataFrame:
@@ -54,7 +70,7 @@ def top_seller_labels(top: DataFrame) -> DataFrame:
 
 def order_status_dist(fact: DataFrame, start: DateLike, end: DateLike) -> DataFrame:
     """Orders per status with purchase date in [start, end], largest first."""
-    f = fact.filter(on_dates("order_purchase_timestamp", start, end))
+    f = purchased(fact, start, end)
     return f.groupBy("order_status").agg(F.count(F.lit(1)).alias("order_count")) \
         .orderBy(F.col("order_count").desc(), F.col("order_status").asc())
 
@@ -87,7 +103,7 @@ def delivery_by_state(fact: DataFrame, state: str | None = None) -> DataFrame:
 def kpis(fact: DataFrame, start: DateLike, end: DateLike, order_id_unique: bool = False) -> DataFrame:
     """One row (even for an empty range): orders, GMV, average
     delivery days, distinct seller keys ('unknown' counts as one); null -> 0."""
-    f = fact.filter(on_dates("order_purchase_timestamp", start, end))
+    f = purchased(fact, start, end)
     n_orders = F.count("order_id") if order_id_unique else F.countDistinct("order_id")
     a = f.agg(n_orders.alias("_n"), F.sum("payment_value").alias("_gmv"),
               F.sum("delivery_days").alias("_dd"), F.count("delivery_days").alias("_n_dd"),

@@ -6,9 +6,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.json import parse_messages
+from ..functions.json import parse_messages, to_json_keep_nulls
 from ..functions.numeric import to_money
-from ..functions.text import loader_city, loader_state, strip
+from ..functions.text import loader_city, loader_state
 from ..functions.timestamps import parse_ts
 from ..operators.dedup import distinct_on, keep_first
 from ..operators.lookup import enrich
@@ -17,6 +17,7 @@ from ..schemas import (
     ORDER_EVENT, ORDER_UPDATE_COLUMNS, PAYMENT_EVENT, PAYMENT_UPDATE_COLUMNS, RAW_ORDERS,
     RAW_ORDER_ITEMS, RAW_PAYMENTS, RAW_SELLERS, STAGING_KEYS,
 )
+from ..sources.files import FILE_PLACE
 
 ORDER_TS_COLUMNS = ["purchase_timestamp", "approved_at", "delivered_carrier_date",
                     "delivered_customer_date", "estimated_delivery_date"]
@@ -36,26 +37,51 @@ def _present(c: str) -> Column:
     return F.col(c).isNotNull() & (F.col(c) != "")
 
 
+def order_records(envelope: DataFrame, text: bool = True) -> DataFrame:
+    """Every order message, typed, with ``event_time``, its place among the messages,
+    and ``reason``: the field for which it is left out (bad JSON, a missing or empty ``order_id``,
+    a missing ``customer_id``), or null. With ``text``, ``value`` holds the text of messages
+    left out."""
+    parsed = parse_messages(envelope, ORDER_EVENT, keep=(*(["value"] if text else []), *ARRIVAL))
+    reason = (F.when(~F.coalesce(_present("order_id"), F.lit(False)), F.lit("order_id"))
+              .when(F.col("customer_id").isNull(), F.lit("customer_id")))
+    return parsed.select("order_id", "customer_id", "order_status",
+                         *[parse_ts(c).alias(c) for c in ORDER_TS_COLUMNS], "event_time", *ARRIVAL,
+                         reason.alias("reason"), *_text_of(reason, text))
+
+
+def _text_of(reason: Column, text: bool) -> list[Column]:
+    return [F.when(reason.isNotNull(), F.col("value").cast("string")).alias("value")] if text else []
+
+
+def accepted(records: DataFrame) -> DataFrame:
+    return records.filter("reason is null").drop("reason", "value")
+
+
+def rejected(records: DataFrame) -> DataFrame:
+    """(value, reason) of the records left out."""
+    return records.filter("reason is not null").select("value", "reason")
+
+
 def parse_orders(envelope: DataFrame) -> DataFrame:
-    """Order messages -> typed rows with ``event_time`` and
-    ``offset`` kept for the dedup. Bad JSON, a missing or empty ``order_id``,
-    and a missing ``customer_id`` are dropped."""
-    parsed = parse_messages(envelope, ORDER_EVENT, keep=ARRIVAL)
-    return parsed.filter(_present("order_id") & F.col("customer_id").isNotNull()).select(
-        "order_id", "customer_id", "order_status",
-        *[parse_ts(c).alias(c) for c in ORDER_TS_COLUMNS],
-        "event_time", *ARRIVAL)
+    """The order messages that can be used."""
+    return accepted(order_records(envelope, text=False))
 
 
 def clean_orders(envelope: DataFrame, with_ingest_time: bool = True,
                  keep_event_time: bool = False) -> DataFrame:
-    """B1: parse, filter, type, then keep the latest event per ``order_id``.
+    """B1: parse, filter, type, then keep the latest event per ``order_id``."""
+    return latest_orders(parse_orders(envelope), with_ingest_time, keep_event_time)
+
+
+def latest_orders(rows: DataFrame, with_ingest_time: bool = True,
+                  keep_event_time: bool = False) -> DataFrame:
+    """The latest event per ``order_id`` of parsed messages.
 
     Latest = largest ``event_time`` (ISO text, compared as text; a missing time
-    loses); equal times: the later message (larger offset) wins, then the row
+    loses); equal times: the later message wins (by batch, file, place in it), then the row
     values decide, so the kept row never depends on partitioning.
     """
-    rows = parse_orders(envelope)
     order = [F.col("event_time").desc_nulls_last(), *_later_first(),
              *[F.col(c).asc_nulls_last() for c in ORDER_COLUMNS[1:]]]
     latest = keep_first(rows, ["order_id"], order)
@@ -84,48 +110,65 @@ def enrich_orders(orders: DataFrame, customers: DataFrame) -> DataFrame:
     return enrich(orders, customers, "customer_id")
 
 
+def payment_records(envelope: DataFrame, text: bool = True) -> DataFrame:
+    """Every payment message, typed, with its place and ``reason``, as :func:`order_records`.
+
+    Numbers come as JSON numbers or as text (casts ignore white space around them). An absent
+    sequence or instalment count is 1, an absent value 0; a field that is there but is no
+    number is the reason for leaving the message out.
+    """
+    parsed = parse_messages(envelope, PAYMENT_EVENT, keep=(*(["value"] if text else []), *ARRIVAL))
+    typed = _numbers(PAYMENT_NUMBERS)
+    reason = F.coalesce(
+        F.when(~F.coalesce(_present("order_id"), F.lit(False)), F.lit("order_id")),
+        *[F.when(typed[c].isNull(), F.lit(c)) for c in PAYMENT_NUMBERS])
+    return parsed.select("order_id", *[typed[c].alias(c) if c in typed else c for c in PAYMENT_COLUMNS[1:]],
+                         "event_time", *ARRIVAL, reason.alias("reason"), *_text_of(reason, text))
+
+
+PAYMENT_COLUMNS = ["order_id", "payment_sequential", "payment_type", "payment_installments",
+                   "payment_value"]
+PAYMENT_NUMBERS = {"payment_sequential": ("int", 1), "payment_installments": ("int", 1),
+                   "payment_value": ("double", 0.0)}
+ITEM_NUMBERS = {"order_item_id": ("int", 1), "price": ("double", 0.0), "freight_value": ("double", 0.0)}
+# Reasons for which a record is left out, by source.
+REASONS = {
+    "orders": ("order_id", "customer_id"),
+    "payments": ("order_id", *PAYMENT_NUMBERS),
+    "sellers": ("seller_id",),
+    "order_items": ("order_id", *ITEM_NUMBERS),
+}
+
+
+def _numbers(columns: dict) -> dict[str, Column]:
+    """Number fields: the default where absent, null where there is text that is no number."""
+    return {c: F.when(F.col(c).isNull(), F.lit(d)).otherwise(F.col(c).try_cast(t))
+            for c, (t, d) in columns.items()}
+
+
 def clean_payments(envelope: DataFrame, with_ingest_time: bool = True,
                    keep_event_time: bool = False) -> DataFrame:
-    """B2: parse, drop rows without ``order_id``, numbers from JSON numbers or text. An
-    absent sequence or instalment count is 1, an absent value 0; a field that is there but
-    is no number rejects the message (see :func:`rejected_payments`). No dedup: the
-    upsert into staging reduces repeats."""
-    parsed = _payment_fields(parse_messages(envelope, PAYMENT_EVENT, keep=ARRIVAL))
-    cols = ["order_id", "payment_sequential", "payment_type", "payment_installments",
-            "payment_value"]
-    if keep_event_time:
-        cols += ["event_time", *ARRIVAL]
-    out = parsed.filter(_present("order_id") & F.col("__bad").isNull()).select(*cols)
+    """B2: parse, type, leave out what cannot be used (see :func:`payment_records`). No
+    dedup: the upsert into staging reduces repeats."""
+    return usable_payments(accepted(payment_records(envelope, text=False)), with_ingest_time, keep_event_time)
+
+
+def usable_payments(rows: DataFrame, with_ingest_time: bool = True,
+                    keep_event_time: bool = False) -> DataFrame:
+    out = rows.select(*PAYMENT_COLUMNS, *(["event_time", *ARRIVAL] if keep_event_time else []))
     if with_ingest_time:
         out = out.withColumn("ingested_at", F.localtimestamp())
     return out
 
 
-def _payment_fields(parsed: DataFrame) -> DataFrame:
-    """Typed number fields, and in ``__bad`` the first one that cannot be read."""
-    types = {"payment_sequential": ("int", 1), "payment_installments": ("int", 1),
-             "payment_value": ("double", 0.0)}
-    typed = {c: F.when(F.col(c).isNull(), F.lit(d)).otherwise(strip(c).try_cast(t))
-             for c, (t, d) in types.items()}
-    bad = F.coalesce(*[F.when(F.col(c).isNotNull() & typed[c].isNull(), F.lit(c)) for c in types])
-    return parsed.withColumn("__bad", bad).withColumns(typed)
-
-
 def rejected_payments(envelope: DataFrame) -> DataFrame:
     """(value, reason) of the payment messages that the ingest leaves out."""
-    parsed = parse_messages(envelope, PAYMENT_EVENT, keep=("value",))
-    reason = F.when(~F.coalesce(_present("order_id"), F.lit(False)), F.lit("order_id"))
-    return (_payment_fields(parsed).withColumn("reason", F.coalesce(reason, "__bad"))
-            .filter("reason is not null").select(F.col("value").cast("string").alias("value"), "reason"))
+    return rejected(payment_records(envelope))
 
 
 def rejected_orders(envelope: DataFrame) -> DataFrame:
     """(value, reason) of the order messages that the ingest leaves out."""
-    parsed = parse_messages(envelope, ORDER_EVENT, keep=("value",))
-    reason = (F.when(~F.coalesce(_present("order_id"), F.lit(False)), F.lit("order_id"))
-              .when(F.col("customer_id").isNull(), F.lit("customer_id")))
-    return (parsed.withColumn("reason", reason).filter("reason is not null")
-            .select(F.col("value").cast("string").alias("value"), "reason"))
+    return rejected(order_records(envelope))
 
 
 def latest_payments(payments: DataFrame) -> DataFrame:
@@ -154,60 +197,89 @@ def staged_payments(clean: DataFrame) -> DataFrame:
     return p.select(*[f.name for f in RAW_PAYMENTS.fields], *extra)
 
 
+def update_columns(table: str, timed: bool = True) -> list[str]:
+    """Columns that an upsert into ``table`` overwrites; the event time moves with them."""
+    own = {"raw_orders": ORDER_UPDATE_COLUMNS, "raw_payments": PAYMENT_UPDATE_COLUMNS}[table]
+    return [*own, *(["event_time"] if timed else [])]
+
+
 def upsert_orders(target: DataFrame, source: DataFrame, only_newer: bool = False) -> DataFrame:
     """K4 (+R2 with ``only_newer``: needs ``event_time`` on both sides). The event time
     moves with every update that is taken."""
     timed = "event_time" in target.columns and "event_time" in source.columns
-    return upsert(target, source, STAGING_KEYS["raw_orders"],
-                  [*ORDER_UPDATE_COLUMNS, *(["event_time"] if timed else [])],
+    return upsert(target, source, STAGING_KEYS["raw_orders"], update_columns("raw_orders", timed),
                   newer_col="event_time" if only_newer else None)
 
 
 def upsert_payments(target: DataFrame, source: DataFrame, only_newer: bool = False) -> DataFrame:
     """K5 (+R2 with ``only_newer``, as for orders)."""
     timed = "event_time" in target.columns and "event_time" in source.columns
-    return upsert(target, source, STAGING_KEYS["raw_payments"],
-                  [*PAYMENT_UPDATE_COLUMNS, *(["event_time"] if timed else [])],
+    return upsert(target, source, STAGING_KEYS["raw_payments"], update_columns("raw_payments", timed),
                   newer_col="event_time" if only_newer else None)
 
 
-def seller_rows(sellers_csv: DataFrame) -> DataFrame:
-    """Sellers file -> ``raw_sellers`` rows (``strip().title()``, ``strip().upper()``)."""
-    return sellers_csv.filter(F.col("seller_id").isNotNull()).select(
+def _place(rows: DataFrame) -> list[str]:
+    return [c for c in FILE_PLACE if c in rows.columns]
+
+
+def seller_records(sellers_csv: DataFrame) -> DataFrame:
+    """Sellers file -> ``raw_sellers`` rows (``strip().title()``, ``strip().upper()``), with the
+    rows' place in the file where it was read, and ``reason`` / ``value`` of rows without an id."""
+    names = [c for c in sellers_csv.columns if c not in FILE_PLACE]
+    reason = F.when(F.col("seller_id").isNull(), F.lit("seller_id"))
+    return sellers_csv.select(
         "seller_id", "seller_zip_code_prefix",
         loader_city(F.coalesce("seller_city", F.lit(""))).alias("seller_city"),
-        loader_state(F.coalesce("seller_state", F.lit(""))).alias("seller_state"))
+        loader_state(F.coalesce("seller_state", F.lit(""))).alias("seller_state"),
+        *_place(sellers_csv), reason.alias("reason"),
+        F.when(reason.isNotNull(), to_json_keep_nulls(*names)).alias("value"))
+
+
+def seller_rows(sellers_csv: DataFrame) -> DataFrame:
+    """The rows of the sellers file that have an id."""
+    return accepted(seller_records(sellers_csv)).drop(*FILE_PLACE)
+
+
+def item_records(items_csv: DataFrame) -> DataFrame:
+    """Order items file -> ``raw_order_items`` rows (F3 on the date, money), with their place in
+    the file where it was read. An absent item number is 1, an absent amount 0; a row without an
+    order, or whose number or amount cannot be read, has a ``reason`` and its text in ``value``."""
+    names = [c for c in items_csv.columns if c not in FILE_PLACE]
+    typed = _numbers(ITEM_NUMBERS)
+    reason = F.coalesce(
+        F.when(~F.coalesce(_present("order_id"), F.lit(False)), F.lit("order_id")),
+        *[F.when(typed[c].isNull(), F.lit(c)) for c in ITEM_NUMBERS])
+    return items_csv.select(
+        "order_id", typed["order_item_id"].alias("order_item_id"), "product_id", "seller_id",
+        parse_ts("shipping_limit_date").alias("shipping_limit_date"),
+        to_money(typed["price"]).alias("price"), to_money(typed["freight_value"]).alias("freight_value"),
+        *_place(items_csv), reason.alias("reason"),
+        F.when(reason.isNotNull(), to_json_keep_nulls(*names)).alias("value"))
 
 
 def item_rows(items_csv: DataFrame) -> DataFrame:
-    """Order items file -> ``raw_order_items`` rows (F3 on the date, money). An absent item
-    number is 1, an absent amount 0; rows whose number or amount cannot be read are left
-    out (:func:`rejected_items`)."""
-    return _item_fields(items_csv).filter("__bad is null").drop("__bad")
+    """The rows of the items file that the load takes."""
+    return accepted(item_records(items_csv)).drop(*FILE_PLACE)
 
 
 def rejected_items(items_csv: DataFrame) -> DataFrame:
-    """Item rows that the load leaves out, as read, with the column that is at fault."""
-    return (_item_fields(items_csv, keep=True).filter("__bad is not null")
-            .select("raw.*", F.col("__bad").alias("reason")))
+    """(value, reason) of the item rows that the load leaves out."""
+    return rejected(item_records(items_csv))
 
 
-def _item_fields(items_csv: DataFrame, keep: bool = False) -> DataFrame:
-    number = {"order_item_id": ("int", 1), "price": ("double", 0.0), "freight_value": ("double", 0.0)}
-    typed = {c: F.when(F.col(c).isNull(), F.lit(d)).otherwise(strip(c).try_cast(t))
-             for c, (t, d) in number.items()}
-    bad = F.coalesce(F.when(~F.coalesce(_present("order_id"), F.lit(False)), F.lit("order_id")),
-                     *[F.when(typed[c].isNull(), F.lit(c)) for c in number])
-    return items_csv.select(
-        "order_id", typed["order_item_id"].alias("order_item_id"), "product_id", "seller_id",
-        parse_ts("shipping_limit_date").alias("shipping_limit_date"),
-        to_money(typed["price"]).alias("price"), to_money(typed["freight_value"]).alias("freight_value"),
-        bad.alias("__bad"), *([F.struct(*items_csv.columns).alias("raw")] if keep else []))
+def first_in_file(rows: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
+    """Per key the row that comes first: by ``order``, else by the place in the file, else (rows
+    of no file) by value."""
+    if order is None and _place(rows):
+        rest = [c for c in rows.columns if c not in (*keys, *FILE_PLACE)]
+        order = [F.col(c).asc_nulls_last() for c in (*FILE_PLACE, *rest)]
+    kept = keep_first(rows, keys, order) if order else distinct_on(rows, keys)
+    return kept.drop(*FILE_PLACE)
 
 
 def insert_new_sellers(target: DataFrame, source: DataFrame) -> DataFrame:
     """K6: first row per ``seller_id`` wins (within the file and against the table)."""
-    src = distinct_on(source, STAGING_KEYS["raw_sellers"])
+    src = first_in_file(source, STAGING_KEYS["raw_sellers"])
     return insert_new(target, src.select(*[f.name for f in RAW_SELLERS.fields]),
                       STAGING_KEYS["raw_sellers"])
 
@@ -216,5 +288,5 @@ def insert_new_items(target: DataFrame, source: DataFrame,
                      order: list[Column] | None = None) -> DataFrame:
     """K6 for order items; ``order`` decides which of repeated keys is first."""
     keys = STAGING_KEYS["raw_order_items"]
-    src = keep_first(source, keys, order) if order else distinct_on(source, keys)
+    src = first_in_file(source, keys, order)
     return insert_new(target, src.select(*[f.name for f in RAW_ORDER_ITEMS.fields]), keys)

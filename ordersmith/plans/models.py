@@ -3,10 +3,9 @@
 Shuffles per mart, at any scale:
 * ``fact_orders``: line items reduced to one (order, primary seller) row and
   payments to one total per order *before* any join (partial aggregation on the
-  map side); the narrow (order, seller) pairs meet the sellers on ``seller_id``,
-  then every order-level side is joined on ``order_id``, so the wide order rows
-  are shuffled once. ``customer_key`` is ``md5(customer_id)`` by construction of
-  the customer dimension (see :func:`fact_orders`).
+  map side); the narrow (order, seller) pairs meet the sellers on ``seller_id`` and
+  the narrow (order, customer) pairs the customers on ``customer_id``; then every
+  order-level side is joined on ``order_id``, so the wide order rows are shuffled once.
 * ``dim_sellers``: the revenue fan-out is computed from per-(seller, order) item
   counts and per-order payment totals (the algebraic form of the literal
   items x payments join), never materialising the fan-out.
@@ -158,8 +157,11 @@ def fact_orders(stg_orders_df: DataFrame, seller_keys: DataFrame, raw_order_item
         .select("order_id", "seller_key")
     paid = order_payment_total(raw_payments)
     o = stg_orders_df
-    o = o.join(customer_keys.select("customer_id", "customer_key"), "customer_id", "left")
-    j = o.join(with_key, "order_id", "left").join(paid, "order_id", "left")
+    # distinct: an order id that stands twice must not multiply its rows
+    buyers = o.select("order_id", "customer_id").distinct().join(
+        customer_keys.select("customer_id", "customer_key"), "customer_id")
+    j = o.join(with_key, "order_id", "left").join(paid, "order_id", "left") \
+        .join(buyers, ["order_id", "customer_id"], "left")
     cols = [
         F.col("order_id"), F.col("customer_key"),
         F.coalesce(F.col("seller_key"), F.lit(UNKNOWN_SELLER)).alias("seller_key"),

@@ -208,20 +208,21 @@ cte("dim_customers", ["stg_customers"], """
 
 # every (item, payment) pair of one order, one row each: a payment counts once per item
 cte("sold", ["raw_order_items", "raw_payments"], """
-  SELECT i.seller_id AS who, i.order_id AS what, q.payment_value AS amount
-  FROM raw_order_items i, raw_payments q WHERE q.order_id = i.order_id""")
+  SELECT i.seller_id, q.payment_value
+  FROM raw_order_items i JOIN raw_payments q ON q.order_id = i.order_id""")
 
 cte("dim_sellers", ["stg_sellers", "sold", "raw_order_items"], """
   SELECT x.seller_key, x.seller_id, x.seller_city AS city, x.seller_state AS state,
     (SELECT count(*) FROM (SELECT DISTINCT order_id FROM raw_order_items i
        WHERE i.seller_id = x.seller_id)) AS total_orders,
-    coalesce((SELECT sum(amount) FROM sold WHERE who = x.seller_id), 0) AS total_revenue
+    coalesce((SELECT sum(payment_value) FROM sold WHERE sold.seller_id = x.seller_id), 0)
+      AS total_revenue
   FROM stg_sellers x""")
 
-cte("order_items", ["raw_order_items"], """
+cte("primary_sellers", ["raw_order_items"], """
   SELECT order_id, min(seller_id) AS seller_id FROM raw_order_items GROUP BY order_id""")
 
-cte("payments", ["raw_payments"], """
+cte("paid_totals", ["raw_payments"], """
   SELECT order_id, sum(payment_value) AS total_payment_value FROM raw_payments
   GROUP BY order_id""")
 
@@ -236,7 +237,7 @@ cte("fact_orders", ["stg_orders", "stg_customers", "raw_order_items", "stg_selle
       AS payment_value,
     a.order_status, a.order_purchase_timestamp, a.order_approved_at,
     a.order_delivered_customer_date, a.order_estimated_delivery_date, a.delivery_days,
-    a.order_status IN ('delivered') AS is_delivered, a.customer_state
+    a.order_status = 'delivered' AS is_delivered, a.customer_state
   FROM stg_orders a""")
 
 cte("agg_daily_gmv", ["fact_orders"], f"""
@@ -358,6 +359,37 @@ FROM latest l JOIN order_events e ON e.order_id = l.order_id AND e.event_time =
 LEFT JOIN cust c ON c.customer_id = e.customer_id"""
 
 
+def _daily_rejects_sql() -> str:
+    """Rows read, taken and left out by every step of the run over broken files: the key modulo 7
+    says what is broken."""
+    bad = "CAST({} AS BIGINT) % 7".format
+    orders, sellers, key = bad("order_id"), bad("seller_id"), bad("order_id")
+    sent = f"{key} NOT IN (1, 2)"
+    steps = [
+        ("publish", "orders", "ord", "true", [], None),
+        ("publish", "payments", "raw_payments", sent, [
+            ("payment_sequential", "false"), ("payment_installments", f"{key} = 1"),
+            ("payment_value", f"{key} = 2")], None),
+        ("ingest", "orders", "ord", f"{orders} <> 4", [
+            ("order_id", f"{orders} = 4"), ("customer_id", "false")], f"{orders} <> 4"),
+        ("ingest", "payments", f"(SELECT * FROM raw_payments WHERE {sent})", "true", [
+            (c, "false") for c in ("order_id", "payment_sequential", "payment_installments",
+                                   "payment_value")], "true"),
+        ("load", "sellers", "raw_sellers", f"{sellers} <> 5", [("seller_id", f"{sellers} = 5")],
+         f"{sellers} <> 5"),
+        ("load", "order_items", "raw_order_items", f"{key} <> 3", [
+            ("order_id", "false"), ("order_item_id", f"{key} = 3"), ("price", "false"),
+            ("freight_value", "false")], f"{key} <> 3"),
+    ]
+    rows = []
+    for step, source, table, taken, reasons, kept in steps:
+        outcomes = [("read", "true"), ("accepted", taken), *[(f"rejected: {r}", c) for r, c in reasons]]
+        outcomes += [("in table", kept)] if kept else []
+        rows += [f"SELECT '{step}' AS step, '{source}' AS source, '{o}' AS outcome, "
+                 f"(SELECT count(*) FROM {table} WHERE {c}) AS rows" for o, c in outcomes]
+    return with_ctes("ord", "raw_payments", "raw_sellers", "raw_order_items") + "\nUNION ALL ".join(rows)
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     ts_cols = ("purchase_timestamp", "approved_at", "delivered_carrier_date",
@@ -380,6 +412,25 @@ SELECT CASE WHEN CAST(order_id AS BIGINT) % 7 = 2 THEN 'payment_value' ELSE 'ord
   count(*) AS messages FROM raw_payments WHERE CAST(order_id AS BIGINT) % 7 IN (2, 3, 4) GROUP BY 1"""
     q["daily_run"] = with_ctes("agg_daily_gmv") + \
         "SELECT * REPLACE (CAST(order_date AS TIMESTAMP) AS order_date) FROM agg_daily_gmv"
+    q["first_seller_in_file"] = with_ctes("raw_sellers") + f"""
+SELECT seller_id, seller_zip_code_prefix, {_title("'m ' || seller_city")} AS seller_city,
+  upper(seller_state) AS seller_state FROM raw_sellers"""
+    q["csv_multiline_customers"] = with_ctes("cust") + """
+SELECT customer_id, customer_unique_id, customer_zip_code_prefix,
+  CASE WHEN length(customer_city) % 2 = 0 THEN '"a,b"' || chr(10) || customer_city
+    ELSE customer_city END AS customer_city, customer_state FROM cust"""
+    q["stream_same_time_orders"] = q["same_time_orders"]
+    q["stream_lost_checkpoint"] = stream_ingest_orders_sql()
+    q["daily_rejects"] = _daily_rejects_sql()
+    q["daily_gate"] = with_ctes(
+        "raw_orders", "raw_payments", "raw_sellers", "raw_order_items", "stg_orders", "stg_customers",
+        "stg_sellers", "fact_orders", "dim_customers", "dim_sellers", "agg_daily_gmv") + f"""
+SELECT suite, "check", "column", unexpected, true AS stopped FROM (
+  SELECT suite, "check", "column", unexpected, success FROM (
+    {_suite_sql("fact_orders", "fact_orders", FACT_CHECKS)}
+    UNION ALL {_suite_sql("dim_customers", "dim_customers", CUSTOMER_CHECKS)})
+  UNION ALL SELECT 'model_tests', model || ':' || test, "column", failures, success FROM (
+    {_model_tests_sql(MODEL_TESTS)})) WHERE NOT success"""
     q["clean_payments"] = with_ctes("pay_ev") + """
 SELECT order_id, payment_sequential, payment_type, payment_installments,
   CAST(payment_value AS DOUBLE) AS payment_value FROM pay_ev"""
@@ -487,6 +538,8 @@ SELECT order_id, order_item_id, product_id, seller_id, shipping_limit_date,
   CAST(price AS DOUBLE) AS price, CAST(freight_value AS DOUBLE) AS freight_value
 FROM first_src s WHERE NOT EXISTS (
   SELECT 1 FROM tgt WHERE tgt.order_id = s.order_id AND tgt.order_item_id = s.order_item_id)"""
+    q["bucketed_upsert_orders"] = q["upsert_orders"]
+    q["bucketed_insert_items"] = q["insert_new_items"]
     q["stg_orders"] = with_ctes("stg_orders") + \
         "SELECT * REPLACE (CAST(delivery_days AS DOUBLE) AS delivery_days) FROM stg_orders"
     q["stg_customers"] = with_ctes("stg_customers") + "SELECT * FROM stg_customers"
@@ -495,9 +548,9 @@ FROM first_src s WHERE NOT EXISTS (
     q["dim_sellers"] = with_ctes("dim_sellers") + """
 SELECT seller_key, seller_id, city, state, total_orders,
   CAST(total_revenue AS DOUBLE) AS total_revenue FROM dim_sellers"""
-    q["order_payment_total"] = with_ctes("payments") + """
-SELECT order_id, CAST(total_payment_value AS DOUBLE) AS total_payment_value FROM payments"""
-    q["order_primary_seller"] = with_ctes("order_items") + "SELECT * FROM order_items"
+    q["order_payment_total"] = with_ctes("paid_totals") + """
+SELECT order_id, CAST(total_payment_value AS DOUBLE) AS total_payment_value FROM paid_totals"""
+    q["order_primary_seller"] = with_ctes("primary_sellers") + "SELECT * FROM primary_sellers"
     q["fact_orders"] = with_ctes("fact_orders") + """
 SELECT order_id, customer_key, seller_key, CAST(payment_value AS DOUBLE) AS payment_value,
   order_status, order_purchase_timestamp, order_approved_at, order_delivered_customer_date,
@@ -555,6 +608,7 @@ FROM fact_orders WHERE {dates}"""
     kavg = _round_ratio("CAST(sum(delivery_days) AS HUGEINT) * 10", "count(delivery_days)", 1)
     q["kpis"] = with_ctes("fact_orders") + kp.format(
         avg=kavg, dates=_dates("order_purchase_timestamp", R.KPI_RANGE))
+    q["kpis_from_dated_mart"] = q["kpis"]
     q["kpis_empty_range"] = with_ctes("fact_orders") + kp.format(
         avg=kavg, dates=_dates("order_purchase_timestamp", R.EMPTY_RANGE))
     q["quality_fact_orders"] = with_ctes("fact_orders") + _suite_sql(

@@ -11,13 +11,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.timestamps import utc_iso
 from ..operators.dedup import first_on_tie, keep_first, latest_per_key
-from ..operators.quality import enforce, run_model_tests, run_suite, summarize
+from ..operators.quality import (
+    QualityError, declared_metrics, enforce, run_model_tests, run_suite, suite_metrics, summarize,
+)
+from ..schemas import CUSTOMERS_CSV, RAW_ORDER_ITEMS, RAW_ORDERS, RAW_SELLERS, STAGING_KEYS
 from ..session import scratch_path
+from ..sinks.buckets import BucketTable
+from ..sinks.staging import read_current, version_dir, write_observed
 from ..sources import encoders
-from ..sources.files import read_mart, read_sellers
+from ..sources.files import read_csv, read_mart, read_sellers
 from ..sources.topic import read_topic
 from ..sources import testbed as tb
 from . import dashboard, ingest, models, suites
@@ -59,24 +65,35 @@ def _money(df: DataFrame, *cols: str) -> DataFrame:
     return df
 
 
+# Suites whose scalar checks are taken while their table is written.
+CHECKED = {
+    "fact_orders": lambda: suites.fact_orders_suite(*suites.REFERENCE_FACT_ROWS),
+    "dim_customers": lambda: suites.dim_customers_suite(),
+}
+
+
 class Marts:
     """The model graph over the test tables. Every node is built once per
     instance, so a query using several marts shares their sub-plans (and
     Spark reuses the shared exchanges)."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, written: bool = False):
-        """``written``: every node is written once under the shared folder and read back,
+    def __init__(self, spark: SparkSession, sf_dir: str, written: tuple[str, ...] = ()):
+        """``written``: these nodes are written once under the shared folder and read back,
         as the daily job does, so tests read tables and not their lineage."""
         self.t = tb.Tables(spark, sf_dir)
-        self.root = scratch_path(spark, "marts") if written else None
+        self.root = scratch_path(spark, "marts")
+        self.written = written
+        self.seen: dict[str, dict] = {}
         self._memo: dict[str, DataFrame] = {}
 
     def _get(self, name, build):
         if name not in self._memo:
             df = build()
-            if self.root:
-                df.write.parquet(f"{self.root}/{name}")
-                df = df.sparkSession.read.schema(df.schema).parquet(f"{self.root}/{name}")
+            if name in self.written:
+                checks = CHECKED.get(name, lambda: [])()
+                self.seen[name] = write_observed(df, f"{self.root}/{name}", 1, metrics=[
+                    *suite_metrics(checks, "s"), *declared_metrics(name, suites.declared_model_tests())])
+                df = read_current(df.sparkSession, f"{self.root}/{name}", df.schema)
             self._memo[name] = df
         return self._memo[name]
 
@@ -344,27 +361,29 @@ def q_kpis_empty_range(spark, sf_dir):
 
 # --- quality ----------------------------------------------------------------
 
+def _checked(m: Marts, name: str) -> DataFrame:
+    """The suite of a mart that is written once: scalar checks observed in that write, the
+    uniqueness checks read the written table."""
+    df = getattr(m, name)()
+    return run_suite(df, name, CHECKED[name](), observed=m.seen[name], prefix="s")
+
+
 def q_quality_fact_orders(spark, sf_dir):
-    return run_suite(Marts(spark, sf_dir, written=True).fact_orders(), "fact_orders",
-                     suites.fact_orders_suite(*suites.REFERENCE_FACT_ROWS))
+    return _checked(Marts(spark, sf_dir, written=("fact_orders",)), "fact_orders")
 
 
 def q_quality_dim_customers(spark, sf_dir):
-    return run_suite(Marts(spark, sf_dir, written=True).dim_customers(), "dim_customers",
-                     suites.dim_customers_suite())
+    return _checked(Marts(spark, sf_dir, written=("dim_customers",)), "dim_customers")
+
+
+MODELS = ("raw_orders", "raw_payments", "raw_sellers", "raw_order_items", "stg_orders", "stg_customers",
+          "stg_sellers", "dim_customers", "dim_sellers", "fact_orders", "agg_daily_gmv")
 
 
 def q_model_tests(spark, sf_dir):
-    m = Marts(spark, sf_dir, written=True)
-    tables = {
-        "raw_orders": m.raw_orders(), "raw_payments": m.raw_payments(),
-        "raw_sellers": m.raw_sellers(), "raw_order_items": m.raw_order_items(),
-        "stg_orders": m.stg_orders(), "stg_customers": m.stg_customers(),
-        "stg_sellers": m.stg_sellers(), "fact_orders": m.fact_orders(),
-        "dim_customers": m.dim_customers(), "dim_sellers": m.dim_sellers(),
-        "agg_daily_gmv": m.agg_daily_gmv(),
-    }
-    return run_model_tests(tables, suites.declared_model_tests())
+    m = Marts(spark, sf_dir, written=MODELS)
+    tables = {name: getattr(m, name)() for name in MODELS}
+    return run_model_tests(tables, suites.declared_model_tests(), m.seen)
 
 
 def q_quality_on_sample(spark, sf_dir):
@@ -372,23 +391,22 @@ def q_quality_on_sample(spark, sf_dir):
 
     The fact is written first and the sample read from it, as the pipeline does.
     """
-    m = Marts(spark, sf_dir, written=True)
+    m = Marts(spark, sf_dir, written=("fact_orders",))
     m.fact_orders()
-    sample = read_mart(spark, f"{m.root}/fact_orders", SAMPLE_ROWS, "order_id")
+    sample = read_mart(spark, version_dir(f"{m.root}/fact_orders", 1), SAMPLE_ROWS, "order_id")
     return run_suite(sample, "fact_orders_sample", suites.fact_orders_suite(*suites.REFERENCE_FACT_ROWS))
 
 
 def q_quality_summary(spark, sf_dir):
     """Q9: per suite, success and passed/evaluated checks."""
-    m = Marts(spark, sf_dir, written=True)
-    rep = run_suite(m.fact_orders(), "fact_orders", suites.fact_orders_suite(*suites.REFERENCE_FACT_ROWS)).unionByName(
-        run_suite(m.dim_customers(), "dim_customers", suites.dim_customers_suite()))
+    m = Marts(spark, sf_dir, written=("fact_orders", "dim_customers"))
+    rep = _checked(m, "fact_orders").unionByName(_checked(m, "dim_customers"))
     return summarize(rep)
 
 
 def q_constraints_raw_payments(spark, sf_dir):
     """Declared NOT NULL and primary key of the payments staging table."""
-    return enforce(Marts(spark, sf_dir, written=True).raw_payments(), ["order_id", "payment_sequential"],
+    return enforce(Marts(spark, sf_dir, written=("raw_payments",)).raw_payments(), ["order_id", "payment_sequential"],
                    ["order_id", "payment_sequential"], "raw_payments")
 
 
@@ -465,28 +483,169 @@ def q_rejected_payments(spark, sf_dir):
         .groupBy("reason").agg(F.count(F.lit(1)).alias("messages"))
 
 
-def q_daily_run(spark, sf_dir):
-    """One whole daily run from CSV files; its sales mart."""
-    from . import jobs
+# --- staging tables in buckets ------------------------------------------------
 
+def q_bucketed_upsert_orders(spark, sf_dir):
+    """The upsert of ``upsert_orders``, as two loads of a bucketed staging table."""
+    ro = tb.raw_orders(tb.Tables(spark, sf_dir))
+    schema = StructType([f for f in RAW_ORDERS.fields if f.name in RAW_ORDER_COLUMNS])
+    into = BucketTable(spark, scratch_path(spark, "orders-table"), schema, STAGING_KEYS["raw_orders"])
+    update = ingest.update_columns("raw_orders", timed=False)
+    into.upsert(_stored_orders(ro.filter(_even("order_id"))), (0, 1), update)
+    into.upsert(ro.filter(_incoming("order_id")), (0, 2), update)
+    return into.read().select(*RAW_ORDER_COLUMNS)
+
+
+def q_bucketed_insert_items(spark, sf_dir):
+    """K6: the insert of ``insert_new_items``, as two loads of a bucketed staging table."""
     t = tb.Tables(spark, sf_dir)
-    root = scratch_path(spark, "daily-run")
+    keys = STAGING_KEYS["raw_order_items"]
+    into = BucketTable(spark, scratch_path(spark, "items-table"), RAW_ORDER_ITEMS, keys)
+    into.insert_new(tb.raw_order_items(t).filter(_even("order_id")), (0, 1))
+    source = tb.order_item_rows(t).withColumn(
+        "price", F.col("price") + F.lit(1).cast("decimal(12,2)"))
+    into.insert_new(ingest.first_in_file(source, keys, tb.item_first_order()), (0, 2))
+    return _money(into.read(), "price", "freight_value")
+
+
+def q_first_seller_in_file(spark, sf_dir):
+    """K6: every seller three times in the file; the row that stands first is kept, though
+    later ones sort before it."""
+    s = tb.raw_sellers(tb.Tables(spark, sf_dir))
+    path = scratch_path(spark, "sellers-twice")
+    copies = s.withColumn("n", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2)))).withColumn(
+        "seller_city", F.concat(F.element_at(F.array(F.lit("m "), F.lit("z "), F.lit("a ")), F.col("n") + 1),
+                                "seller_city"))
+    copies.orderBy("n", "seller_id").drop("n").write.csv(path, header=True, escape='"', quote='"')
+    rows = ingest.accepted(ingest.seller_records(read_sellers(spark, path)))
+    into = BucketTable(spark, scratch_path(spark, "sellers-table"), RAW_SELLERS, STAGING_KEYS["raw_sellers"])
+    into.insert_new(ingest.first_in_file(rows, into.keys), (0, 1))
+    return into.read()
+
+
+def q_csv_multiline_customers(spark, sf_dir):
+    """K2: customers with line breaks and quotes in their city, the file read by splits."""
+    path = scratch_path(spark, "customers-csv")
+    rows = tb.customer_lookup(tb.Tables(spark, sf_dir))
+    odd = F.when(F.length("customer_city") % 2 == 0, F.concat(F.lit('"a,b"\n'), "customer_city")) \
+        .otherwise(F.col("customer_city"))
+    rows.withColumn("customer_city", odd).write.csv(
+        path, header=True, escape='"', quote='"', ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False)
+    return read_csv(spark, path, CUSTOMERS_CSV, split_from=0)
+
+
+def _stream_runs(spark, drops, lose_checkpoint=False, customers=None):
+    """The order table after each drop of messages came in through the stream."""
+    from ..streaming.ingest import run_order_stream
+
+    base = scratch_path(spark, "stream-runs")
+    for i, messages in enumerate(drops):
+        messages.select(F.col("value").cast("string")).write.text(f"{base}/in/drop-{i}")
+        checkpoint = f"{base}/checkpoint-{i if lose_checkpoint else 0}"
+        out = run_order_stream(spark, f"{base}/in/*", f"{base}/table", checkpoint, customers)
+    return out
+
+
+def q_stream_same_time_orders(spark, sf_dir):
+    """Three messages of one order and one event time in a drop; the last in the files is kept."""
+    rows = tb._as_csv_text(tb.order_rows(tb.Tables(spark, sf_dir)), "purchase_timestamp")
+    when = F.lit("2020-01-01T00:00:00")
+    status = F.element_at(F.array(F.lit("shipped"), F.lit("delivered"), F.col("order_status")), F.col("n") + 1)
+    events = rows.withColumn("n", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2)))) \
+        .withColumn("order_status", status)
+    value = F.to_json(F.struct(*encoders.order_event_fields(events, when)), {"ignoreNullFields": "false"})
+    out = _stream_runs(spark, [events.orderBy("n", "order_id").select(value.alias("value"))])
+    return out.select(*ingest.ORDER_COLUMNS)
+
+
+def q_stream_lost_checkpoint(spark, sf_dir):
+    """The checkpoint is lost between two drops; the table holds the newest events all the same."""
+    t = tb.Tables(spark, sf_dir)
+    events = tb.order_event_stream(t)
+    drops = [events.filter(F.pmod("offset", F.lit(2)) == k) for k in (0, 1)]
+    out = _stream_runs(spark, drops, lose_checkpoint=True,
+                       customers=ingest.customer_lookup(tb.customer_lookup(t)))
+    return out.select(*ingest.ORDER_COLUMNS, "customer_city", "customer_state", "event_time")
+
+
+# --- whole runs ---------------------------------------------------------------
+
+def _csv_files(t: tb.Tables, root: str, broken: bool = False) -> dict[str, str]:
+    """The reference files and exports as CSV; ``broken`` ones have fields that cannot be used,
+    by key modulo 7: payments an instalment count (1) or value (2) that is no number, items an
+    item number (3), orders no id (4), sellers no id (5)."""
     files = {
         "orders": tb.orders_csv(t), "customers": tb.customer_lookup(t),
         "payments": tb.raw_payments(t), "sellers": tb.raw_sellers(t),
         "items": tb.raw_order_items(t).withColumn(
             "shipping_limit_date", F.date_format("shipping_limit_date", "yyyy-MM-dd HH:mm:ss")),
     }
+    files = {n: df.select(*[F.col(c).cast("string") for c in df.columns]) for n, df in files.items()}
+
+    def spoil(name, column, key, rest, value):
+        bad = F.pmod(F.col(key).cast("long"), F.lit(7)) == rest
+        files[name] = files[name].withColumn(column, F.when(bad, F.lit(value)).otherwise(F.col(column)))
+
+    if broken:
+        spoil("payments", "payment_installments", "order_id", 1, "1.5")
+        spoil("payments", "payment_value", "order_id", 2, "much")
+        spoil("items", "order_item_id", "order_id", 3, "x")
+        spoil("orders", "order_id", "order_id", 4, None)
+        spoil("sellers", "seller_id", "seller_id", 5, None)
     for name, df in files.items():
-        df.select(*[F.col(c).cast("string") for c in df.columns]) \
-            .write.csv(f"{root}/csv/{name}", header=True, escape='"', quote='"')
-    cfg = jobs.Config(root=root, orders_csv=f"{root}/csv/orders", payments_csv=f"{root}/csv/payments",
-                      customers_csv=f"{root}/csv/customers", sellers_csv=f"{root}/csv/sellers",
-                      order_items_csv=f"{root}/csv/items")
+        df.write.csv(f"{root}/csv/{name}", header=True, escape='"', quote='"')
+    return {f"{n}_csv": f"{root}/csv/{f}" for n, f in (
+        ("orders", "orders"), ("payments", "payments"), ("customers", "customers"),
+        ("sellers", "sellers"), ("order_items", "items"))}
+
+
+def q_daily_run(spark, sf_dir):
+    """One whole daily run from CSV files; its sales mart."""
+    from . import jobs
+
+    root = scratch_path(spark, "daily-run")
+    cfg = jobs.Config(root=root, buckets=8, **_csv_files(tb.Tables(spark, sf_dir), root))
     jobs.run_daily(spark, cfg, halt_on_failure=False)
     return _comparable(jobs.marts(spark, cfg)["agg_daily_gmv"])
 
 
+def q_daily_rejects(spark, sf_dir):
+    """What every step of a daily run over broken files read, took and left out."""
+    from . import jobs
+
+    root = scratch_path(spark, "daily-rejects")
+    cfg = jobs.Config(root=root, buckets=8, **_csv_files(tb.Tables(spark, sf_dir), root, broken=True))
+    return jobs.run_daily(spark, cfg, halt_on_failure=False)["records"]
+
+
+def q_daily_gate(spark, sf_dir):
+    """A run that its checks stop (orders hold a status that is not allowed): the failed
+    checks of the report it left, and that it was stopped."""
+    from . import jobs
+
+    root = scratch_path(spark, "daily-gate")
+    cfg = jobs.Config(root=root, buckets=8, **_csv_files(tb.Tables(spark, sf_dir), root))
+    stopped = False
+    try:
+        jobs.run_daily(spark, cfg)
+    except QualityError:
+        stopped = True
+    report = spark.read.parquet(version_dir(f"{root}/quality", 1))
+    return report.filter("not success").select("suite", "check", "column", "unexpected",
+                                               F.lit(stopped).alias("stopped"))
+
+
+def q_kpis_from_dated_mart(spark, sf_dir):
+    """The KPIs of a date range from a fact mart laid out by purchase month."""
+    from . import jobs
+
+    m = Marts(spark, sf_dir)
+    root = scratch_path(spark, "dated-fact")
+    write_observed(jobs.dated(m.fact_orders()), root, 1, partition_by=[dashboard.MONTH])
+    return dashboard.kpis(spark.read.parquet(version_dir(root, 1)), *KPI_RANGE)
+
+
 QUERIES: dict[str, Query] = {
     "csv_sellers": q_csv_sellers,
     "topic_orders": q_topic_orders,
@@ -494,6 +653,15 @@ QUERIES: dict[str, Query] = {
     "clean_payments_dirty": q_clean_payments_dirty,
     "rejected_payments": q_rejected_payments,
     "daily_run": q_daily_run,
+    "daily_rejects": q_daily_rejects,
+    "daily_gate": q_daily_gate,
+    "kpis_from_dated_mart": q_kpis_from_dated_mart,
+    "bucketed_upsert_orders": q_bucketed_upsert_orders,
+    "bucketed_insert_items": q_bucketed_insert_items,
+    "first_seller_in_file": q_first_seller_in_file,
+    "csv_multiline_customers": q_csv_multiline_customers,
+    "stream_same_time_orders": q_stream_same_time_orders,
+    "stream_lost_checkpoint": q_stream_lost_checkpoint,
     "clean_orders": q_clean_orders,
     "clean_payments": q_clean_payments,
     "encode_orders": q_encode_orders,

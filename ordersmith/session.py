@@ -88,6 +88,19 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return sorted(st.getPath().getName() for st in fs.listStatus(hpath) if st.isDirectory())
 
 
+def file_sizes(spark: SparkSession, path: str) -> list[int]:
+    """Bytes of the file ``path``, or of the files in the folder ``path``."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [st.getLen() for st in fs.listStatus(hpath) if st.isFile()]
+
+
+def max_split_bytes(spark: SparkSession) -> int:
+    """Bytes of a file from which a scan cuts it into several splits."""
+    return int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a folder this library wrote (no error if it is gone)."""
     jvm = spark.sparkContext._jvm
@@ -96,5 +109,5 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(hpath, True)
 
 
-__all__ = ["get_session", "shared_dir", "scratch_path", "path_exists", "list_dirs", "delete_path",
-           "DEFAULT_CONF"]
+__all__ = ["get_session", "shared_dir", "scratch_path", "path_exists", "list_dirs", "file_sizes",
+           "max_split_bytes", "delete_path", "DEFAULT_CONF"]

@@ -1,20 +1,22 @@
-"""Staging and mart sinks.
-
-A staging table is a folder of versions ``version-000000001/`` ... each a
-complete Parquet copy of the table written by one load (a batch id, or a run
-number). Readers take the newest version whose write committed (Spark's
-``_SUCCESS`` marker). A load reads version N-1 and writes version N, so a table
-is never overwritten while it is being read; a retried load rewrites its own
-version; every version also cuts the lineage of the next load.
+"""Mart sinks, and records split into accepted and rejected.
+
+A mart is a folder of versions ``version-000000001/`` ... each a complete Parquet copy
+written by one run. Readers take the newest version whose write committed (Spark's
+``_SUCCESS`` marker), so a mart is never overwritten while it is being read; a retried run
+rewrites its own version. Staging tables, which loads change in parts, are in
+:mod:`ordersmith.sinks.buckets`.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+import uuid
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..session import list_dirs, path_exists
+from ..session import delete_path, list_dirs, path_exists
 
 _PREFIX = "version-"
 
@@ -42,21 +44,76 @@ def read_current(spark: SparkSession, root: str, schema: StructType,
     return spark.read.schema(schema).parquet(version_dir(root, vs[-1]))
 
 
-def write_version(df: DataFrame, root: str, version: int, count: bool = True) -> int | None:
-    """Write ``df`` as version ``version`` (overwriting a failed attempt of the
-    same version) and return its row count, observed during the write (A10)
-    instead of a second job."""
-    obs = Observation(f"rows_{version}")
-    out = df.observe(obs, F.count(F.lit(1)).alias("rows")) if count else df
-    out.write.mode("overwrite").parquet(version_dir(root, version))
-    return obs.get["rows"] if count else None
+def prune_versions(spark: SparkSession, root: str, keep: int = 2) -> int:
+    """Delete all but the newest ``keep`` committed versions, and older failed ones; returns how
+    many folders went."""
+    committed = committed_versions(spark, root)
+    if not committed:
+        return 0
+    oldest = committed[-max(keep, 1):][0]
+    gone = [n for n in list_dirs(spark, root)
+            if n.startswith(_PREFIX) and int(n[len(_PREFIX):]) < oldest]
+    for n in gone:
+        delete_path(spark, f"{root.rstrip('/')}/{n}")
+    return len(gone)
 
 
-def write_rows(df: DataFrame, write) -> int:
-    """Run ``write`` on the frame's writer and return the rows it wrote (A10)."""
-    obs = Observation("rows_sent")
-    write(df.observe(obs, F.count(F.lit(1)).alias("rows")).write)
-    return obs.get["rows"]
+def write_version(df: DataFrame, root: str, version: int) -> int:
+    """Write ``df`` as version ``version`` (overwriting a failed attempt of the same version) and
+    return its row count, observed during the write (A10) instead of a second job."""
+    return write_observed(df, root, version)["rows"]
+
+
+def write_observed(df: DataFrame, root: str, version: int, metrics: Sequence[Column] = (),
+                   partition_by: Sequence[str] = ()) -> dict:
+    """:func:`write_version`, with the aggregates ``metrics`` observed beside ``rows``, so that
+    checks take no second read."""
+    obs = Observation(f"version_{uuid.uuid4().hex[:8]}")
+    out = df.observe(obs, F.count(F.lit(1)).alias("rows"), *metrics)
+    out.write.mode("overwrite").partitionBy(*partition_by).parquet(version_dir(root, version))
+    return obs.get
+
+
+def _counted(records: DataFrame, reasons: Sequence[str]) -> tuple[Observation, DataFrame]:
+    obs = Observation(f"records_{uuid.uuid4().hex[:8]}")
+    counts = [F.count_if(F.col("reason") == r).alias(r) for r in reasons]
+    return obs, records.observe(obs, F.count(F.lit(1)).alias("read"),
+                                F.count("reason").alias("rejected"), *counts)
+
+
+def _totals(obs: Observation, reasons: Sequence[str]) -> dict[str, int]:
+    got = obs.get
+    if got["rejected"] != sum(got[r] for r in reasons):
+        raise ValueError(f"a reason outside {', '.join(reasons)}")
+    return {**got, "accepted": got["read"] - got["rejected"]}
+
+
+def write_split(records: DataFrame, path: str, reasons: Sequence[str]) -> dict[str, int]:
+    """Write records once, those with a ``reason`` beside those without, and count on the way.
+
+    ``path`` gets two folders, ``accepted=true`` and ``accepted=false``, in one job. Returns
+    the rows read, accepted and rejected, the rejected ones also for each of ``reasons``.
+    """
+    obs, counted = _counted(records, reasons)
+    (counted.withColumn("accepted", F.col("reason").isNull())
+     .write.partitionBy("accepted").mode("overwrite").parquet(path))
+    return _totals(obs, reasons)
+
+
+def read_split(spark: SparkSession, path: str, schema: StructType, taken: bool) -> DataFrame:
+    """One side of :func:`write_split` (empty where no record went there)."""
+    part = f"{path}/accepted={str(taken).lower()}"
+    if not path_exists(spark, part):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(part)
+
+
+def write_accepted(records: DataFrame, reasons: Sequence[str], write) -> dict[str, int]:
+    """Run ``write`` on the writer of the ``value`` of records without a ``reason``, and count the
+    records read, accepted, rejected, and rejected for each reason, on the way (A10)."""
+    obs, counted = _counted(records, reasons)
+    write(counted.filter("reason is null").select("value").write)
+    return _totals(obs, reasons)
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",

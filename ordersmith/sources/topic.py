@@ -11,7 +11,7 @@ the split, then the place within it; for Kafka the partition's offset alone.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import ENVELOPE
@@ -40,12 +40,16 @@ def read_topic(spark: SparkSession, topic: str, source: str | list[str], *,
     raise ValueError(f"unknown topic format {format!r}")
 
 
+def file_split() -> Column:
+    """The split that a row of a file scan comes from; splits of a file sort by their start."""
+    return F.concat(F.col("_metadata.file_path"), F.lit("#"),
+                    F.lpad(F.col("_metadata.file_block_start").cast("string"), 20, "0"))
+
+
 def _placed(raw: DataFrame) -> DataFrame:
     """Lines with the split they come from and their order within it (a task reads each
     of its splits from start to end, so its running number rises there)."""
-    split = F.concat(F.col("_metadata.file_path"), F.lit("#"),
-                     F.lpad(F.col("_metadata.file_block_start").cast("string"), 20, "0"))
-    return raw.select("value", split.alias("__source"),
+    return raw.select("value", file_split().alias("__source"),
                       F.monotonically_increasing_id().alias("__pos"))
 
 
@@ -68,8 +72,15 @@ def as_envelope(df: DataFrame, topic: str, value_col: str = "value",
 
 
 def in_batch(batch: DataFrame, batch_id: int) -> DataFrame:
-    """A micro-batch with its number: later batches rank after earlier ones."""
-    return batch.withColumn("batch", F.lit(batch_id).cast("long"))
+    """A micro-batch with its number, and its file messages numbered within their splits.
+
+    Later batches rank after earlier ones. A streaming plan cannot number rows, but the frame
+    that ``foreachBatch`` hands over is static and has one partition for each reading task, so
+    the running number rises within a split here as it does in a batch read. Kafka messages keep
+    their offsets.
+    """
+    place = F.coalesce("offset", F.monotonically_increasing_id())
+    return batch.withColumn("batch", F.lit(batch_id).cast("long")).withColumn("offset", place)
 
 
 def _kafka_places(messages: DataFrame) -> DataFrame:
@@ -86,8 +97,8 @@ def read_topic_stream(spark: SparkSession, topic: str, source: str, *,
         opts.update(options or {})
         return _kafka_places(spark.readStream.format("kafka").options(**opts).load())
     if format == "json-lines":
-        # a streaming plan cannot number rows; files of a batch are ordered by path
+        # a streaming plan cannot number rows: in_batch does, in each micro-batch
         raw = spark.readStream.options(**(options or {})).text(source)
-        path = F.col("_metadata.file_path").alias("__source")
-        return as_envelope(raw.select("value", path), topic, offset_col=None, source_col="__source")
+        return as_envelope(raw.select("value", file_split().alias("__source")), topic,
+                           offset_col=None, source_col="__source")
     raise ValueError(f"unknown topic format {format!r}")

@@ -130,7 +130,7 @@ def test_seller_and_item_rows(spark):
                                                  ("s2", "54321", "Manaus", "AM")]
     items = spark.createDataFrame(
         [("o1", "1", "p1", "s1", "2017-09-19 09:45:35", "58.90", "13.29"),
-         ("o1", None, "p2", "s2", "bad", None, "x")],
+         ("o1", None, "p2", "s2", "bad", None, None), ("o2", "1", "p2", "s2", None, "1", "x")],
         "order_id string, order_item_id string, product_id string, seller_id string, "
         "shipping_limit_date string, price string, freight_value string")
     got = rows(ingest.item_rows(items), "order_id", "order_item_id", "shipping_limit_date",

@@ -116,7 +116,7 @@ def test_fact_mart_row_groups_are_time_clustered(spark, tmp_path):
     import pyarrow.parquet as pq
     cfg = pipeline.Config(root=str(tmp_path / "lake"), **files(tmp_path))
     pipeline.run_daily(spark, cfg)
-    parts = glob.glob(f"{cfg.mart('fact_orders')}/version-*/*.parquet")
+    parts = glob.glob(f"{cfg.mart('fact_orders')}/version-*/**/*.parquet", recursive=True)
     assert parts
     for f in parts:
         ts = pq.read_table(f, columns=["order_purchase_timestamp"]).column(0).to_pylist()
