@@ -5,6 +5,7 @@ import pytest
 
 from ordersmith.operators.quality import QualityError
 from ordersmith.plans import jobs as pipeline
+from ordersmith.sinks.staging import committed_versions
 from ordersmith.sources.files import read_csv
 from ordersmith.schemas import SELLERS_CSV
 
@@ -50,7 +51,7 @@ def files(tmp_path, extra_orders=()):
 
 
 def test_daily_run_passes_and_is_idempotent(spark, tmp_path):
-    cfg = pipeline.Config(root=str(tmp_path / "lake"), **files(tmp_path))
+    cfg = pipeline.Config(root=str(tmp_path / "lake"), buckets=4, keep_versions=1, **files(tmp_path))
     r1 = pipeline.run_daily(spark, cfg)
     assert r1["run"] == 1
     # one message per exported row (3 orders, 3 payments)
@@ -71,11 +72,15 @@ def test_daily_run_passes_and_is_idempotent(spark, tmp_path):
     after = sorted(tuple(r) for r in pipeline.marts(spark, cfg)["fact_orders"]
                    .drop("ingested_at").collect())
     assert before == after
+    # keep_versions=1: the first run's versions are gone
+    assert committed_versions(spark, cfg.mart("fact_orders")) == [2]
+    assert committed_versions(spark, f"{cfg.root}/quality") == [2]
+    assert pipeline.table(spark, cfg, "raw_orders").versions() == [(0, 2)]
 
 
 def test_daily_run_stops_on_quality_failure(spark, tmp_path):
     bad = [("o4", "c2", "created", "2017-09-16 10:00:00", "", "", "", "")]
-    cfg = pipeline.Config(root=str(tmp_path / "lake"), **files(tmp_path, bad))
+    cfg = pipeline.Config(root=str(tmp_path / "lake"), buckets=4, **files(tmp_path, bad))
     with pytest.raises(QualityError, match="raw_orders"):
         pipeline.run_daily(spark, cfg)
     # the report was written before stopping
@@ -93,8 +98,8 @@ def test_incremental_daily_runs(spark, tmp_path):
     """R1 in the daily job: the second run ingests only the new drop of events,
     and the staged tables equal the batch-mode ones."""
     f = files(tmp_path)
-    inc = pipeline.Config(root=str(tmp_path / "inc"), incremental=True, **f)
-    bat = pipeline.Config(root=str(tmp_path / "bat"), **f)
+    inc = pipeline.Config(root=str(tmp_path / "inc"), incremental=True, buckets=4, **f)
+    bat = pipeline.Config(root=str(tmp_path / "bat"), buckets=4, **f)
     r1 = pipeline.run_daily(spark, inc)
     b1 = pipeline.run_daily(spark, bat)
     assert r1["staged"]["raw_orders"] == b1["staged"]["raw_orders"] == 3
@@ -114,7 +119,7 @@ def test_fact_mart_row_groups_are_time_clustered(spark, tmp_path):
     Parquet statistics allow row-group skipping for date filters."""
     import glob
     import pyarrow.parquet as pq
-    cfg = pipeline.Config(root=str(tmp_path / "lake"), **files(tmp_path))
+    cfg = pipeline.Config(root=str(tmp_path / "lake"), buckets=4, **files(tmp_path))
     pipeline.run_daily(spark, cfg)
     parts = glob.glob(f"{cfg.mart('fact_orders')}/version-*/**/*.parquet", recursive=True)
     assert parts
