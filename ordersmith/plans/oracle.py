@@ -619,6 +619,17 @@ FROM fact_orders WHERE {dates}"""
         "raw_orders", "raw_payments", "raw_sellers", "raw_order_items", "stg_orders",
         "stg_customers", "stg_sellers", "fact_orders", "dim_customers", "dim_sellers",
         "agg_daily_gmv") + _model_tests_sql(MODEL_TESTS)
+    fact = q["fact_orders"][len(with_ctes("fact_orders")):]
+    q["first_rows_of_mart"] = with_ctes("fact_orders") + fact + """
+ORDER BY fact_orders.order_id LIMIT (SELECT count(*) // 2 FROM fact_orders)"""
+    q["fact_orders_hot_seller"] = with_ctes("fact_orders", "raw_order_items", "stg_sellers") + """,
+sold_by AS (
+  SELECT order_id, min(CASE CAST(order_id AS BIGINT) % 3 WHEN 0 THEN '1' WHEN 1 THEN seller_id END)
+    AS seller_id FROM raw_order_items GROUP BY order_id),
+hot AS (
+  SELECT f.* REPLACE (coalesce(z.seller_key, 'unknown') AS seller_key) FROM fact_orders f
+  LEFT JOIN sold_by b ON b.order_id = f.order_id LEFT JOIN stg_sellers z ON z.seller_id = b.seller_id)
+""" + fact.replace("FROM fact_orders", "FROM hot")
     q["quality_on_sample"] = with_ctes("fact_orders") + f""",
 sample AS (SELECT * FROM fact_orders ORDER BY order_id LIMIT {R.SAMPLE_ROWS})
 """ + _suite_sql("sample", "fact_orders_sample", FACT_CHECKS)

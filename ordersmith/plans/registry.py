@@ -15,6 +15,7 @@ from pyspark.sql.types import StructType
 
 from ..functions.timestamps import utc_iso
 from ..operators.dedup import first_on_tie, keep_first, latest_per_key
+from ..operators.lookup import heavy_keys
 from ..operators.quality import (
     QualityError, declared_metrics, enforce, run_model_tests, run_suite, suite_metrics, summarize,
 )
@@ -397,6 +398,27 @@ def q_quality_on_sample(spark, sf_dir):
     return run_suite(sample, "fact_orders_sample", suites.fact_orders_suite(*suites.REFERENCE_FACT_ROWS))
 
 
+def q_first_rows_of_mart(spark, sf_dir):
+    """The first half of the fact mart by order id, found by ranges of the key."""
+    m = Marts(spark, sf_dir, written=("fact_orders",))
+    m.fact_orders()
+    half = m.seen["fact_orders"]["rows"] // 2
+    rows = read_mart(spark, version_dir(f"{m.root}/fact_orders", 1), half, "order_id", merge_at_most=0)
+    return _comparable(_money(rows, "payment_value"))
+
+
+def q_fact_orders_hot_seller(spark, sf_dir):
+    """The fact with one seller on a third of all orders and without a seller on others;
+    heavy sellers are found in a sketch and looked up in a broadcast."""
+    m = Marts(spark, sf_dir)
+    key = F.pmod(F.col("order_id").cast("long"), F.lit(3))
+    items = m.raw_order_items().withColumn("seller_id", F.when(key == 0, F.lit("1"))
+                                           .when(key == 1, F.col("seller_id")))
+    fact = models.fact_orders(m.stg_orders(), m.stg_sellers(), items, m.raw_payments(), m.dim_customers(),
+                              with_clock=False, heavy_sellers=heavy_keys(items, "seller_id"))
+    return _comparable(_money(fact, "payment_value"))
+
+
 def q_quality_summary(spark, sf_dir):
     """Q9: per suite, success and passed/evaluated checks."""
     m = Marts(spark, sf_dir, written=("fact_orders", "dim_customers"))
@@ -699,6 +721,8 @@ QUERIES: dict[str, Query] = {
     "model_tests": q_model_tests,
     "quality_on_sample": q_quality_on_sample,
     "quality_summary": q_quality_summary,
+    "first_rows_of_mart": q_first_rows_of_mart,
+    "fact_orders_hot_seller": q_fact_orders_hot_seller,
     "constraints_raw_payments": q_constraints_raw_payments,
     "customer_lookup": q_customer_lookup,
 }

@@ -118,12 +118,6 @@ RAW_ORDER_ITEMS = StructType([
     StructField("freight_value", MONEY, True),
 ])
 
-STAGING_SCHEMAS = {
-    "raw_orders": RAW_ORDERS,
-    "raw_payments": RAW_PAYMENTS,
-    "raw_sellers": RAW_SELLERS,
-    "raw_order_items": RAW_ORDER_ITEMS,
-}
 STAGING_KEYS = {
     "raw_orders": ["order_id"],
     "raw_payments": ["order_id", "payment_sequential"],
