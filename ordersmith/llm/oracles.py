@@ -51,6 +51,69 @@ SELECT conv_id, count(*) AS n_turns,
 FROM sizes GROUP BY conv_id
 """
 
+# The last repeated start before a byte (or word) says whether a repeated string covers it.
+OP6 = r"""
+WITH docs AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+places AS (SELECT doc_id, h, unnest(range(length(h) // 2)) AS p FROM docs),
+bytes AS (
+  SELECT doc_id, p, substr(h, 2 * p + 1, 2) AS b,
+    CASE WHEN 2 * p + 200 <= length(h) THEN md5(substr(h, 2 * p + 1, 200)) END AS k FROM places
+), marked AS (
+  SELECT doc_id, p, b, k IS NOT NULL AND row_number() OVER (PARTITION BY k ORDER BY doc_id, p) > 1 AS again
+  FROM bytes
+), covered AS (
+  SELECT doc_id, p, b, coalesce(p - max(CASE WHEN again THEN p END)
+    OVER (PARTITION BY doc_id ORDER BY p) < 100, false) AS gone FROM marked
+), edges AS (
+  SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY p), false) AS opens
+  FROM covered
+), sums AS (
+  SELECT doc_id, count(*) AS n_bytes, count(*) FILTER (gone) AS n_removed, count(*) FILTER (opens) AS n_spans,
+    string_agg(b, '' ORDER BY p) FILTER (NOT gone) AS kept FROM edges GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_bytes, 0) AS n_bytes, coalesce(n_removed, 0) AS n_removed,
+  coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM docs LEFT JOIN sums USING (doc_id)
+"""
+
+OP8 = r"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), words AS (
+  SELECT doc_id, unnest(range(len(w))) AS p, unnest(w) AS word,
+    unnest([CASE WHEN i + 50 <= len(w) THEN md5(array_to_string(w[i + 1:i + 50], ' ')) END
+            FOR i IN range(len(w))]) AS k FROM docs
+), marked AS (
+  SELECT doc_id, p, word, k IS NOT NULL AND min(doc_id) OVER (PARTITION BY k) < doc_id AS again FROM words
+), covered AS (
+  SELECT doc_id, p, word, coalesce(p - max(CASE WHEN again THEN p END)
+    OVER (PARTITION BY doc_id ORDER BY p) < 50, false) AS gone FROM marked
+), sums AS (
+  SELECT doc_id, count(*) FILTER (gone) AS n_removed,
+    string_agg(word, ' ' ORDER BY p) FILTER (NOT gone) AS kept FROM covered GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM docs LEFT JOIN sums USING (doc_id)
+"""
+
+OP9 = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL
+    OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM usable a JOIN usable b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_dot_product(a.e, b.e) / sqrt(list_dot_product(a.e, a.e) * list_dot_product(b.e, b.e)) >= 0.93
+), reach AS (
+  SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x
+), low AS (SELECT x, min(y) AS m FROM reach GROUP BY x),
+direct AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(m, vec_id)) AS component_id,
+  vec_id = least(vec_id, coalesce(m, vec_id)) AS kept
+FROM embeddings LEFT JOIN low ON low.x = vec_id LEFT JOIN direct ON direct.x = vec_id
+"""
+
 # crc32 is written out (reflected, polynomial 0xEDB88320): DuckDB has none.
 _CRC = """
   SELECT d AS crc_id, xor(list_reduce([CAST(ascii(substr(d, i, 1)) AS BIGINT) FOR i IN range(1, len(d) + 1)],
@@ -130,5 +193,7 @@ WINDOW same AS (PARTITION BY t)
 """
 
 ORACLES: dict[str, str] = {"op3_ngram_jaccard_join": OP3, "op4_chat_formatting": OP4,
+                           "op6_suffix_array_dedup": OP6, "op8_substring_dedup": OP8,
+                           "op9_embedding_near_dedup": OP9,
                            "op11_periodic_runs": OP11, "op12_fill_in_middle": OP12,
                            "op13_exact_dedup": OP13}
