@@ -43,7 +43,6 @@ FLUSH = 1 << 20
 DISCOUNT = 0.75
 HOT_WORDS = 512
 SAMPLE = 1 / 32
-SECOND_BITS = 40          # of the second word's hash; the context's is whole
 
 
 def _tokens(block: ar.TextBlock):
@@ -56,10 +55,6 @@ def _tokens(block: ar.TextBlock):
     return np.roll(word, 1), word, np.repeat(np.arange(block.n), np.diff(w.offs) + 1)
 
 
-def _second(h: np.ndarray) -> np.ndarray:
-    return h >> ar.U64(64 - SECOND_BITS)
-
-
 def _squeeze(arrays: list[np.ndarray]) -> bytes:
     raw = to_bytes(arrays)
     return np.array([len(raw)], np.int64).tobytes() + pa.compress(raw, "zstd", asbytes=True)
@@ -116,8 +111,7 @@ def _bigram_rows(shards: int, hot: np.ndarray, with_docs: bool):
             lo, hi = cut[s], cut[s + 1]
             head = np.flatnonzero(np.append(True, v1[lo + 1:hi] != v1[lo:hi - 1]))
             data = [v1[lo:hi][head], _narrow(np.diff(np.append(head, hi - lo))),
-                    w1[lo:hi].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :SECOND_BITS // 8].ravel(),
-                    _narrow(count[lo:hi])]
+                    w1[lo:hi], _narrow(count[lo:hi])]
             if with_docs:
                 data.append(_narrow(doc[occ_cut[s]:occ_cut[s + 1]]))
             rows.append(_squeeze(data))
@@ -139,7 +133,7 @@ def _bigram_rows(shards: int, hot: np.ndarray, with_docs: bool):
                 rows = slice(block.lo, block.lo + block.n)
                 if with_docs:
                     docs.append((ids[rows], known[rows], out[rows], np.bincount(doc, minlength=block.n)))
-                parts.append((v, _second(w), doc + n_docs))
+                parts.append((v, w, doc + n_docs))
                 n_docs += block.n
                 held += len(v)
                 if held >= FLUSH:
@@ -155,9 +149,7 @@ def _bigram_rows(shards: int, hot: np.ndarray, with_docs: bool):
 def _bigrams(data: list[np.ndarray]):
     """Contexts, the context of each bigram, second words and counts of a packed block."""
     v, sizes, w, count = data[:4]
-    wide = np.zeros((len(w) // (SECOND_BITS // 8), 8), np.uint8)
-    wide[:, :SECOND_BITS // 8] = w.reshape(-1, SECOND_BITS // 8)
-    return v, np.repeat(np.arange(len(v)), sizes), wide.view("<u8").ravel(), count.astype(np.int64)
+    return v, np.repeat(np.arange(len(v)), sizes), w, count.astype(np.int64)
 
 
 def _by_shard(batches, kinds=(0,)):
@@ -232,7 +224,7 @@ def _trie_rows(hot: dict[int, tuple[int, float]], n: int, vocabulary: int):
         kind, shard, v, w, c, extra = (table.column(i).combine_chunks() for i in range(6))
         kind, shard, v, c = (x.to_numpy(zero_copy_only=False) for x in (kind, shard, v, c))
         w, extra = (x.fill_null(0).to_numpy(zero_copy_only=False) for x in (w, extra))
-        v = v.view(ar.U64)
+        v, w = v.view(ar.U64), w.view(ar.U64)
         for s in np.unique(shard):
             own = np.flatnonzero((shard == s) & (kind == 0))
             own = own[np.argsort(v[own])]
@@ -424,10 +416,10 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     n = row["n"] + sum(c for c, _ in totals.values())
     vocabulary = row["v"] + len(totals)
 
-    short = F.shiftrightunsigned("v", 64 - SECOND_BITS).alias("w")
-    seconds = (rest.select(short, "c").unionByName(spark.createDataFrame(
-        [(int(k) >> (64 - SECOND_BITS), c) for k, (c, _) in totals.items()], "w long, c long"))
-        .groupBy("w").agg(F.max("c").cast("double").alias("extra")))
+    common = spark.createDataFrame([(int(np.uint64(k).view(np.int64)), c) for k, (c, _) in totals.items()],
+                                   "v long, c long")
+    seconds = rest.select("v", "c").unionByName(common).select(
+        F.col("v").alias("w"), F.col("c").cast("double").alias("extra"))
     bigrams = counts.where("kind = 1").drop("mass").join(seconds, "w", "left")
     cols = ["kind", "shard", "v", "w", "c", "extra"]
     tries = stage(contexts.withColumnRenamed("mass", "extra").select(*cols)

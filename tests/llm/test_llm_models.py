@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -13,6 +14,7 @@ from ordersmith.llm import embedding_dedup as ed
 from ordersmith.llm import quality_lm as ql
 from ordersmith.llm.decontaminate import contamination, lcs_length, remove_contaminated
 from ordersmith.llm.elias_fano import EliasFano, from_buffer, to_bytes
+from ordersmith.llm import arrays as ar
 from ordersmith.llm.lm_scoring import score_texts
 from ordersmith.llm.mixing import edf_frame, frame_shares, mix_sources
 from test_documents import AWKWARD, SCHEMA, WORD, awkward
@@ -78,6 +80,20 @@ def test_scores_equal_brute_force(spark, source):
         assert sum(g[6] for g, _ in held) > sum(g[5] for g, _ in held)
 
 
+def test_words_that_agree_in_forty_bits_of_their_hash(spark):
+    """A frequent and a rare second word, told apart only by the last bits of their hashes."""
+    text = " ".join(f"w{i}" for i in range(3_000_000))
+    hashes = np.concatenate([b.words().hashes for b in ar.blocks(pa.array([text]))])
+    order = np.argsort(hashes)
+    near = np.flatnonzero((hashes[order][1:] >> np.uint64(24)) == (hashes[order][:-1] >> np.uint64(24)))
+    frequent, rare = (f"w{order[near[0] + k]}" for k in (0, 1))
+    pairs = [(i, f"x {frequent} y") for i in range(40)] + [(100 + i, f"x {rare} z x {rare}") for i in range(9)]
+    df = spark.createDataFrame(pairs, "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in score_texts(df).collect()}
+    for i, *_, score in brute_scores(pairs):
+        assert got[i] == pytest.approx(score, rel=1e-6)
+
+
 def test_scores_of_an_empty_table(spark):
     assert score_texts(spark.createDataFrame([], SCHEMA)).count() == 0
 
