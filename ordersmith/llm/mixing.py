@@ -152,7 +152,8 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, id_col
     added columns but ``block`` and false in ``on_target``. Null and repeated
     ids are ranked by the hash of their row; equal rows take any order
     among themselves. An empty table gives an empty result. Input columns
-    named like the added ones are replaced; all others pass through.
+    named like the added ones are replaced; all others pass through. More than
+    ``MAX_SOURCES`` sources are an error: their sizes and schedule are held in one place.
     """
     require(docs, id_col, source_col)
     spark = docs.sparkSession
