@@ -12,11 +12,13 @@ is a lookup by context: bigrams are sharded by their first word, and a shard ans
 all its bigrams alone.
 
 * count: tasks pack the distinct bigrams of their training text per shard, shards add up.
-* model: kept bigrams meet their second word's count, and each shard becomes a
+* model: a shard's bigrams meet their second words' counts (those of common words from a
+  bounded table, the others asked for once per shard), and each shard becomes a
   trie: contexts, their monotone pointers into the successors, successors relative to
   their context, all Elias-Fano coded, with probabilities quantised to a byte.
-* score: all documents' bigrams, packed per shard, meet their shard's trie, memory-mapped
-  in the task; partial sums go back to the block of documents they came from.
+* score: blocks of documents ask for their distinct bigrams, packed per shard; the shard's
+  trie, memory-mapped in the task, answers with the contexts' counts and the gains. The answers
+  meet the block's lists of documents, and are summed there.
 
 Very common words (from a bounded list, found in a sample) are spread over the shards by
 their successor; their totals (a bounded table) go to all tasks.
@@ -24,6 +26,7 @@ their successor; their totals (a bounded table) go to all tasks.
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 from collections.abc import Iterator
@@ -36,13 +39,14 @@ from pyspark.sql import functions as F
 
 from . import arrays as ar
 from .elias_fano import EliasFano, from_buffer, to_bytes
-from .staging import partitions_for, release, require, stage
+from .staging import partitions_for, release, require, stage, unstage
 
 END = ar.U64(0x452821E638D01377)
-FLUSH = 1 << 20
+FLUSH = 1 << 19           # tokens of a block of documents
 DISCOUNT = 0.75
 HOT_WORDS = 512
 SAMPLE = 1 / 32
+COMMON_WORDS = 1 << 17    # at most so many words, with their counts, go to all tasks
 
 
 def _tokens(block: ar.TextBlock):
@@ -52,7 +56,7 @@ def _tokens(block: ar.TextBlock):
     doc = ar.owners(w.offs, len(w.hashes))
     word = np.full(len(w.hashes) + block.n, END, ar.U64)
     word[np.arange(len(w.hashes)) + doc] = w.hashes
-    return np.roll(word, 1), word, np.repeat(np.arange(block.n), np.diff(w.offs) + 1)
+    return np.roll(word, 1), word, np.repeat(np.arange(block.n, dtype=np.int32), np.diff(w.offs) + 1)
 
 
 def _squeeze(arrays: list[np.ndarray]) -> bytes:
@@ -81,8 +85,9 @@ def _packed(shard, kind, block, data) -> pa.RecordBatch:
 
 def _bigram_rows(shards: int, hot: np.ndarray, with_docs: bool):
     """Distinct bigrams of a block of documents, packed per shard (kind 0): contexts, how many
-    successors each, successors, how often each; with_docs: the document of each
-    occurrence, and the block's documents (kind 1). Columns: doc_id, held_out, text."""
+    successors each, successors, how often each. with_docs: no counts, but a row of the block
+    (kind 1) with its documents, the shards asked and the number of bigrams each, how often
+    each bigram occurs and the document of each occurrence. Columns: doc_id, held_out, text."""
     hot = np.sort(hot)
 
     def flush(parts, docs, block):
@@ -102,23 +107,18 @@ def _bigram_rows(shards: int, hot: np.ndarray, with_docs: bool):
         order = np.argsort((shard.astype(ar.U64) << ar.U64(44)) | (v1 >> ar.U64(20)))
         v1, w1, count, shard, lead = v1[order], w1[order], count[order], shard[order], lead[order]
         cut = np.searchsorted(shard, np.arange(shards + 1))
-        if with_docs:
-            occurrence, _ = ar.expand(lead, lead + count - 1)
-            doc = doc[occurrence]
-            occ_cut = np.concatenate([[0], np.cumsum(count)])[cut]
-        rows, ids = [], []
-        for s in np.unique(shard):
+        rows, ids = [], np.unique(shard)
+        for s in ids:
             lo, hi = cut[s], cut[s + 1]
             head = np.flatnonzero(np.append(True, v1[lo + 1:hi] != v1[lo:hi - 1]))
-            data = [v1[lo:hi][head], _narrow(np.diff(np.append(head, hi - lo))),
-                    w1[lo:hi], _narrow(count[lo:hi])]
-            if with_docs:
-                data.append(_narrow(doc[occ_cut[s]:occ_cut[s + 1]]))
-            rows.append(_squeeze(data))
-            ids.append(int(s))
+            data = [v1[lo:hi][head], _narrow(np.diff(np.append(head, hi - lo))), w1[lo:hi]]
+            rows.append(_squeeze(data if with_docs else data + [_narrow(count[lo:hi])]))
         yield _packed(ids, 0, block, rows)
         if with_docs:
-            yield _packed([block % shards], 1, block, [_squeeze([np.concatenate(c) for c in zip(*docs)])])
+            occurrence, _ = ar.expand(lead, lead + count - 1)
+            own = [np.concatenate(c) for c in zip(*docs)]
+            yield _packed([block % shards], 1, block, [_squeeze(
+                own + [_narrow(ids), _narrow(np.diff(cut)[ids]), _narrow(count), _narrow(doc[occurrence])])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, docs, held, n_docs = [], [], 0, 0
@@ -133,7 +133,7 @@ def _bigram_rows(shards: int, hot: np.ndarray, with_docs: bool):
                 rows = slice(block.lo, block.lo + block.n)
                 if with_docs:
                     docs.append((ids[rows], known[rows], out[rows], np.bincount(doc, minlength=block.n)))
-                parts.append((v, w, doc + n_docs))
+                parts.append((v, w, doc + np.int32(n_docs)))
                 n_docs += block.n
                 held += len(v)
                 if held >= FLUSH:
@@ -146,12 +146,6 @@ def _bigram_rows(shards: int, hot: np.ndarray, with_docs: bool):
     return run
 
 
-def _bigrams(data: list[np.ndarray]):
-    """Contexts, the context of each bigram, second words and counts of a packed block."""
-    v, sizes, w, count = data[:4]
-    return v, np.repeat(np.arange(len(v)), sizes), w, count.astype(np.int64)
-
-
 def _by_shard(batches, kinds=(0,)):
     """(shard, rows of each kind as (block, data)) of one partition."""
     rows: dict[int, dict[int, list]] = {}
@@ -161,40 +155,88 @@ def _by_shard(batches, kinds=(0,)):
     yield from sorted(rows.items())
 
 
-COUNTS = "kind int, shard int, v long, w long, c long, mass double"
+COUNTS = "shard int, data binary, v long, c long, mass double"
+
+
+def _table(columns: dict) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
-def _count_rows(min_count: int):
-    """Per shard: contexts with count and kept mass (kind 0), kept bigrams (kind 1)."""
+def _count_rows(min_count: int, hot: np.ndarray):
+    """Per shard one packed row (data: contexts, their counts and kept mass, kept bigrams each,
+    their words and counts), and a row (v, c) of every context; those of hot words, which
+    several shards hold parts of, with their mass."""
+    hot = np.sort(hot)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard, rows in _by_shard(batches):
             parts = []
             for _, data in rows[0]:
-                v, ctx, w, count = _bigrams(_unsqueeze(data))
-                parts.append((v[ctx], w, count))
+                v, sizes, w, count = _unsqueeze(data)
+                parts.append((np.repeat(v, sizes), w, count.astype(np.int64)))
             v, w, c = (np.concatenate(x) for x in zip(*parts))
+            del parts
             order = np.lexsort((w, v))
             v, w, c = v[order], w[order], c[order]
-            new = np.append(True, (v[1:] != v[:-1]) | (w[1:] != w[:-1]))
-            lead = np.flatnonzero(new)
+            lead = np.flatnonzero(np.append(True, (v[1:] != v[:-1]) | (w[1:] != w[:-1])))
             c = np.add.reduceat(c, lead)
             v, w = v[lead], w[lead]
             head = np.flatnonzero(np.append(True, v[1:] != v[:-1]))
             keep = c >= min_count
             total = np.add.reduceat(c, head)
             mass = np.add.reduceat(np.where(keep, c - DISCOUNT, 0.0), head)
-            for kind, a, b, n, m in ((0, v[head], None, total, mass), (1, v[keep], w[keep], c[keep], None)):
-                size = len(a)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(size, kind, np.int32)), pa.array(np.full(size, shard, np.int32)),
-                     pa.array(a.view(np.int64)),
-                     pa.nulls(size, pa.int64()) if b is None else pa.array(b.astype(np.int64)),
-                     pa.array(n), pa.nulls(size, pa.float64()) if m is None else pa.array(m)],
-                    names=["kind", "shard", "v", "w", "c", "mass"])
+            sizes = np.add.reduceat(keep.astype(np.int64), head)
+            n, own = len(head), v[head]
+            packed = _squeeze([own, _narrow(total), mass, _narrow(sizes), w[keep], _narrow(c[keep])])
+            yield _table({"shard": pa.array([shard], pa.int32()), "data": pa.array([packed], pa.binary()),
+                          "v": pa.nulls(1, pa.int64()), "c": pa.nulls(1, pa.int64()),
+                          "mass": pa.nulls(1, pa.float64())})
+            yield _table({"shard": pa.nulls(n, pa.int32()), "data": pa.nulls(n, pa.binary()),
+                          "v": pa.array(own.view(np.int64)), "c": pa.array(total),
+                          "mass": pa.array(mass, mask=~_among(own, hot)[1])})
 
     return run
 
 
+def _among(x: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in the sorted ``keys``, and whether each of ``x`` stands there."""
+    if not len(keys):
+        return np.zeros(len(x), np.int64), np.zeros(len(x), bool)
+    at = np.minimum(np.searchsorted(keys, x), len(keys) - 1)
+    return at, keys[at] == x
+
+
+def _asked(common: np.ndarray):
+    """(shard, w): the second words of each shard that are not in the table of common words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard, data in zip(*(c.to_pylist() for c in batch.columns)):
+                w = np.unique(_unsqueeze(data)[4])
+                w = w[~_among(w, common)[1]]
+                yield _table({"shard": pa.array(np.full(len(w), shard, np.int32)),
+                              "w": pa.array(w.view(np.int64))})
+
+    return run
+
+
+def _common_words(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent words and their counts, as many whole classes of counts (an eighth of
+    a doubling each) as ``COMMON_WORDS`` has room for."""
+    level = F.floor(F.log2("c") * 8).cast("int")
+    least, room = None, COMMON_WORDS
+    for r in counts.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect():
+        room -= r["count"]
+        if room < 0:
+            break
+        least = r["level"]
+    if least is None:
+        return np.zeros(0, ar.U64), np.zeros(0, np.int64)
+    table = counts.where(level >= least).select("v", "c").toArrow()
+    v, c = (table.column(i).combine_chunks().to_numpy().copy() for i in range(2))
+    order = np.argsort(v.view(ar.U64))
+    return v.view(ar.U64)[order], c[order]
+
+
 def _quantise(x: np.ndarray) -> list[np.ndarray]:
     """Byte codes and their code book. Up to 256 values are kept as they are; more fall
     into bins between quantiles and even steps, each standing for its mean."""
@@ -211,40 +253,44 @@ def _quantise(x: np.ndarray) -> list[np.ndarray]:
     return [code.astype(np.uint8), book]
 
 
-def _trie_rows(hot: dict[int, tuple[int, float]], n: int, vocabulary: int):
-    """Packed trie of every shard (kind 2). Rows: contexts (kind 0) and bigrams with the
-    count of their second word (kind 1)."""
+def _trie_rows(hot: "_Hot", common: tuple[np.ndarray, np.ndarray], n: int, vocabulary: int):
+    """Packed trie of every shard (kind 2). Rows: a shard's packed counts (data), or a second
+    word that it asked for and its count (w, c)."""
     bottom = float(n + vocabulary + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [b for b in batches if b.num_rows]
-        if not parts:
+        packed, replies = {}, []
+        for batch in batches:
+            shard, data, w, c = batch.columns
+            full = data.is_valid()
+            packed.update(zip(shard.filter(full).to_pylist(), data.filter(full).to_pylist()))
+            rest = w.is_valid()
+            replies.append([x.filter(rest).to_numpy(zero_copy_only=False) for x in (shard, w, c)])
+        if not packed:
             return
-        table = pa.Table.from_batches(parts)
-        kind, shard, v, w, c, extra = (table.column(i).combine_chunks() for i in range(6))
-        kind, shard, v, c = (x.to_numpy(zero_copy_only=False) for x in (kind, shard, v, c))
-        w, extra = (x.fill_null(0).to_numpy(zero_copy_only=False) for x in (w, extra))
-        v, w = v.view(ar.U64), w.view(ar.U64)
-        for s in np.unique(shard):
-            own = np.flatnonzero((shard == s) & (kind == 0))
-            own = own[np.argsort(v[own])]
-            # a common word's totals replace the shard's part of them
-            total = np.array([hot.get(int(x), (t, 0))[0] for x, t in zip(v[own], c[own])]) \
-                if hot else c[own]
-            mass = np.array([hot.get(int(x), (0, m))[1] for x, m in zip(v[own], extra[own])]) \
-                if hot else extra[own]
+        of, word, number = (np.concatenate(x) for x in zip(*replies))
+        order = np.lexsort((word.view(ar.U64), of))
+        of, word, number = of[order], word.view(ar.U64)[order], number[order]
+        for s in sorted(packed):
+            v, total, mass, sizes, w, c = _unsqueeze(packed.pop(s))
+            total = total.astype(np.int64)
+            at, is_hot = _among(v, hot.words)      # a common word's totals replace the shard's part
+            if len(hot.words):
+                total, mass = np.where(is_hot, hot.counts[at], total), np.where(is_hot, hot.masses[at], mass)
             left = 1.0 - mass / total
-            pairs = np.flatnonzero((shard == s) & (kind == 1))
-            pairs = pairs[np.lexsort((w[pairs], v[pairs]))]
-            ctx = np.searchsorted(v[own], v[pairs])
-            p1 = (extra[pairs] + 1) / bottom
-            p2 = (c[pairs] - DISCOUNT) / total[ctx] + left[ctx] * p1
-            words = np.unique(w[pairs])
-            value = ctx.astype(ar.U64) * ar.U64(max(1, len(words))) \
-                + np.searchsorted(words, w[pairs]).astype(ar.U64)
+            words = np.unique(w)
+            second = np.zeros(len(words), np.int64)
+            own = slice(*np.searchsorted(of, [s, s + 1]))
+            for keys, values in (common, (word[own], number[own])):
+                at, found = _among(words, keys)
+                second[found] = values[at[found]]
+            ctx, rank = np.repeat(np.arange(len(v)), sizes), np.searchsorted(words, w)
+            p1 = (second[rank] + 1) / bottom
+            p2 = (c - DISCOUNT) / total[ctx] + left[ctx] * p1
+            value = ctx.astype(ar.U64) * ar.U64(max(1, len(words))) + rank.astype(ar.U64)
             counts, code = np.unique(total, return_inverse=True)
-            levels = (EliasFano.build(v[own]) + EliasFano.build(words.astype(ar.U64))
-                      + EliasFano.build(np.searchsorted(ctx, np.arange(len(own) + 1)).astype(ar.U64))
+            levels = (EliasFano.build(v) + EliasFano.build(words)
+                      + EliasFano.build(np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]).astype(ar.U64))
                       + EliasFano.build(value))
             arrays = levels + [_narrow(code), counts] + _quantise(np.log10(left)) \
                 + _quantise(np.log10(p2 / p1))
@@ -253,6 +299,15 @@ def _trie_rows(hot: dict[int, tuple[int, float]], n: int, vocabulary: int):
     return run
 
 
+class _Hot:
+    """Counts and kept masses of the very common words, by their hash."""
+
+    def __init__(self, totals: dict[int, tuple[int, float]]):
+        self.words = np.array(sorted(totals), ar.U64)
+        self.counts = np.array([totals[int(k)][0] for k in self.words], np.int64)
+        self.masses = np.array([totals[int(k)][1] for k in self.words], np.float64)
+
+
 class Trie:
     """A shard's levels, memory-mapped from a file."""
 
@@ -288,18 +343,16 @@ class Trie:
         return out
 
 
-def _score_rows(hot: dict[int, tuple[int, float]]):
-    """Partial sums of the shards' bigrams by block of documents (kind 0); the blocks'
-    documents pass through (kind 1)."""
-    keys = np.array(sorted(hot), ar.U64)
-    totals = np.array([hot[int(k)][0] for k in keys], np.int64)
-    lefts = np.array([np.log10(1.0 - hot[int(k)][1] / hot[int(k)][0]) for k in keys])
+def _score_rows(hot: _Hot):
+    """The shards' answers to blocks of documents (kind 0): counts of the contexts asked for,
+    how many bigrams each, and the bigrams' gains; the blocks' own rows pass through (kind 1)."""
+    lefts = np.log10(1.0 - hot.masses / hot.counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard, rows in _by_shard(batches, (0, 1, 2)):
             for block, data in rows[1]:
                 yield _packed([shard], 1, block, [data])
-            trie, path = None, None
+            trie = None
             if rows[2]:
                 fd, path = tempfile.mkstemp(prefix="trie-")
                 with os.fdopen(fd, "wb") as f:
@@ -307,28 +360,17 @@ def _score_rows(hot: dict[int, tuple[int, float]]):
                 trie = Trie(path)
                 os.unlink(path)                      # the map keeps the file until it is closed
             for block, data in rows[0]:
-                parts = _unsqueeze(data)
-                v, ctx, w, times = _bigrams(parts)
+                v, sizes, w = _unsqueeze(data)
                 if trie:
                     at, count, left = trie.context(v)
                 else:
                     at, count, left = np.full(len(v), -1), np.zeros(len(v), np.int64), np.zeros(len(v))
-                if len(keys):
-                    i = np.minimum(np.searchsorted(keys, v), len(keys) - 1)
-                    common = keys[i] == v
-                    count = np.where(common, totals[i], count)
-                    left = np.where(common, lefts[i], left)
-                gain = left[ctx]
-                if trie:
-                    gain = trie.gains(at[ctx], w, gain)
-                doc = parts[4].astype(np.int64)
-                each = np.repeat(np.arange(len(w)), times)
-                own, local = np.unique(doc, return_inverse=True)
-                c = count[ctx][each]
-                sums = [_narrow(own), _narrow(np.bincount(local, c > 0).astype(np.int64)),
-                        np.bincount(local, np.log10(c + 1.0)),
-                        np.bincount(local, gain[each])]
-                yield _packed([shard], 0, block, [_squeeze(sums)])
+                if len(hot.words):
+                    i, common = _among(v, hot.words)
+                    count, left = np.where(common, hot.counts[i], count), np.where(common, lefts[i], left)
+                ctx = np.repeat(np.arange(len(v)), sizes)
+                gain = trie.gains(at[ctx], w, left[ctx]) if trie else left[ctx]
+                yield _packed([shard], 0, block, [_squeeze([_narrow(count), sizes, gain.astype(np.float32)])])
 
     return run
 
@@ -338,31 +380,34 @@ SCORES = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tok
 
 
 def _block_scores(n: int, vocabulary: int):
-    bottom = np.log10(float(n + vocabulary + 1))
+    """Scores of the documents of each block, from its own row and its shards' answers."""
+    bottom = math.log10(n + vocabulary + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blocks: dict[int, list] = {}
-        docs: dict[int, list] = {}
+        answers: dict[int, dict] = {}
+        owners: dict[int, bytes] = {}
         for b in batches:
-            for _, kind, block, data in zip(*(c.to_pylist() for c in b.columns)):
+            for shard, kind, block, data in zip(*(c.to_pylist() for c in b.columns)):
                 if kind == 1:
-                    docs[block] = _unsqueeze(data)
-                    continue
-                own, known, base, gain = _unsqueeze(data)
-                sums = blocks.setdefault(block, [np.zeros(0)] * 3)
-                size = max(len(sums[0]), int(own.max()) + 1)
-                for i, part in enumerate((known, base, gain)):
-                    if len(sums[i]) < size:
-                        sums[i] = np.concatenate([sums[i], np.zeros(size - len(sums[i]))])
-                    sums[i][own] += part
-        for block, (ids, valid, held, tokens) in docs.items():
-            known, base, gain = blocks[block]
-            base = base - tokens * bottom
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, mask=~valid), pa.array(held), pa.array(tokens),
-                 pa.array(known.astype(np.int64)), pa.array(np.full(len(ids), n, np.int64)),
-                 pa.array(base), pa.array(base + gain)],
-                names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+                    owners[block] = data
+                else:
+                    answers.setdefault(block, {})[shard] = data
+        for block in sorted(owners):
+            ids, valid, held, tokens, shards, asked, times, doc = _unsqueeze(owners.pop(block))
+            count, gain = np.zeros(len(times), np.int64), np.zeros(len(times))
+            got, at = answers.pop(block), 0
+            for shard, size in zip(shards.tolist(), asked.tolist()):
+                c, each, g = _unsqueeze(got.pop(shard))
+                count[at:at + size], gain[at:at + size] = np.repeat(c, each), g
+                at += size
+            size = len(ids)
+            known = np.bincount(doc, np.repeat(count > 0, times), minlength=size).astype(np.int64)
+            base = np.bincount(doc, np.repeat(np.log10(count + 1.0), times), minlength=size) - tokens * bottom
+            gain = np.bincount(doc, np.repeat(gain, times), minlength=size)
+            yield _table({"doc_id": pa.array(ids, mask=~valid), "held_out": pa.array(held),
+                          "n_tokens": pa.array(tokens), "n_known": pa.array(known),
+                          "train_tokens": pa.array(np.full(size, n, np.int64)),
+                          "base_score": pa.array(base), "score": pa.array(base + gain)})
 
     return run
 
@@ -403,28 +448,32 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     shards = 4 * n_parts
     hot = _hot_words(src.select("text"))
     counts = stage(src.where("not held_out").mapInArrow(_bigram_rows(shards, hot, False), PACKED)
-                   .repartition(n_parts, "shard").mapInArrow(_count_rows(min_count), COUNTS),
+                   .repartition(n_parts, "shard").mapInArrow(_count_rows(min_count, hot), COUNTS),
                    "lm-counts")
     release(spark)
-    contexts = counts.where("kind = 0")
-    hot_ids = spark.createDataFrame([(int(h),) for h in hot.view(np.int64)], "v long")
-    parts = contexts.join(F.broadcast(hot_ids), "v", "left_semi")
-    totals = {int(np.int64(r["v"]).view(ar.U64)): (r["c"], r["mass"]) for r in
-              parts.groupBy("v").agg(F.sum("c").alias("c"), F.sum("mass").alias("mass")).collect()}
-    rest = contexts.join(F.broadcast(hot_ids), "v", "left_anti")
+    contexts = counts.where("data is null").select("v", "c", "mass")
+    totals = _Hot({int(np.int64(r["v"]).view(ar.U64)): (r["c"], r["mass"]) for r in
+                   contexts.where("mass is not null").groupBy("v")
+                   .agg(F.sum("c").alias("c"), F.sum("mass").alias("mass")).collect()})
+    rest = contexts.where("mass is null").select("v", "c")
     row = rest.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    n = row["n"] + sum(c for c, _ in totals.values())
-    vocabulary = row["v"] + len(totals)
-
-    common = spark.createDataFrame([(int(np.uint64(k).view(np.int64)), c) for k, (c, _) in totals.items()],
-                                   "v long, c long")
-    seconds = rest.select("v", "c").unionByName(common).select(
-        F.col("v").alias("w"), F.col("c").cast("double").alias("extra"))
-    bigrams = counts.where("kind = 1").drop("mass").join(seconds, "w", "left")
-    cols = ["kind", "shard", "v", "w", "c", "extra"]
-    tries = stage(contexts.withColumnRenamed("mass", "extra").select(*cols)
-                  .unionByName(bigrams.select(*cols)).repartition(n_parts, "shard")
-                  .mapInArrow(_trie_rows(totals, n, vocabulary), PACKED), "lm-tries")
+    n = row["n"] + int(totals.counts.sum())
+    vocabulary = row["v"] + len(totals.words)
+
+    words, numbers = _common_words(rest)
+    words, numbers = np.append(words, totals.words), np.append(numbers, totals.counts)
+    order = np.argsort(words)
+    common = words[order], numbers[order]
+    shard_rows = counts.where("data is not null").select("shard", "data")
+    replies = (shard_rows.mapInArrow(_asked(common[0]), "shard int, w long").hint("merge")
+               .join(rest.withColumnRenamed("v", "w"), "w"))
+    none = F.lit(None).cast("long")
+    tries = stage(shard_rows.select("shard", "data", none.alias("w"), none.alias("c"))
+                  .unionByName(replies.select("shard", F.lit(None).cast("binary").alias("data"), "w", "c"))
+                  .repartition(n_parts, "shard").mapInArrow(_trie_rows(totals, common, n, vocabulary), PACKED),
+                  "lm-tries")
+    del contexts, rest, shard_rows, replies
+    unstage(counts)                                  # the tries hold all that is needed of it
     release(spark)
     packed = src.mapInArrow(_bigram_rows(shards, hot, True), PACKED)
     return (packed.unionByName(tries).repartition(n_parts, "shard")

@@ -7,7 +7,7 @@ import time
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import scratch_path
+from ..session import delete_path, scratch_path, shared_dir
 
 PARTITION_BYTES = 16 << 20
 UNKNOWN = 1 << 60         # Spark's estimate where it knows nothing
@@ -24,6 +24,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unstage(df: DataFrame) -> None:
+    """Delete the files of a staged table that nothing will read any more: all outputs built
+    from it are written. Files outside the shared folder are left alone."""
+    spark = df.sparkSession
+    base = shared_dir(spark).rstrip("/").split("://")[-1].split(":", 1)[-1]
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if base.rstrip("/") + "/" in folder:
+            delete_path(spark, folder)
+
+
 def release(spark: SparkSession) -> None:
     """Let the cleaner drop the shuffle files of plans that nothing refers to any more."""
     for _ in range(2):
@@ -49,4 +59,4 @@ def require(df: DataFrame, *columns: str) -> None:
         raise ValueError(f"missing columns: {', '.join(missing)}")
 
 
-__all__ = ["stage", "release", "partitions_for", "require", "PARTITION_BYTES"]
+__all__ = ["stage", "unstage", "release", "partitions_for", "require", "PARTITION_BYTES"]
