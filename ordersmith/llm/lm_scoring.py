@@ -47,6 +47,8 @@ DISCOUNT = 0.75
 HOT_WORDS = 512
 SAMPLE = 1 / 32
 COMMON_WORDS = 1 << 17    # at most so many words, with their counts, go to all tasks
+BOOK_WORDS = (1 << 16) - 1  # words with a two-byte code in what is shuffled; 0 stands for others
+QUERIES = 1 << 18         # bigrams of several blocks that a trie is asked at once
 
 
 def _tokens(block: ar.TextBlock):
@@ -73,6 +75,29 @@ def _narrow(a: np.ndarray) -> np.ndarray:
     return a.astype(np.min_scalar_type(int(a.max()) if len(a) else 0))
 
 
+class Book:
+    """Two-byte codes of common words, in the order of the sample; other words go as they are.
+    Only how words are written down depends on it."""
+
+    def __init__(self, words: np.ndarray):
+        self.words = words
+        self.order = np.argsort(words)
+        self.sorted = words[self.order]
+
+    def encode(self, words: np.ndarray) -> list[np.ndarray]:
+        at, known = _among(words, self.sorted)
+        code = np.zeros(len(words), np.uint16)
+        code[known] = self.order[at[known]] + 1
+        return [code, words[~known]]
+
+    def decode(self, code: np.ndarray, others: np.ndarray) -> np.ndarray:
+        out = np.empty(len(code), ar.U64)
+        known = code > 0
+        out[known] = self.words[code[known].astype(np.int64) - 1]
+        out[~known] = others
+        return out
+
+
 PACKED = "shard int, kind int, block long, data binary"
 
 
@@ -83,9 +108,9 @@ def _packed(shard, kind, block, data) -> pa.RecordBatch:
          pa.array(data, pa.binary())], names=["shard", "kind", "block", "data"])
 
 
-def _bigram_rows(shards: int, hot: np.ndarray, with_docs: bool):
+def _bigram_rows(shards: int, hot: np.ndarray, book: Book, with_docs: bool):
     """Distinct bigrams of a block of documents, packed per shard (kind 0): contexts, how many
-    successors each, successors, how often each. with_docs: no counts, but a row of the block
+    successors each, successors (both by the code book), how often each. with_docs: no counts, but a row of the block
     (kind 1) with its documents, the shards asked and the number of bigrams each, how often
     each bigram occurs and the document of each occurrence. Columns: doc_id, held_out, text."""
     hot = np.sort(hot)
@@ -111,7 +136,8 @@ def _bigram_rows(shards: int, hot: np.ndarray, with_docs: bool):
         for s in ids:
             lo, hi = cut[s], cut[s + 1]
             head = np.flatnonzero(np.append(True, v1[lo + 1:hi] != v1[lo:hi - 1]))
-            data = [v1[lo:hi][head], _narrow(np.diff(np.append(head, hi - lo))), w1[lo:hi]]
+            data = book.encode(v1[lo:hi][head]) + [_narrow(np.diff(np.append(head, hi - lo)))] \
+                + book.encode(w1[lo:hi])
             rows.append(_squeeze(data if with_docs else data + [_narrow(count[lo:hi])]))
         yield _packed(ids, 0, block, rows)
         if with_docs:
@@ -162,7 +188,7 @@ def _table(columns: dict) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
-def _count_rows(min_count: int, hot: np.ndarray):
+def _count_rows(min_count: int, hot: np.ndarray, book: Book):
     """Per shard one packed row (data: contexts, their counts and kept mass, kept bigrams each,
     their words and counts), and a row (v, c) of every context; those of hot words, which
     several shards hold parts of, with their mass."""
@@ -172,8 +198,9 @@ def _count_rows(min_count: int, hot: np.ndarray):
         for shard, rows in _by_shard(batches):
             parts = []
             for _, data in rows[0]:
-                v, sizes, w, count = _unsqueeze(data)
-                parts.append((np.repeat(v, sizes), w, count.astype(np.int64)))
+                v, v_rest, sizes, w, w_rest, count = _unsqueeze(data)
+                parts.append((np.repeat(book.decode(v, v_rest), sizes), book.decode(w, w_rest),
+                              count.astype(np.int64)))
             v, w, c = (np.concatenate(x) for x in zip(*parts))
             del parts
             order = np.lexsort((w, v))
@@ -219,11 +246,11 @@ def _asked(common: np.ndarray):
     return run
 
 
-def _common_words(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+def _common_words(counts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
     """The most frequent words and their counts, as many whole classes of counts (an eighth of
-    a doubling each) as ``COMMON_WORDS`` has room for."""
+    a doubling each) as make ``most`` words or fewer."""
     level = F.floor(F.log2("c") * 8).cast("int")
-    least, room = None, COMMON_WORDS
+    least, room = None, most
     for r in counts.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect():
         room -= r["count"]
         if room < 0:
@@ -343,11 +370,29 @@ class Trie:
         return out
 
 
-def _score_rows(hot: _Hot):
+def _score_rows(hot: _Hot, book: Book):
     """The shards' answers to blocks of documents (kind 0): counts of the contexts asked for,
     how many bigrams each, and the bigrams' gains; the blocks' own rows pass through (kind 1)."""
     lefts = np.log10(1.0 - hot.masses / hot.counts)
 
+    def answer(trie, shard, asked):
+        v, sizes, w = (np.concatenate([a[i] for a in asked]) for i in (1, 2, 3))
+        if trie:
+            at, count, left = trie.context(v)
+        else:
+            at, count, left = np.full(len(v), -1), np.zeros(len(v), np.int64), np.zeros(len(v))
+        if len(hot.words):
+            i, common = _among(v, hot.words)
+            count, left = np.where(common, hot.counts[i], count), np.where(common, lefts[i], left)
+        ctx = np.repeat(np.arange(len(v)), sizes)
+        gain = (trie.gains(at[ctx], w, left[ctx]) if trie else left[ctx]).astype(np.float32)
+        of_v, of_w = (np.cumsum([0] + [len(a[i]) for a in asked]) for i in (1, 3))
+        data = [_squeeze([_narrow(count[of_v[k]:of_v[k + 1]]), a[2], gain[of_w[k]:of_w[k + 1]]])
+                for k, a in enumerate(asked)]
+        n = len(asked)
+        return _table({"shard": pa.array([shard] * n, pa.int32()), "kind": pa.array([0] * n, pa.int32()),
+                       "block": pa.array([a[0] for a in asked], pa.int64()), "data": pa.array(data, pa.binary())})
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard, rows in _by_shard(batches, (0, 1, 2)):
             for block, data in rows[1]:
@@ -359,18 +404,16 @@ def _score_rows(hot: _Hot):
                     f.write(rows[2][0][1])
                 trie = Trie(path)
                 os.unlink(path)                      # the map keeps the file until it is closed
+            asked, held = [], 0
             for block, data in rows[0]:
-                v, sizes, w = _unsqueeze(data)
-                if trie:
-                    at, count, left = trie.context(v)
-                else:
-                    at, count, left = np.full(len(v), -1), np.zeros(len(v), np.int64), np.zeros(len(v))
-                if len(hot.words):
-                    i, common = _among(v, hot.words)
-                    count, left = np.where(common, hot.counts[i], count), np.where(common, lefts[i], left)
-                ctx = np.repeat(np.arange(len(v)), sizes)
-                gain = trie.gains(at[ctx], w, left[ctx]) if trie else left[ctx]
-                yield _packed([shard], 0, block, [_squeeze([_narrow(count), sizes, gain.astype(np.float32)])])
+                v, v_rest, sizes, w, w_rest = _unsqueeze(data)
+                asked.append((block, book.decode(v, v_rest), sizes, book.decode(w, w_rest)))
+                held += len(w)
+                if held >= QUERIES:
+                    yield answer(trie, shard, asked)
+                    asked, held = [], 0
+            if asked:
+                yield answer(trie, shard, asked)
 
     return run
 
@@ -412,19 +455,19 @@ def _block_scores(n: int, vocabulary: int):
     return run
 
 
-def _hot_words(texts: DataFrame) -> np.ndarray:
+def _sampled_words(texts: DataFrame) -> np.ndarray:
+    """Words of a sample of the texts, the most frequent first, ``BOOK_WORDS`` at most."""
     def run(batches):
         for batch in batches:
             for block in ar.blocks(batch.column(0)):
                 v, _, _ = _tokens(block)
                 word, count = np.unique(v, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(count)],
-                                                 names=["v", "c"])
+                yield _table({"v": pa.array(word.view(np.int64)), "c": pa.array(count)})
 
     counts = (texts.sample(SAMPLE, seed=3).mapInArrow(run, "v long, c long").groupBy("v")
-              .agg(F.sum("c").alias("c")).where("c >= 64"))
-    return np.array([r["v"] for r in counts.orderBy(F.desc("c"), "v").limit(HOT_WORDS).collect()],
-                    np.int64).view(ar.U64)
+              .agg(F.sum("c").alias("c")).where("c >= 2"))
+    words, c = _common_words(counts, BOOK_WORDS)
+    return words[np.lexsort((words, -c))]
 
 
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 7,
@@ -446,9 +489,10 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       F.col(text_col).cast("string").alias("text"))
     n_parts = partitions_for(docs)
     shards = 4 * n_parts
-    hot = _hot_words(src.select("text"))
-    counts = stage(src.where("not held_out").mapInArrow(_bigram_rows(shards, hot, False), PACKED)
-                   .repartition(n_parts, "shard").mapInArrow(_count_rows(min_count, hot), COUNTS),
+    book = Book(_sampled_words(src.select("text")))
+    hot = book.words[:HOT_WORDS]
+    counts = stage(src.where("not held_out").mapInArrow(_bigram_rows(shards, hot, book, False), PACKED)
+                   .repartition(n_parts, "shard").mapInArrow(_count_rows(min_count, hot, book), COUNTS),
                    "lm-counts")
     release(spark)
     contexts = counts.where("data is null").select("v", "c", "mass")
@@ -460,7 +504,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     n = row["n"] + int(totals.counts.sum())
     vocabulary = row["v"] + len(totals.words)
 
-    words, numbers = _common_words(rest)
+    words, numbers = _common_words(rest, COMMON_WORDS)
     words, numbers = np.append(words, totals.words), np.append(numbers, totals.counts)
     order = np.argsort(words)
     common = words[order], numbers[order]
@@ -475,8 +519,8 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     del contexts, rest, shard_rows, replies
     unstage(counts)                                  # the tries hold all that is needed of it
     release(spark)
-    packed = src.mapInArrow(_bigram_rows(shards, hot, True), PACKED)
+    packed = src.mapInArrow(_bigram_rows(shards, hot, book, True), PACKED)
     return (packed.unionByName(tries).repartition(n_parts, "shard")
-            .mapInArrow(_score_rows(totals), PACKED).repartition(n_parts, "block")
+            .mapInArrow(_score_rows(totals, book), PACKED).repartition(n_parts, "block")
             .mapInArrow(_block_scores(n, vocabulary), SCORES)
             .withColumnRenamed("doc_id", id_col))
