@@ -11,7 +11,11 @@ from __future__ import annotations
 import numpy as np
 
 U64 = np.uint64
-_ONES = np.array([bin(i).count("1") for i in range(256)], np.uint8)
+_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little")
+_ONES = _BITS.sum(1)
+#: place of the k-th zero or one of a byte: [byte, k] (what stands behind the last is never read)
+_ZERO_AT = np.argsort(_BITS, axis=1, kind="stable")
+_ONE_AT = np.argsort(1 - _BITS.astype(np.int8), axis=1, kind="stable")
 
 
 def _pack(values: np.ndarray, bits: int) -> np.ndarray:
@@ -31,7 +35,7 @@ def _pack(values: np.ndarray, bits: int) -> np.ndarray:
 class EliasFano:
     """``EliasFano.build(sorted values)`` gives arrays for a file; ``EliasFano(arrays)`` reads."""
 
-    PARTS = 4
+    PARTS = 3
 
     @staticmethod
     def build(values: np.ndarray) -> list[np.ndarray]:
@@ -44,14 +48,15 @@ class EliasFano:
         flags = np.zeros(-(-size // 64) * 64, np.uint8)
         flags[high + np.arange(n)] = 1
         unary = np.packbits(flags, bitorder="little")
-        zeros = 64 - flags.reshape(-1, 64).sum(1, dtype=np.int64)
-        before = np.concatenate([[0], np.cumsum(zeros)]).astype(np.int64)
         lows = _pack(values & ((U64(1) << U64(low_bits)) - U64(1)), low_bits)
-        return [np.array([n, low_bits, int(high[-1]) if n else -1], np.int64), lows, unary, before]
+        return [np.array([n, low_bits, int(high[-1]) if n else -1], np.int64), lows, unary]
 
     def __init__(self, parts: list[np.ndarray]):
-        (self.n, self.low_bits, self.top), self.lows, self.unary, self.before = (
+        (self.n, self.low_bits, self.top), self.lows, self.unary = (
             [int(x) for x in parts[0]], *parts[1:])
+        # zeros and ones before each byte of the unary part
+        self.zeros = np.concatenate([[0], np.cumsum(8 - _ONES[self.unary].astype(np.int64))])
+        self.ones = np.arange(len(self.zeros)) * 8 - self.zeros
 
     def _low(self, i: np.ndarray) -> np.ndarray:
         if not self.low_bits:
@@ -64,24 +69,8 @@ class EliasFano:
 
     def _select0(self, k: np.ndarray) -> np.ndarray:
         """Bit position of the k-th zero (from 0)."""
-        word = np.searchsorted(self.before, k, "right") - 1
-        rest = k - self.before[word]
-        pos, found = word * 64, np.zeros(len(k), bool)
-        for byte in range(8):
-            value = self.unary[np.minimum(word * 8 + byte, len(self.unary) - 1)]
-            zeros = 8 - _ONES[value].astype(np.int64)
-            here = ~found & (rest < zeros)
-            if here.any():
-                own, left = value[here], rest[here]
-                at = np.zeros(len(own), np.int64)
-                for bit in range(8):
-                    zero = ((own >> np.uint8(bit)) & 1) == 0
-                    at[zero & (left == 0)] = bit
-                    left = left - zero
-                pos[here] += byte * 8 + at
-                found |= here
-            rest = np.where(found, rest, rest - zeros)
-        return pos
+        byte = np.searchsorted(self.zeros, k, "right") - 1
+        return byte * 8 + _ZERO_AT[self.unary[byte], k - self.zeros[byte]]
 
     def find(self, x: np.ndarray) -> np.ndarray:
         """Position of each query's successor (the first value >= it) if that equals the
@@ -114,24 +103,8 @@ class EliasFano:
 
     def at(self, i: np.ndarray) -> np.ndarray:
         """Values at the positions i (used for monotone pointers: one select each)."""
-        word_ones = np.arange(len(self.before)) * 64 - self.before
-        word = np.searchsorted(word_ones, i, "right") - 1
-        rest = i - word_ones[word]
-        pos, found = word * 64, np.zeros(len(i), bool)
-        for byte in range(8):
-            value = self.unary[np.minimum(word * 8 + byte, len(self.unary) - 1)]
-            ones = _ONES[value].astype(np.int64)
-            here = ~found & (rest < ones)
-            if here.any():
-                own, left = value[here], rest[here]
-                at = np.zeros(len(own), np.int64)
-                for bit in range(8):
-                    one = ((own >> np.uint8(bit)) & 1) == 1
-                    at[one & (left == 0)] = bit
-                    left = left - one
-                pos[here] += byte * 8 + at
-                found |= here
-            rest = np.where(found, rest, rest - ones)
+        byte = np.searchsorted(self.ones, i, "right") - 1
+        pos = byte * 8 + _ONE_AT[self.unary[byte], i - self.ones[byte]]
         return ((pos - i).astype(U64) << U64(self.low_bits)) | self._low(i)
 
 
