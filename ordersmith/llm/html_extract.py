@@ -36,6 +36,7 @@ _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>
 _HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?false)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true",
                      re.I)
 _WORD = re.compile(r"[a-z]+")
+_TOKEN = re.compile(r"\S+")
 #: elements whose content is no text
 RAW = {"script", "style", "noscript", "template", "svg", "math", "iframe", "object", "textarea",
        "select", "option", "title"}
@@ -44,11 +45,12 @@ NOISE = {"nav", "footer", "aside", "form", "header", "menu", "dialog", "button",
          "fieldset", "input"}
 #: words in class, id or role that mark such elements
 NOISE_NAMES = {
-    "ad", "ads", "advert", "adverts", "advertisement", "banner", "breadcrumb", "breadcrumbs", "comment",
-    "comments", "cookie", "cookies", "consent", "disqus", "footer", "form", "header", "masthead", "menu",
-    "menus", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices", "popup", "promo",
-    "promoted", "promotion", "related", "reply", "replies", "search", "share", "sharing", "sidebar",
-    "signup", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget",
+    "ad", "ads", "advert", "advertisement", "adverts", "banner", "breadcrumb", "breadcrumbs", "comment",
+    "comments", "consent", "cookie", "cookies", "discussion", "disqus", "footer", "form", "header",
+    "masthead", "menu", "menus", "modal", "nav", "navbar", "navigation", "newsletter", "notice",
+    "notices", "popup", "promo", "promoted", "promotion", "related", "replies", "reply", "responses",
+    "search", "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe",
+    "thread", "threads", "toolbar", "widget",
 }
 ARTICLE = {"article", "main"}
 #: elements that stand inside a line; all others begin a new block
@@ -66,18 +68,67 @@ ENDS_P = {"address", "article", "aside", "blockquote", "details", "div", "dl", "
           "p", "pre", "section", "table", "ul"}
 
 
-def _kind(name: str, attrs: str) -> tuple[str, bool]:
-    """Kind of an element and whether it holds no article text."""
-    marks = set()
+def _kind(name: str, attrs: str) -> tuple[str, bool, bool]:
+    """Kind of an element, whether it holds no article text by its name or marks, and whether
+    that is doubtful: a form, or a mark that is only part of a name ("has-sidebar"), may as
+    well stand around the whole page."""
+    hit = whole = False
     if attrs:
-        for m in _NAMES.finditer(attrs):
-            marks.update(_WORD.findall((m[1] or m[2] or m[3] or "").lower()))
         if _HIDDEN.search(attrs):
-            return name + ".hidden", True
-    hit = marks & NOISE_NAMES
+            return name + ".hidden", True, False
+        for m in _NAMES.finditer(attrs):
+            for token in _TOKEN.findall((m[1] or m[2] or m[3] or "").lower()):
+                hit = hit or not NOISE_NAMES.isdisjoint(_WORD.findall(token))
+                whole = whole or token in NOISE_NAMES
     if hit and name not in ARTICLE and name not in ("html", "body"):
-        return name + ".noise", True
-    return name, name in NOISE
+        return name + ".noise", True, not whole and (name == "form" or name not in NOISE)
+    return name, name in NOISE, name == "form"
+
+
+def _wrappers(page: str) -> set[int]:
+    """Where the elements begin that hold the page's main article, or over half of its words
+    if the page marks no article. Doubtful marks say nothing of these. The main
+    article is the marked one with the most words; a mark inside a certain menu, sidebar or
+    comment list counts too, but frees only doubtful elements."""
+    stack: list[tuple[str, int, int]] = []             # name, start, words before
+    spans: list[tuple[int, int, int, str]] = []        # start, end, words, name
+    at, words, raw = 0, 0, None
+
+    def close(depth: int, end: int) -> None:
+        while len(stack) > depth:
+            name, start, before = stack.pop()
+            spans.append((start, end, words - before, name))
+
+    for m in _TAG.finditer(page):
+        if m.start() < at:
+            continue
+        name = (m[2] or "").lower()
+        if raw is not None:
+            if m[1] and name == raw:
+                raw, at = None, m.end()
+            continue
+        words += len(page[at:m.start()].split())
+        at = m.end()
+        if not name or name in VOID or name in INLINE:
+            continue
+        if name in RAW:
+            if not m[1] and not m[0].endswith("/>"):
+                raw = name
+        elif not m[1]:
+            stack.append((name, m.start(), words))
+        else:
+            for depth in range(len(stack) - 1, -1, -1):
+                if stack[depth][0] == name:
+                    close(depth, m.end())
+                    break
+    if raw is None:
+        words += len(page[at:].split())
+    close(0, len(page))
+    marked = [s for s in spans if s[3] in ARTICLE]
+    if marked:
+        start, end, _, _ = max(marked, key=lambda s: (s[2], -s[0]))
+        return {s[0] for s in spans if s[0] <= start and s[1] >= end}
+    return {s[0] for s in spans if 2 * s[2] > words}
 
 
 def tokens(page: str) -> Iterator[tuple[str, str, bool, bool, bool]]:
@@ -87,7 +138,7 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, bool, bool]]:
     block element; noise holds within all elements below one that is.
     """
     stack: list[tuple[str, str, bool, bool]] = []     # name, kind, noise, in article
-    at, raw = 0, None
+    at, raw, wrappers = 0, None, None
     state = ("", "page", False, False)
     for m in _TAG.finditer(page):
         if m.start() < at:
@@ -128,7 +179,11 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, bool, bool]]:
         elif stack and stack[-1][0] in CLOSES.get(name, ()):
             stack.pop()
         state = stack[-1] if stack else ("", "page", False, False)
-        kind, noise = _kind(name, m[3])
+        kind, noise, doubtful = _kind(name, m[3])
+        if doubtful:
+            wrappers = _wrappers(page) if wrappers is None else wrappers
+            if m.start() in wrappers:
+                kind, noise = name, False
         in_article = state[3] or name in ARTICLE
         new = (name, state[1] if inline and not noise else kind, state[2] or noise, in_article)
         yield "", new[1], new[2], state[3], not inline
@@ -171,13 +226,15 @@ def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit_weights(pages: DataFrame, html_col: str = "html", max_pages: int = SAMPLE_PAGES) -> dict:
     """Score of a word or tag by (is a word, kind of element, noise).
 
-    ``max_pages`` (about) bounds the sample, chosen by the hash of the page. A word scores
+    ``max_pages`` (about) bounds the sample, chosen by the hash of the whole row, so that a
+    page that many rows share is sampled like any other. A word scores
     1 plus its log odds of lying in an article, a tag -1 plus its own, between
     -8 and 8; tags never score above 0. Words and tags of noise elements, which no text
     is taken from, score ``INTERRUPTION``, so that an advert does not cut an article in two.
     """
     share = min(1.0, max_pages / max(1, pages.count()))
-    rows = (pages.where(F.pmod(F.xxhash64(html_col), F.lit(1 << 30)) < int(share * (1 << 30)))
+    row = [F.col(f"`{f.name}`") for f in pages.schema if not re.search("map<|variant", f.dataType.simpleString())]
+    rows = (pages.where(F.pmod(F.xxhash64(*row), F.lit(1 << 30)) < int(share * (1 << 30)))
             .select(F.col(html_col).cast("string").alias("h")).mapInArrow(_count_rows, WEIGHTS)
             .groupBy("word", "kind", "noise").agg(F.sum("inside").alias("i"), F.sum("outside").alias("o"))
             .orderBy(F.desc(F.col("i") + F.col("o")), "word", "kind", "noise").limit(4096).collect())

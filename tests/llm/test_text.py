@@ -65,6 +65,35 @@ def test_extract_keeps_the_article_only(spark):
     assert extract(long, weights) == " ".join(["some words"] * 20_000)
 
 
+BODY = ("<article><h1>Title</h1>" + "<p>some words of the article here and more</p>" * 20 + "</article>")
+
+
+@pytest.mark.parametrize("page", [
+    '<div class="content has-sidebar">{}<div class="sidebar"><ul><li>one link</li></ul></div></div>',
+    '<div id="page-with-header"><div class="header">Site name</div>{}</div>',
+    '<form id="aspnetForm" action="x"><input name="s">{}</form>',
+    '{}<div class="thread"><p>a reader says so</p></div>',
+    '{}<div class="comment-list"><div class="post-reply"><p>' + "long reader comment " * 200 + "</p></div></div>",
+    '{}<form class="search"><label>find</label></form><div class="site-footer">all rights</div>',
+])
+def test_extract_keeps_articles_whatever_stands_around_them(spark, page):
+    weights = fit_weights(spark.read.parquet(f"{SF_SMALL}/pages.parquet"))
+    want = "Title " + " ".join(["some words of the article here and more"] * 20)
+    for w in (weights, {}):
+        assert extract("<html><body>" + page.format(BODY) + "</body></html>", w) == want
+    plain = BODY.replace("article>", "div>")
+    assert extract("<html><body><form id='f'>" + plain + "</form></body></html>", weights) == want
+    # a form beside a longer text is no wrapper
+    assert extract("<html><body>" + plain + "<form><p>your name</p></form></body></html>", weights) == want
+
+
+def test_sampled_pages_are_rows_not_texts(spark):
+    """Many rows that share one page are sampled one by one."""
+    html = "<html><body>" + BODY + "</body></html>"
+    pages = spark.range(4000).select("id", F.lit(html).alias("html"), F.create_map(F.lit(1), "id").alias("m"))
+    assert fit_weights(pages, max_pages=200)[True, "p", False] > 0
+
+
 def test_extract_table_equals_its_articles(spark):
     import html
     import re
