@@ -15,7 +15,9 @@ from ordersmith.llm import quality_lm as ql
 from ordersmith.llm.decontaminate import contamination, lcs_length, remove_contaminated
 from ordersmith.llm.elias_fano import EliasFano, from_buffer, to_bytes
 from ordersmith.llm import arrays as ar
+from ordersmith.llm import lm_scoring
 from ordersmith.llm.lm_scoring import score_texts
+from ordersmith.session import list_dirs, shared_dir
 from ordersmith.llm.mixing import edf_frame, frame_shares, mix_sources
 from test_documents import AWKWARD, SCHEMA, WORD, awkward
 
@@ -94,6 +96,30 @@ def test_words_that_agree_in_forty_bits_of_their_hash(spark):
         assert got[i] == pytest.approx(score, rel=1e-6)
 
 
+@pytest.mark.parametrize("words", [0, 3, 60])
+def test_scores_do_not_depend_on_the_tables_of_common_words(spark, monkeypatch, words):
+    """Words beyond the bounded tables are written out and their counts asked for by join."""
+    monkeypatch.setattr(lm_scoring, "COMMON_WORDS", words)
+    monkeypatch.setattr(lm_scoring, "BOOK_WORDS", words)
+    monkeypatch.setattr(lm_scoring, "SAMPLE", 1.0)
+    df = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    pairs = [(r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()]
+    got = sorted(tuple(r) for r in score_texts(df).collect())
+    want = sorted(brute_scores(pairs))
+    assert [g[:5] for g in got] == [w[:5] for w in want]
+    for g, w in zip(got, want):
+        assert g[5] == pytest.approx(w[5], rel=1e-9)
+        assert g[6] == pytest.approx(w[6], rel=0.05)
+
+
+def test_counts_are_deleted_once_the_tries_are_written(spark):
+    before = set(list_dirs(spark, shared_dir(spark)))
+    df = spark.createDataFrame([(i, "a b c a b") for i in range(20)], "doc_id long, text string")
+    assert score_texts(df).count() == 20
+    new = set(list_dirs(spark, shared_dir(spark))) - before
+    assert [n.rsplit("-", 1)[0] for n in new] == ["lm-tries"]
+
+
 def test_scores_of_an_empty_table(spark):
     assert score_texts(spark.createDataFrame([], SCHEMA)).count() == 0
 
