@@ -65,6 +65,25 @@ class Spec:
         return (at.astype(ar.U64) << ar.U64(29)) | (contexts >> ar.U64(35))
 
 
+KEYS = ("__doc", "__th")
+
+
+def set_aside(df: DataFrame, taken) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with the columns that are named as in ``taken`` renamed, and their new names."""
+    used, names = {c.lower() for c in df.columns}, {}
+    for c in df.columns:
+        if c.lower() in taken:
+            names[c] = f"__own_{c}"
+            while names[c].lower() in used:
+                names[c] = "_" + names[c]
+            used.add(names[c].lower())
+    return (df.withColumnsRenamed(names) if names else df), names
+
+
+def put_back(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    return df.withColumnsRenamed({new: old for old, new in names.items()}) if names else df
+
+
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Adds ``__th`` (hash of the text) and ``__doc`` (the id; without one, a rank before
     all ids, by text hash)."""
@@ -379,7 +398,7 @@ def _outcome(spec: Spec, text_at: int, columns: int):
 def outcome(docs: DataFrame, found: DataFrame, firsts: DataFrame, spec: Spec,
             text_col: str) -> DataFrame:
     """``docs`` with ADDED columns; ``firsts`` (doc, th, first): open windows that stay."""
-    own = [c for c in docs.columns if c not in ADDED and c not in ("__doc", "__th")]
+    own = [c for c in docs.columns if c not in ADDED and c not in KEYS]
     ranges = (found.where("kind = 0").groupBy(F.col("doc").alias("__doc"), F.col("th").alias("__th"))
               .agg(F.first("repeated").alias("__repeated"), F.first("open").alias("__open")))
     stay = (firsts.groupBy(F.col("doc").alias("__doc"), F.col("th").alias("__th"))

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .repeats import Spec, anchor_events, keyed, open_windows, outcome
+from .repeats import KEYS, Spec, anchor_events, keyed, open_windows, outcome, put_back, set_aside
 from .staging import release, require, stage
 
 
@@ -30,6 +30,8 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named like the added ones are replaced; all others pass through.
     """
     require(docs, id_col, text_col)
+    docs, names = set_aside(docs, KEYS)
+    id_col, text_col = names.get(id_col, id_col), names.get(text_col, text_col)
     spec = Spec(words=True, size=size, k=k, by_doc=True)
     rows = keyed(docs, id_col, text_col)
     events = anchor_events(rows, spec, text_col)
@@ -42,4 +44,4 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     firsts = stage(seen.join(low, ["window", "doc"])
                    .select("doc", "th", F.col("window").alias("first")).distinct(),
                    "substring-firsts")
-    return outcome(rows, found, firsts, spec, text_col)
+    return put_back(outcome(rows, found, firsts, spec, text_col), names)

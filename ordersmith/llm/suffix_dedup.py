@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import arrays as ar
-from .repeats import Spec, anchor_events, keyed, open_windows, outcome
+from .repeats import ADDED, KEYS, Spec, anchor_events, keyed, open_windows, outcome, put_back, set_aside
 from .staging import partitions_for, release, require, stage
 
 
@@ -78,6 +78,8 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ones are replaced; all others pass through.
     """
     require(docs, id_col, text_col)
+    docs, names = set_aside(docs, KEYS)
+    id_col, text_col = names.get(id_col, id_col), names.get(text_col, text_col)
     spec = Spec(words=False, size=size, k=k, by_doc=False)
     rows = keyed(docs, id_col, text_col)
     n = partitions_for(docs)
@@ -88,7 +90,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     firsts = (found.where("kind = 1").select("doc", "th", "pos", "lead", "window")
               .repartitionByRange(n, "lead", "window")
               .mapInArrow(_bucket_firsts, "doc long, th long, first int"))
-    return outcome(rows, found, stage(firsts, "suffix-firsts"), spec, text_col)
+    return put_back(outcome(rows, found, stage(firsts, "suffix-firsts"), spec, text_col), names)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -98,6 +100,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     A character cut in two is dropped whole (so is a replacement character in a cut text); ``n_chars``, if there, is counted anew;
     a document that nothing is left of is dropped (an empty one stays).
     """
+    columns = docs.columns
+    docs, names = set_aside(docs, [*ADDED, "__t"])
+    id_col, text_col = names.get(id_col, id_col), names.get(text_col, text_col)
     out = suffix_dedup(docs, id_col, text_col, size)
     text = F.when(F.col("n_removed") == 0, F.col(text_col)).otherwise(
         F.replace(F.make_valid_utf8(F.col("kept").cast("string")), F.lit("\ufffd"), F.lit("")))
@@ -105,4 +110,4 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     cols = [F.col("__t").alias(c) if c == text_col else
             F.length("__t").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c)
             for c in docs.columns]
-    return out.select(*cols)
+    return put_back(out.select(*cols), names).select(*[F.col(f"`{c}`") for c in columns])

@@ -150,9 +150,12 @@ def test_suffix_dedup_awkward_rows(spark):
     known = [r for r in AWKWARD if r[0] is not None]
     df = spark.createDataFrame(known, SCHEMA)
     out = suffix_dedup(df, size=40, k=16)
-    assert {"__doc", "events", "source"} <= set(out.columns) - {"kept"} or "source" in out.columns
+    assert out.columns == ["doc_id", "text", "__doc", "events", "source", "n_tokens", "n_removed",
+                           "n_spans", "removed", "kept"]
     got = digests(out, "doc_id", "n_tokens", "n_removed", "n_spans")
     assert got == sorted(cut_bytes([r[:2] for r in known], 40), key=repr)
+    assert [r["__doc"] for r in out.orderBy("doc_id", "__doc", "kept").select("__doc", "doc_id", "kept").collect()] \
+        == [r["__doc"] for r in df.orderBy("doc_id", "__doc").collect()]
     everything = suffix_dedup(awkward(spark), size=40, k=16)
     assert everything.count() == len(AWKWARD)
     assert everything.where("doc_id is null and n_removed > 0").count() == 1
@@ -189,3 +192,16 @@ def test_substring_dedup_awkward_rows(spark):
                   "doc_id", "n_tokens", "n_removed")
     assert got == sorted(cut_words([r[:2] for r in known], 12), key=repr)
     assert substring_dedup(awkward(spark), size=12, k=4).count() == len(AWKWARD)
+
+
+def test_cut_texts_keep_columns_named_like_inner_ones(spark):
+    """Columns of the table that are named like the operators' own come out as they went in."""
+    rows = [(1, PART, "k1", 7, 8, 5), (2, "before " + PART, "k2", None, 9, 6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, kept string, __doc int, __th int, __t int")
+    got = sorted(tuple(r) for r in remove_repeats(df, size=40).collect())
+    assert remove_repeats(df, size=40).columns == df.columns
+    assert got[0] == rows[0] and got[1][2:] == rows[1][2:] and got[1][1].strip() == "before"
+    own = substring_dedup(df)
+    assert {c: own.schema[c].dataType for c in ("__doc", "__th", "__t")} \
+        == {c: df.schema[c].dataType for c in ("__doc", "__th", "__t")}
+    assert sorted(r["__th"] for r in own.collect()) == [8, 9]
