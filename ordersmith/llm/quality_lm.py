@@ -1,20 +1,20 @@
 """Quality classifier: perplexity under a Kneser-Ney model of trusted text.
 
 The model is an interpolated modified Kneser-Ney n-gram model over words, trained on
-a bounded sample of documents labelled as trusted. Its counts, continuation
+half of all documents labelled as trusted (by a hash of the id). Its counts, continuation
 counts, discounts and probabilities come from grouped counts and joins sharded by
 n-gram. The interpolated recursion is stored so that a text's log probability is
 a sum over its n-grams: every word starts from the unknown word's probability,
 and each known unigram, context and n-gram adds its own term.
 
-Perplexities of all trusted documents that took no part in training give each language
+Perplexities of all trusted documents of the other half give each language
 its threshold (a high quantile); documents above it are rejected. Languages with few of them
 are held against the threshold of all languages together, short texts against that of
 short texts.
 
-The model's size is bounded by the sample and checked: up to ``MODEL_ROWS`` terms
-go to the tasks and texts are scored where they are read; beyond, the same terms are
-joined to the texts' n-grams, sharded by n-gram.
+The model grows with the corpus. Its ``MODEL_ROWS`` most frequent terms at most go to the
+tasks, where texts are scored as they are read; n-grams that are not among them meet the
+other terms in a join, sharded by n-gram.
 """
 
 from __future__ import annotations
@@ -28,13 +28,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..operators.lookup import bounded_broadcast
 from . import arrays as ar
 from .staging import require, stage
 
 MODEL_ROWS = 4_000_000
+IDS = 1_000_000           # ids of trusted documents that are broadcast; more meet the texts by shuffle
 START = ar.U64(0x5851F42D4C957F2D)
 CONTEXT = ar.U64(0xA0761D6478BD642F)
 LEAST = 20                # trusted documents that a threshold of their own takes
+COUNTS = 4096             # counts that are told apart when the most frequent terms are chosen
 GRID = 10_000             # steps of a perplexity's logarithm that quantiles tell apart
 ADDED = ["n_words", "log10_prob", "perplexity", "threshold", "accepted"]
 
@@ -93,7 +96,8 @@ class QualityModel:
 
 
 def fit_terms(texts: DataFrame, order: int) -> tuple[DataFrame, int, float]:
-    """(key, term) of every unigram, context and n-gram of ``texts`` (column text)."""
+    """(key, term, c) of every unigram, context and n-gram of ``texts`` (column text); c: how
+    often it counts."""
     spark = texts.sparkSession
     raw = stage(texts.select("text").mapInArrow(_train_rows(order),
                                                 "n int, g long, h long, s long, c long")
@@ -119,26 +123,26 @@ def fit_terms(texts: DataFrame, order: int) -> tuple[DataFrame, int, float]:
     rows = counts.join(F.broadcast(size), "n").withColumn("cut", cut)
     heads = rows.groupBy("n", "h").agg(F.sum("c").alias("total"), F.sum("cut").alias("saved"))
     rows = rows.join(heads, ["n", "h"]).select(
-        "n", "g", "h", "s", ((F.col("c") - F.col("cut")) / F.col("total")).alias("own"),
+        "n", "g", "h", "s", "c", ((F.col("c") - F.col("cut")) / F.col("total")).alias("own"),
         (F.col("saved") / F.col("total")).alias("share"))
     rows = stage(rows, "kn-shares")
     head = rows.where("n = 1").agg(F.first("share"), F.count("*")).first()
     vocabulary = head[1]
     unknown = (head[0] or 1.0) / (vocabulary + 1)
     terms = []
-    lower = rows.where("n = 1").select("g", (F.col("own") + F.lit(unknown)).alias("p"))
+    lower = rows.where("n = 1").select("g", "c", (F.col("own") + F.lit(unknown)).alias("p"))
     terms.append(lower.select(F.col("g").alias("key"),
-                              F.log10(F.col("p") / F.lit(unknown)).alias("term")))
+                              F.log10(F.col("p") / F.lit(unknown)).alias("term"), "c"))
     for n in range(2, order + 1):
         level = (rows.where(F.col("n") == n)
                  .join(lower.select(F.col("g").alias("s"), F.col("p").alias("back")), "s"))
         p = F.col("own") + F.col("share") * F.col("back")
-        level = stage(level.select("g", "h", p.alias("p"), "share", "back"), "kn-level")
+        level = stage(level.select("g", "h", "c", p.alias("p"), "share", "back"), "kn-level")
         terms.append(level.select(F.col("g").alias("key"),
-                                  F.log10(F.col("p") / (F.col("back") * F.col("share"))).alias("term")))
-        terms.append(level.groupBy("h").agg(F.first("share").alias("share"))
+                                  F.log10(F.col("p") / (F.col("back") * F.col("share"))).alias("term"), "c"))
+        terms.append(level.groupBy("h").agg(F.first("share").alias("share"), F.sum("c").alias("c"))
                      .select(F.col("h").bitwiseXOR(F.lit(int(CONTEXT.view(np.int64)))).alias("key"),
-                             F.log10("share").alias("term")))
+                             F.log10("share").alias("term"), "c"))
         lower = level.select("g", "p")
     table = terms[0]
     for t in terms[1:]:
@@ -155,13 +159,23 @@ def _keys(block: ar.TextBlock, order: int):
             yield lengths, doc, h ^ CONTEXT
 
 
-def _score_in_tasks(docs: DataFrame, text_col: str, model: QualityModel) -> DataFrame:
-    """Adds n_words and log10_prob, without a shuffle."""
-    parts = model.terms.toArrow()
-    key = parts.column("key").to_numpy().view(ar.U64)
-    order = np.argsort(key)
-    table = docs.sparkSession.sparkContext.broadcast(
-        (key[order], parts.column("term").to_numpy()[order].astype(np.float32)))
+def _head(model: QualityModel, at_most: int) -> tuple[DataFrame, int]:
+    """The terms that count most, ``at_most`` of them, and their least count (ties stay out)."""
+    if model.n_terms <= at_most:
+        return model.terms, 0
+    sizes = (model.terms.groupBy(F.least("c", F.lit(COUNTS)).alias("k")).agg(F.count("*").alias("m"))
+             .orderBy(F.desc("k")).collect())                     # at most COUNTS rows
+    least, n = COUNTS + 1, 0
+    for r in sizes:
+        n += r["m"]
+        if n > at_most:
+            break
+        least = r["k"]
+    return model.terms.where(F.least("c", F.lit(COUNTS)) >= least), least
+
+
+def _score_in_tasks(docs: DataFrame, text_col: str, model: QualityModel, table) -> DataFrame:
+    """Adds n_words and log10_prob by the terms of the broadcast ``table``, without a shuffle."""
     at, unknown, n = docs.columns.index(text_col), model.unknown, model.order
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,6 +186,8 @@ def _score_in_tasks(docs: DataFrame, text_col: str, model: QualityModel) -> Data
                 rows = slice(block.lo, block.lo + block.n)
                 for lengths, doc, g in _keys(block, n):
                     words[rows] = lengths
+                    if not len(keys):
+                        continue
                     i = np.minimum(np.searchsorted(keys, g), len(keys) - 1)
                     sums[rows] += np.bincount(doc, np.where(keys[i] == g, terms[i], 0),
                                               minlength=block.n)
@@ -184,40 +200,56 @@ def _score_in_tasks(docs: DataFrame, text_col: str, model: QualityModel) -> Data
     return docs.mapInArrow(run, schema)
 
 
-def _score_by_join(docs: DataFrame, text_col: str, model: QualityModel) -> DataFrame:
-    """The same by joining n-grams to terms, both sharded by n-gram; documents meet their
-    sums by the hash of their text."""
+def _add_by_join(docs: DataFrame, scored: DataFrame, text_col: str, model: QualityModel, table, tail: DataFrame) -> DataFrame:
+    """Adds the terms of ``tail``: n-grams outside the broadcast ``table`` meet them sharded by
+    n-gram; documents meet their sums by the hash of their text."""
     order = model.order
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, _ = table.value
         for batch in batches:
             th = batch.column(1).to_numpy(zero_copy_only=False)
             for block in ar.blocks(batch.column(0)):
-                for k, (lengths, doc, g) in enumerate(_keys(block, order)):
-                    own = th[block.lo + doc]
-                    kind = np.full(len(g), k, np.int32)
+                for _, doc, g in _keys(block, order):
+                    if len(keys):
+                        far = keys[np.minimum(np.searchsorted(keys, g), len(keys) - 1)] != g
+                        doc, g = doc[far], g[far]
+                    by = np.lexsort((g, doc))
+                    doc, g = doc[by], g[by]
+                    first = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (g[1:] != g[:-1]))) \
+                        if len(g) else np.zeros(0, np.int64)
+                    count = np.diff(np.append(first, len(g)))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(own), pa.array(g.view(np.int64)), pa.array(kind)],
-                        names=["th", "key", "kind"])
-
-    keyed = docs.withColumn("__th", F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
-    texts = keyed.select(F.col(text_col).cast("string").alias("text"), "__th").dropDuplicates(["__th"])
-    uses = (texts.mapInArrow(run, "th long, key long, kind int").groupBy("th", "key", "kind")
-            .agg(F.count("*").alias("c")))
-    sums = (uses.join(model.terms, "key", "left").groupBy(F.col("th").alias("__th"))
-            .agg(F.sum(F.when(F.col("kind") == 0, F.col("c"))).alias("n_words"),
-                 F.sum(F.coalesce("term", F.lit(0.0)) * F.col("c")).alias("__s")))
+                        [pa.array(th[block.lo + doc[first]]), pa.array(g[first].view(np.int64)),
+                         pa.array(count.astype(np.int32))], names=["th", "key", "times"])
+
+    name = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("__th")
+    texts = docs.select(F.col(text_col).cast("string").alias("text"), name)
+    keyed = scored.select("*", name)
+    # equal texts ask the same: one answer is counted
+    uses = texts.mapInArrow(run, "th long, key long, times int")
+    sums = (uses.join(tail.select("key", "term"), "key")
+            .groupBy(F.col("th").alias("__th"), "key")
+            .agg(F.max("times").alias("times"), F.first("term").alias("term"))
+            .groupBy("__th").agg(F.sum(F.col("term") * F.col("times")).alias("__s")))
     return (keyed.join(sums, "__th", "left").drop("__th")
-            .withColumn("n_words", F.coalesce("n_words", F.lit(0)).cast("long"))
-            .withColumn("log10_prob", F.coalesce("__s", F.lit(0.0)) + F.col("n_words") * model.unknown)
-            .drop("__s"))
+            .withColumn("log10_prob", F.col("log10_prob") + F.coalesce("__s", F.lit(0.0))).drop("__s"))
 
 
 def log_probs(docs: DataFrame, text_col: str, model: QualityModel,
               in_tasks_up_to: int = MODEL_ROWS) -> DataFrame:
-    if model.n_terms <= in_tasks_up_to:
-        return _score_in_tasks(docs, text_col, model)
-    return _score_by_join(docs, text_col, model)
+    """Adds n_words and log10_prob under the whole model."""
+    head, least = _head(model, in_tasks_up_to)
+    parts = head.select("key", "term").toArrow()
+    key = parts.column("key").to_numpy().view(ar.U64)
+    by = np.argsort(key)
+    table = docs.sparkSession.sparkContext.broadcast(
+        (key[by], parts.column("term").to_numpy()[by].astype(np.float32)))
+    scored = _score_in_tasks(docs, text_col, model, table)
+    if not least:
+        return scored
+    tail = model.terms.where(F.least("c", F.lit(COUNTS)) < least)
+    return _add_by_join(docs, scored, text_col, model, table, tail)
 
 
 def _perplexity():
@@ -227,12 +259,12 @@ def _perplexity():
 
 def fit_quality_model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                       text_col: str = "text", lang_col: str = "lang", order: int = 2,
-                      max_docs: int = 6000, quantile: float = 0.995, margin: float = 1.1,
+                      max_docs: int | None = None, quantile: float = 0.995, margin: float = 1.1,
                       min_words: int = 20) -> QualityModel | None:
     """Train on trusted documents (quality 1, toxic 0) and set each language's threshold.
 
-    ``max_docs`` bounds the documents that counts may be taken from: those with the
-    smallest md5(id), half of which train. All other trusted documents give the thresholds: the
+    Half of them train, by the last digit of md5(id). With ``max_docs`` (default: no bound) only
+    those among the smallest md5(id) do. All other trusted documents give the thresholds: the
     ``quantile`` of their perplexities times ``margin``, by language (null: '') for
     ``min_words`` words at least, and over all languages for shorter texts. With fewer than
     ``LEAST`` documents, a language takes the threshold of all languages, and short texts take
@@ -242,23 +274,27 @@ def fit_quality_model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id"
     require(labels, id_col, "quality", "toxic")
     trusted = (labels.where("quality = 1 and coalesce(toxic, 0) = 0")
                .select(F.col(id_col).alias("__id")).where("__id is not null").distinct())
-    half = F.conv(F.substring("__m", -1, 1), 16, 10).cast("int") % 2
-    train = stage(trusted.withColumn("__m", F.md5(F.col("__id").cast("string"))).orderBy("__m")
-                  .limit(max_docs).where(half == 0).select("__id"), "kn-train")
+    mark = F.md5(F.col("__id").cast("string"))
+    half = F.conv(F.substring(mark, -1, 1), 16, 10).cast("int") % 2 == 0
+    chosen = trusted if max_docs is None else trusted.orderBy(mark).limit(max_docs)
+    train = stage(chosen.where(half).select("__id"), "kn-train")
     terms, n, unknown = fit_terms(
-        docs.select(id_col, F.col(text_col).alias("text"))
-        .join(F.broadcast(train), F.col(id_col) == F.col("__id")).select("text"), order)
+        docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).where(half)
+        .join(bounded_broadcast(train, IDS), "__id", "left_semi").select("text"), order)
     if not n:
         return None
     model = QualityModel(terms, n, unknown, order)
-    # scores first, so that only ids and numbers meet the labels
-    scored = (log_probs(docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text"),
-                                    F.coalesce(F.col(lang_col), F.lit("")).alias("lang")), "text", model)
+    asked = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text"),
+                        F.coalesce(F.col(lang_col), F.lit("")).alias("lang"))
+    if max_docs is None:
+        asked, held = asked.where(~half), trusted.where(~half)
+    else:
+        held = trusted.join(train, "__id", "left_anti")
+    scored = (log_probs(asked.join(bounded_broadcast(held, IDS), "__id", "left_semi"), "text", model)
               .where("n_words > 0")
-              .select("__id", "lang", (F.col("n_words") < min_words).alias("short"),
+              .select("lang", (F.col("n_words") < min_words).alias("short"),
                       F.round(F.log(_perplexity()) * GRID).alias("step")))
-    steps = stage(scored.join(trusted, "__id", "left_semi").join(F.broadcast(train), "__id", "left_anti")
-                  .groupBy("lang", "short", "step").agg(F.count("*").alias("m")), "kn-held")
+    steps = stage(scored.groupBy("lang", "short", "step").agg(F.count("*").alias("m")), "kn-held")
 
     def bounds(rows: DataFrame, *by: str) -> list:
         cut = F.exp(F.percentile("step", quantile, F.col("m")) / GRID) * margin

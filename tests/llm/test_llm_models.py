@@ -1,4 +1,5 @@
 """Language models, decontamination, mixing, embeddings."""
+import hashlib
 import math
 import zlib
 from collections import Counter
@@ -159,6 +160,22 @@ def test_quality_classifier(spark):
     assert ql.keep_accepted(docs, labels).columns == docs.columns
 
 
+def test_quality_classifier_trains_on_half_of_all_trusted_documents(spark):
+    docs = spark.range(9000).selectExpr("id as doc_id", "'en' as lang", "concat('w', id) as text")
+    labels = docs.selectExpr("doc_id", "1 as quality", "0 as toxic")
+    model = ql.fit_quality_model(docs, labels)
+    half = sum(int(hashlib.md5(str(i).encode()).hexdigest()[-1], 16) % 2 == 0 for i in range(9000))
+    assert model.n_terms == 2 * half + 1          # a word and a bigram each, one context
+    counted = spark.createDataFrame([("w1 w2 w3 w1",), ("w1 w2 w3 w1",), ("w5 w5 q",), ("",), (None,)], "text string")
+    texts = spark.createDataFrame([("a a b a b c",), ("a b d",), ("w1 w2",)], "text string")
+    table, n, unknown = ql.fit_terms(texts.unionByName(counted.where("text is not null")), 2)
+    model = ql.QualityModel(table, n, unknown, 2)
+    whole = sorted(map(repr, ql.log_probs(counted, "text", model).selectExpr("text", "round(log10_prob, 4)").collect()))
+    for some in (0, 3, 8):                        # the most frequent terms in the tasks, the others by join
+        parts = ql.log_probs(counted, "text", model, in_tasks_up_to=some)
+        assert sorted(map(repr, parts.selectExpr("text", "round(log10_prob, 4)").collect())) == whole
+
+
 def test_quality_classifier_without_trusted_documents(spark):
     docs, labels = small(spark)
     assert ql.fit_quality_model(docs, labels.limit(0)) is None
