@@ -13,6 +13,7 @@ from hypothesis import strategies as st
 from conftest import SF_SMALL
 from ordersmith.llm import embedding_dedup as ed
 from ordersmith.llm import quality_lm as ql
+from ordersmith.llm import decontaminate as dc
 from ordersmith.llm.decontaminate import contamination, lcs_length, remove_contaminated
 from ordersmith.llm.elias_fano import EliasFano, from_buffer, to_bytes
 from ordersmith.llm import arrays as ar
@@ -207,6 +208,33 @@ def test_contamination_finds_copies_and_paraphrases(spark):
     assert len({d for d, _ in got if d < 9000}) < 0.2 * docs.count()
 
 
+def test_contamination_learns_its_space_from_every_text(spark):
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"v{x}" for x in rng.integers(0, 300, 40)) for _ in range(4000)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(5)
+    idf = np.linspace(0.1, 2, dc.FEATURES).astype(np.float32)
+    rank = 24
+    got = dc.corpus_products(docs, idf, rank)
+    rows, cols = [], []
+    for t in texts:                               # A'(A W) by the book
+        feature = dc._feature(np.array(dc._item_words(t), np.uint64))
+        for at in range(0, len(feature), dc.CELL):
+            rows.append(feature[at:at + dc.CELL])
+    used = np.unique(np.concatenate(rows))
+    a = np.zeros((len(rows), len(used)))
+    for i, r in enumerate(rows):
+        np.add.at(a[i], np.searchsorted(used, r), idf[r])
+    w = dc._test_matrix(7, rank + dc.OVERSAMPLING)
+    want = a.T @ (a @ w[used])
+    assert np.allclose(got[used], want, rtol=1e-3, atol=1e-3 * abs(want).max())
+    assert not got[np.setdiff1d(np.arange(dc.FEATURES), used)].any()
+    basis = dc.latent_basis(got, ["v1 v2 v3"], idf, rank)
+    assert basis.shape == (dc.FEATURES, rank) and np.allclose(basis.T @ basis, np.eye(rank), atol=1e-4)
+    best = np.linalg.eigvalsh(a.T @ a)[::-1][:rank].sum()
+    kept = ((a @ basis[used]) ** 2).sum()
+    assert 0.7 * best <= kept <= best * 1.001
+
+
 def test_contamination_awkward_rows(spark):
     bench = spark.createDataFrame([(1, AWKWARD[0][1]), (2, None), (3, ""), (None, "x y z")],
                                   "item_id long, text string")
