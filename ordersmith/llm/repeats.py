@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from . import arrays as ar
 from .staging import partitions_for, stage
 
-FLUSH = 1 << 19
+FLUSH = 1 << 18          # rows a task sorts at once: tens of MB of arrays and their sorted copies
 SAMPLE = 1 / 16
 HOT_KEYS = 4096          # most k-grams spread by context: a bounded list in the task closure
 SALTS = 64
