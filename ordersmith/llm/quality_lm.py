@@ -30,7 +30,7 @@ from pyspark.sql.types import StructType
 
 from ..operators.lookup import bounded_broadcast
 from . import arrays as ar
-from .staging import require, stage
+from .staging import release, require, stage, unstage
 
 MODEL_ROWS = 4_000_000
 IDS = 1_000_000           # ids of trusted documents that are broadcast; more meet the texts by shuffle
@@ -108,6 +108,8 @@ def fit_terms(texts: DataFrame, order: int) -> tuple[DataFrame, int, float]:
     counts = stage(raw.join(before, ["n", "g"], "left")
                    .select("n", "g", "h", "s", F.when(F.col("n") == order, F.col("c"))
                            .otherwise(F.coalesce("before", F.lit(1))).alias("c")), "kn-adjusted")
+    unstage(raw)
+    release(spark)
     seen = {(r["n"], r["k"]): r["m"] for r in counts.groupBy("n", F.least("c", F.lit(5)).alias("k"))
             .agg(F.count("*").alias("m")).collect()}
     cuts = {}
@@ -126,10 +128,12 @@ def fit_terms(texts: DataFrame, order: int) -> tuple[DataFrame, int, float]:
         "n", "g", "h", "s", "c", ((F.col("c") - F.col("cut")) / F.col("total")).alias("own"),
         (F.col("saved") / F.col("total")).alias("share"))
     rows = stage(rows, "kn-shares")
+    unstage(counts)
+    release(spark)
     head = rows.where("n = 1").agg(F.first("share"), F.count("*")).first()
     vocabulary = head[1]
     unknown = (head[0] or 1.0) / (vocabulary + 1)
-    terms = []
+    terms, levels = [], []
     lower = rows.where("n = 1").select("g", "c", (F.col("own") + F.lit(unknown)).alias("p"))
     terms.append(lower.select(F.col("g").alias("key"),
                               F.log10(F.col("p") / F.lit(unknown)).alias("term"), "c"))
@@ -138,6 +142,7 @@ def fit_terms(texts: DataFrame, order: int) -> tuple[DataFrame, int, float]:
                  .join(lower.select(F.col("g").alias("s"), F.col("p").alias("back")), "s"))
         p = F.col("own") + F.col("share") * F.col("back")
         level = stage(level.select("g", "h", "c", p.alias("p"), "share", "back"), "kn-level")
+        levels.append(level)
         terms.append(level.select(F.col("g").alias("key"),
                                   F.log10(F.col("p") / (F.col("back") * F.col("share"))).alias("term"), "c"))
         terms.append(level.groupBy("h").agg(F.first("share").alias("share"), F.sum("c").alias("c"))
@@ -148,6 +153,9 @@ def fit_terms(texts: DataFrame, order: int) -> tuple[DataFrame, int, float]:
     for t in terms[1:]:
         table = table.unionByName(t)
     table = stage(table, "kn-terms")
+    for used in (rows, *levels):
+        unstage(used)
+    release(spark)
     return table, table.count(), float(np.log10(unknown))
 
 
