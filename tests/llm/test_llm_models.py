@@ -177,6 +177,51 @@ def test_quality_classifier_trains_on_half_of_all_trusted_documents(spark):
         assert sorted(map(repr, parts.selectExpr("text", "round(log10_prob, 4)").collect())) == whole
 
 
+def test_pair_hash_is_that_of_spark(spark):
+    rows = [(0, 0), (-1, 7), (2 ** 62, -2 ** 63)]
+    want = spark.createDataFrame(rows, "a long, b long").selectExpr("xxhash64(a, b) as h").collect()
+    a, b = (np.array(x, np.int64).view(np.uint64) for x in zip(*rows))
+    assert [r["h"] for r in want] == ql._pair_hash(a, b).view(np.int64).tolist()
+
+
+def test_packed_keys_come_back():
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 500):
+        keys = np.sort(rng.integers(0, 2 ** 64, n, dtype=np.uint64))
+        for kind in (np.uint16, np.float32):
+            values = rng.integers(0, 60000, n).astype(kind)
+            got = ql._unpack(ql._pack(keys, values), kind)
+            assert (got[0] == keys).all() and (got[1] == values).all()
+
+
+@pytest.mark.parametrize("order", [2, 3])
+def test_quality_model_and_scores_in_slices(spark, monkeypatch, order):
+    """Contexts joined and texts asked a slice at a time, without broadcast, with copies of texts."""
+    docs = small(spark)[0].limit(60).select("text")
+    docs = docs.unionByName(docs.limit(20)).unionByName(spark.createDataFrame([(None,), ("",)], "text string"))
+
+    def scores(**options):
+        model = ql.QualityModel(*ql.fit_terms(docs.limit(30), order), order)
+        return sorted((r["text"] or "", r["n_words"], round(r["log10_prob"], 2))
+                      for r in ql.log_probs(docs, "text", model, **options).collect())
+
+    whole = scores()
+    for name, value in (("WORDS", 0), ("SLICE_BYTES", 0), ("SLICES", 3)):
+        monkeypatch.setattr(ql, name, value)
+    parts = scores(in_tasks_up_to=5)
+    assert [w[:2] for w in whole] == [p[:2] for p in parts] and len(parts) == 82
+    assert all(abs(w[2] - p[2]) <= 0.02 for w, p in zip(whole, parts))
+
+
+def test_rejection_with_a_large_model_does_not_shuffle_texts(spark, monkeypatch):
+    docs, labels = small(spark)
+    whole = {r["doc_id"] for r in ql.keep_accepted(docs, labels).collect()}
+    monkeypatch.setattr(ql, "MODEL_ROWS", 100)
+    kept = ql.keep_accepted(docs, labels)
+    assert "hashpartitioning" not in kept._jdf.queryExecution().executedPlan().toString()
+    assert {r["doc_id"] for r in kept.collect()} == whole and kept.columns == docs.columns
+
+
 def test_quality_classifier_without_trusted_documents(spark):
     docs, labels = small(spark)
     assert ql.fit_quality_model(docs, labels.limit(0)) is None
@@ -189,6 +234,37 @@ def test_lcs_length():
     assert lcs_length([], [1]) == 0 and lcs_length([5], []) == 0
 
 
+def test_lcs_of_many_texts_at_once():
+    rng = np.random.default_rng(5)
+    vocab = np.arange(12, dtype=np.uint64)
+    items = [rng.integers(0, 12, n).tolist() for n in (0, 1, 7, 63, 64)]
+    word = rng.integers(0, 12, 400)
+    k, begin = rng.integers(0, 5, 300), rng.integers(0, 400, 300)
+    end = np.minimum(begin + rng.integers(0, 90, 300), 400)
+    got = dc._lcs_lengths(dc._word_bits(items, vocab), np.array([len(i) for i in items]), k, word, begin, end)
+    assert got.tolist() == [lcs_length(items[i], word[a:b].tolist()) for i, a, b in zip(k, begin, end)]
+
+
+def test_cells_that_hold_a_feature_and_products_of_cells():
+    texts = pa.array(["a b a c " * 9, "", None, "a " * 40, "q"])
+    df, total, y = Counter(), 0, np.zeros((dc.FEATURES, 4), np.float32)
+    w = dc._test_matrix(7, 4)
+    for block in ar.blocks(texts):
+        words = block.words(lower=True)
+        for lo, hi in zip(words.offs[:-1], words.offs[1:]):
+            for at in range(lo, hi, dc.CELL):
+                cell = dc._feature(words.hashes[at:min(at + dc.CELL, hi)])
+                df.update(set(cell.tolist()))
+                total += 1
+                for f in cell:
+                    y[f] += w[cell].sum(0)
+    rows = next(dc._frequencies(iter([pa.RecordBatch.from_arrays([texts], names=["text"])])))
+    assert dict(zip(*(c.to_pylist() for c in rows.columns))) == {**df, -1: total}
+    out = np.zeros_like(y)
+    dc._add_products(out, texts, np.ones(dc.FEATURES, np.float32), w)
+    assert np.allclose(out, y, rtol=1e-4, atol=1e-3)
+
+
 def test_contamination_finds_copies_and_paraphrases(spark):
     docs, _ = small(spark)
     bench = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet")
