@@ -245,6 +245,15 @@ def test_lcs_of_many_texts_at_once():
     assert got.tolist() == [lcs_length(items[i], word[a:b].tolist()) for i, a, b in zip(k, begin, end)]
 
 
+def test_words_are_found_by_leading_bits():
+    rng = np.random.default_rng(2)
+    vocab = np.unique(np.append(rng.integers(0, 2 ** 64, 300, dtype=np.uint64), np.arange(9, dtype=np.uint64) * 3))
+    asked = np.append(rng.choice(vocab, 500), rng.integers(0, 40, 500).astype(np.uint64))
+    place, number = dc._known(asked, vocab, dc._directory(vocab))
+    assert place.tolist() == np.flatnonzero(np.isin(asked, vocab)).tolist()
+    assert (vocab[number] == asked[place]).all()
+
+
 def test_cells_that_hold_a_feature_and_products_of_cells():
     texts = pa.array(["a b a c " * 9, "", None, "a " * 40, "q"])
     df, total, y = Counter(), 0, np.zeros((dc.FEATURES, 4), np.float32)
