@@ -14,7 +14,8 @@ short texts.
 
 The model grows with the corpus. Its ``MODEL_ROWS`` most frequent terms at most go to the
 tasks, where texts are scored as they are read; n-grams that are not among them go, packed
-by block of texts, to the other terms' shards, which send back sums.
+by block of texts, to the other terms' shards, which send back sums. The other terms are dealt
+out once and stay where they are; every text is asked for once, for thresholds and decisions.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -39,7 +41,7 @@ START = ar.U64(0x5851F42D4C957F2D)
 CONTEXT = ar.U64(0xA0761D6478BD642F)
 LEAST = 20                # trusted documents that a threshold of their own takes
 COUNTS = 4096             # counts that are told apart when the most frequent terms are chosen
-WORDS = 2_000_000         # words or contexts that are broadcast; more meet the n-grams by shuffle
+WORDS = 100_000           # words or contexts that are broadcast; more meet the n-grams by shuffle
 SLICES = 8                # of what is asked or joined by shuffle; one is on disk at a time
 SLICE_BYTES = 64 << 20    # of a table that is scored in slices
 ASKED = 4 << 20           # bytes of text whose n-grams are asked for together
@@ -124,6 +126,12 @@ class QualityModel:
     overall: float | None = None
     short: float | None = None
     splits: dict = field(default_factory=dict)       # by how many terms go to the tasks
+    scored: tuple | None = None                      # frame, its text column, sums of its texts
+
+    def sums_of(self, docs: DataFrame, text_col: str) -> DataFrame | None:
+        """What ``text_log_probs`` gave for the frame that the model was fitted on."""
+        known = self.scored is not None and self.scored[0] is docs and self.scored[1] == text_col
+        return self.scored[2] if known else None
 
 
 def _cut(counts: DataFrame) -> Column:
@@ -165,9 +173,9 @@ def fit_terms(texts: DataFrame, order: int) -> tuple[DataFrame, int, float]:
     parts, n_terms = [stage(lower.select(F.col("g").alias("key"), F.log10(F.col("p") / F.lit(unknown))
                                          .cast("float").alias("term"), "c"), "kn-terms")], vocabulary
     for n in range(2, order + 1):
-        level = raw.where(F.col("n") == n).select("h", "s", "c", F.xxhash64("h", "s").alias("g"))
+        level, name = raw.where(F.col("n") == n).select("h", "s", "c"), F.xxhash64("h", "s").alias("g")
         if n < order:
-            level = stage(level.drop("c").join(before(n), "g"), "kn-adjusted")
+            level = stage(level.select("h", "s", name).join(before(n), "g").drop("g"), "kn-adjusted")
             used.append(level)
         cut = _cut(level)
         heads = stage(level.groupBy("h").agg(F.sum("c").alias("total"),
@@ -186,11 +194,11 @@ def fit_terms(texts: DataFrame, order: int) -> tuple[DataFrame, int, float]:
             rows = (rows.join(bounded_broadcast(heads, WORDS), "h").join(bounded_broadcast(back, WORDS), "s")
                     .withColumn("p", (F.col("c") - cut) / F.col("total") + F.col("share") * F.col("back")))
             term = F.log10(F.col("p") / (F.col("back") * F.col("share"))).cast("float")
-            columns = [F.col("g").alias("key"), term.alias("term"), "c"]
+            rows = rows.select(name, "p", "back", "share", "c")
             if n < order:
-                rows = stage(rows.select("g", "p", "back", "share", "c"), "kn-level")
+                rows = stage(rows, "kn-level")
                 done.append(rows)
-            parts.append(stage(rows.select(*columns), "kn-terms"))
+            parts.append(stage(rows.select(F.col("g").alias("key"), term.alias("term"), "c"), "kn-terms"))
             release(spark)
         used += done
         if n < order:
@@ -375,31 +383,27 @@ def _ask_rows(model: QualityModel, table, shards: int):
     return run
 
 
-def _answer_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The shards' answers to blocks: sums of the terms found, by document; the blocks' own
+def _answers(key: tuple, asked: pa.Table, terms: pa.Table) -> pa.Table:
+    """A shard's answers to blocks: sums of the terms found, by document; the blocks' own
     rows pass through."""
-    asked, terms = {}, {}
-    for b in batches:
-        for shard, block, kind, data in zip(*(c.to_pylist() for c in b.columns)):
-            if kind == 1:
-                yield _packed((shard, block, kind, data))
-            elif kind == 2:
-                terms[shard] = data
-            else:
-                asked.setdefault(shard, {})[block] = data
-    for shard, blocks in asked.items():
-        if shard not in terms:
+    out = []
+    keys, values = _unpack(terms.column("data")[0].as_py(), np.float32) if terms.num_rows else (None, None)
+    for shard, block, kind, data in zip(*(asked.column(c) for c in ("shard", "block", "kind", "data"))):
+        shard, block, kind, data = (x.as_py() for x in (shard, block, kind, data))
+        if kind == 1:
+            out.append(_packed((shard, block, kind, data)))
+            continue
+        if keys is None:
             continue
-        keys, values = _unpack(terms.pop(shard), np.float32)
-        for block, data in blocks.items():
-            n, width = (int(x) for x in np.frombuffer(data, np.int64, 2))
-            g, doc = _unpack(data, np.uint16 if len(data) == 24 + n * (width + 2) else np.uint32)
-            at = np.minimum(np.searchsorted(keys, g), len(keys) - 1)
-            hit = np.flatnonzero(keys[at] == g)
-            if len(hit):
-                doc, which = np.unique(doc[hit], return_inverse=True)
-                sums = np.bincount(which, values[at[hit]]).astype(np.float32)
-                yield _packed((shard, block, 0, _pack(doc.astype(ar.U64), sums)))
+        n, width = (int(x) for x in np.frombuffer(data, np.int64, 2))
+        g, doc = _unpack(data, np.uint16 if len(data) == 24 + n * (width + 2) else np.uint32)
+        at = np.minimum(np.searchsorted(keys, g), len(keys) - 1)
+        hit = np.flatnonzero(keys[at] == g)
+        if len(hit):
+            doc, which = np.unique(doc[hit], return_inverse=True)
+            sums = np.bincount(which, values[at[hit]]).astype(np.float32)
+            out.append(_packed((shard, block, 0, _pack(doc.astype(ar.U64), sums))))
+    return pa.Table.from_batches(out, _packed((0, 0, 0, b"")).schema)
 
 
 def _sum_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -460,17 +464,21 @@ def text_log_probs(docs: DataFrame, text_col: str, model: QualityModel, split: _
 
     N-grams that are not among the broadcast terms go to the others' shards, packed by block
     of texts, and come back as sums; a slice of the texts at a time, so that what is
-    shuffled stays small on disk.
+    shuffled stays small on disk. The terms go to their shards once, for all slices.
     """
     spark, parts = docs.sparkSession, partitions_for(docs)
     texts = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
                         _text_hash(text_col).alias("__th"))
     slices = slices if SLICE_BYTES <= table_bytes(docs) < UNKNOWN else 1
-    out = None
+    out, tail = None, split.tail
+    if slices > 1:
+        tail = tail.repartition(split.shards // 4, "shard").persist(StorageLevel.DISK_ONLY)
+        tail.count()
+        release(spark)
     for i in range(slices):
         some = texts.where(F.pmod("__th", F.lit(slices)) == i) if slices > 1 else texts
-        sums = (some.mapInArrow(_ask_rows(model, split.table, split.shards), PACKED).unionByName(split.tail)
-                .repartition(max(parts, split.shards // 4), "shard").mapInArrow(_answer_rows, PACKED)
+        sums = (some.mapInArrow(_ask_rows(model, split.table, split.shards), PACKED).groupBy("shard")
+                .cogroup(tail.groupBy("shard")).applyInArrow(_answers, PACKED)
                 .repartition(parts, "block")
                 .mapInArrow(_sum_rows, "__th long, n_words long, log10_prob double")
                 .groupBy("__th").agg(F.first("n_words").alias("n_words"),
@@ -478,16 +486,19 @@ def text_log_probs(docs: DataFrame, text_col: str, model: QualityModel, split: _
         sums = stage(sums, "kn-sums")
         release(spark)
         out = sums if out is None else out.unionByName(sums)
+    if slices > 1:
+        tail.unpersist()
     return out
 
 
 def log_probs(docs: DataFrame, text_col: str, model: QualityModel,
-              in_tasks_up_to: int | None = None, slices: int | None = None) -> DataFrame:
-    """Adds n_words and log10_prob under the whole model."""
+              in_tasks_up_to: int | None = None, sums: DataFrame | None = None) -> DataFrame:
+    """Adds n_words and log10_prob under the whole model; ``sums``: of all texts, where known."""
     split = _split(model, MODEL_ROWS if in_tasks_up_to is None else in_tasks_up_to)
     if split.tail is None:
         return _score_in_tasks(docs, text_col, model, split.table)
-    sums = text_log_probs(docs, text_col, model, split, slices or SLICES)
+    if sums is None:
+        sums = text_log_probs(docs, text_col, model, split, SLICES)
     return (docs.withColumn("__th", _text_hash(text_col)).join(bounded_broadcast(sums, IDS), "__th")
             .select(*docs.columns, "n_words", "log10_prob"))
 
@@ -508,7 +519,8 @@ def fit_quality_model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id"
     ``quantile`` of their perplexities times ``margin``, by language (null: '') for
     ``min_words`` words at least, and over all languages for shorter texts. With fewer than
     ``LEAST`` documents, a language takes the threshold of all languages, and short texts take
-    that of texts of any length. None without trusted documents.
+    that of texts of any length. None without trusted documents. Where texts are not scored as they
+    are read, all texts of ``docs`` are scored here, and ``classify`` of the same frame uses that.
     """
     require(docs, id_col, text_col, lang_col)
     require(labels, id_col, "quality", "toxic")
@@ -530,8 +542,11 @@ def fit_quality_model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id"
         asked, held = asked.where(~half), trusted.where(~half)
     else:
         held = trusted.join(train, "__id", "left_anti")
+    split = _split(model, MODEL_ROWS)
+    if split.tail is not None:
+        model.scored = docs, text_col, text_log_probs(docs, text_col, model, split, SLICES)
     scored = (log_probs(asked.join(bounded_broadcast(held, IDS), "__id", "left_semi"), "text", model,
-                        slices=max(1, SLICES // 2))        # half of the documents at most
+                        sums=model.sums_of(docs, text_col))
               .where("n_words > 0")
               .select("lang", (F.col("n_words") < min_words).alias("short"),
                       F.round(F.log(_perplexity()) * GRID).alias("step")))
@@ -572,7 +587,8 @@ def classify(docs: DataFrame, model: QualityModel | None, text_col: str = "text"
         known = F.create_map(*[F.lit(x) for pair in sorted(model.thresholds.items()) for x in pair])
         bound = F.coalesce(known[F.coalesce(F.col(lang_col), F.lit(""))], bound)
     bound = F.when(F.col("n_words") < min_words, F.lit(model.short).cast("double")).otherwise(bound)
-    return (log_probs(rows, text_col, model).withColumn("perplexity", _perplexity())
+    return (log_probs(rows, text_col, model, sums=model.sums_of(docs, text_col))
+            .withColumn("perplexity", _perplexity())
             .withColumn("threshold", bound)
             .withColumn("accepted", F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))))
 
@@ -586,8 +602,7 @@ def keep_accepted(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     model = fit_quality_model(docs, labels, **options)
     if model is not None and _split(model, MODEL_ROWS).tail is not None:
         lang = F.coalesce(F.col("lang"), F.lit("")).alias("__lang")
-        rows = docs.select("text", "lang")
-        rejected = stage(classify(rows, model).where("not accepted")
+        rejected = stage(classify(docs, model).where("not accepted")
                          .select(_text_hash("text").alias("__th"), lang).distinct(), "kn-rejected")
         return (docs.withColumns({"__th": _text_hash("text"), "__lang": F.coalesce(F.col("lang"), F.lit(""))})
                 .join(bounded_broadcast(rejected, IDS), ["__th", "__lang"], "left_anti")

@@ -222,6 +222,51 @@ def test_rejection_with_a_large_model_does_not_shuffle_texts(spark, monkeypatch)
     assert {r["doc_id"] for r in kept.collect()} == whole and kept.columns == docs.columns
 
 
+def plans_of(monkeypatch, name):
+    """Plans of the tables that are staged under ``name`` from here on."""
+    plans, stage = [], ql.stage
+
+    def staged(df, to):
+        if to == name:
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stage(df, to)
+
+    monkeypatch.setattr(ql, "stage", staged)
+    return plans
+
+
+def test_texts_are_asked_once_and_terms_dealt_once(spark, monkeypatch):
+    docs, labels = small(spark)
+    whole = {r["doc_id"]: r["log10_prob"] for r in
+             ql.classify(docs, ql.fit_quality_model(docs, labels)).collect()}
+    for name, value in (("MODEL_ROWS", 100), ("SLICE_BYTES", 0), ("SLICES", 3)):
+        monkeypatch.setattr(ql, name, value)
+    plans = plans_of(monkeypatch, "kn-sums")
+    model = ql.fit_quality_model(docs, labels)
+    got = {r["doc_id"]: r["log10_prob"] for r in ql.classify(docs, model).collect()}
+    assert got.keys() == whole.keys() and all(got[k] == pytest.approx(whole[k], abs=1e-2) for k in got)
+    assert len(plans) == 3                        # for thresholds and decisions together
+    for p in plans:                               # the terms lie by shard, only what is asked is shuffled
+        assert "InMemoryTableScan" in p
+        above = p.split("InMemoryRelation")[0]
+        assert above.count("hashpartitioning(shard") == 1, p
+    other = docs.limit(5)                         # not the frame that was scored
+    assert ql.classify(other, model).count() == 5 and len(plans) > 3
+
+
+def test_many_words_are_not_broadcast(spark, monkeypatch):
+    plans = plans_of(monkeypatch, "kn-terms")
+    texts = spark.range(120_000).selectExpr("concat('a', id, ' b', id) as text")
+    least = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)      # only what the library asks for
+    try:
+        _, n, _ = ql.fit_terms(texts, 2)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", least)
+    assert n == 240_000 + 120_001 + 240_000       # words, contexts, bigrams
+    assert len(plans) > 2 and not any("Broadcast" in p for p in plans)
+
+
 def test_quality_classifier_without_trusted_documents(spark):
     docs, labels = small(spark)
     assert ql.fit_quality_model(docs, labels.limit(0)) is None
