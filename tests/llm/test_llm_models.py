@@ -256,6 +256,7 @@ def test_texts_are_asked_once_and_terms_dealt_once(spark, monkeypatch):
 
 def test_many_words_are_not_broadcast(spark, monkeypatch):
     plans = plans_of(monkeypatch, "kn-terms")
+    monkeypatch.setattr(ql, "SLICES", 2)
     texts = spark.range(120_000).selectExpr("concat('a', id, ' b', id) as text")
     least = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)      # only what the library asks for
