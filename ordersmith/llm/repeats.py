@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from . import arrays as ar
 from .staging import partitions_for, stage
 
+BLOCK = 1 << 18          # bytes of text whose windows are in memory together (some 80 bytes for each)
 FLUSH = 1 << 18          # rows a task sorts at once: tens of MB of arrays and their sorted copies
 SAMPLE = 1 / 16
 HOT_KEYS = 4096          # most k-grams spread by context: a bounded list in the task closure
@@ -123,7 +124,7 @@ def _anchor_rows(spec: Spec, hot: np.ndarray):
         parts, size = [], 0
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for block in ar.blocks(batch.column(1)):
+            for block in ar.blocks(batch.column(1), BLOCK):
                 win, _ = spec.windows(block)
                 if not len(win.at):
                     continue
@@ -230,7 +231,7 @@ def _open_rows(spec: Spec):
         for batch in batches:
             ids, ths = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             events, event_offs = _lists(batch.column(3))
-            for block in ar.blocks(batch.column(2)):
+            for block in ar.blocks(batch.column(2), BLOCK):
                 win, _ = spec.windows(block)
                 lo, hi = event_offs[block.lo], event_offs[block.lo + block.n]
                 mine = events[lo:hi].view(ar.U64)
@@ -354,7 +355,7 @@ def _outcome(spec: Spec, text_at: int, columns: int):
             repeated, rep_offs = _lists(batch.column(columns))
             opened, open_offs = _lists(batch.column(columns + 1))
             firsts, first_offs = _lists(batch.column(columns + 2))
-            for block in ar.blocks(batch.column(text_at)):
+            for block in ar.blocks(batch.column(text_at), BLOCK):
                 rows = slice(block.lo, block.lo + block.n + 1)
                 if spec.words:
                     win, words = spec.windows(block) if spec.by_doc else (None, block.words())
