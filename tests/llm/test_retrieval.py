@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 from ordersmith.llm import arrays as ar
 from ordersmith.llm import decontaminate as dc
-from ordersmith.llm.decontaminate import CELL, contamination
+from ordersmith.llm.decontaminate import CELL, contamination, remove_contaminated
 
 WORDS = [f"word{i}" for i in range(500)]
 
@@ -112,3 +112,13 @@ def test_no_leak_depends_on_the_threshold(spark):
     bench = spark.createDataFrame(asked, "item_id long, text string")
     out = {t: sorted(map(str, contamination(docs, bench, rank=20, threshold=t).collect())) for t in (0.3, 2.0)}
     assert out[0.3] == out[2.0] and len(out[0.3]) >= 46
+
+
+def test_the_pipeline_drops_the_same_documents(spark):
+    rng = random.Random(6)
+    asked = [(k, words_of(rng, 25)) for k in range(3)]
+    rows = [(k, words_of(rng, 70) + (" " + asked[k % 3][1] if k % 5 == 0 else "")) for k in range(30)]
+    docs = spark.createDataFrame([*rows, (None, words_of(rng, 20)), (31, None)], "doc_id long, text string")
+    bench = spark.createDataFrame(asked, "item_id long, text string")
+    left = {t: {r["doc_id"] for r in remove_contaminated(docs, bench, rank=20, threshold=t).collect()} for t in (0.3, 2.0)}
+    assert left[0.3] == left[2.0] == {k for k in range(30) if k % 5} | {None, 31}
