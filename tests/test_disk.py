@@ -3,9 +3,13 @@ import glob
 import os
 import time
 
-from ordersmith.plans import jobs
+import pytest
+
+from conftest import SF_SMALL
+from ordersmith.plans import jobs, registry
 from ordersmith.sinks import staging
-from ordersmith.sources.files import read_order_items
+from ordersmith.sources import testbed as tb
+from ordersmith.sources.files import read_csv, read_order_items
 from test_jobs import files, write_csv
 
 
@@ -73,6 +77,20 @@ def test_the_first_row_of_an_item_wins_over_many_files(spark, tmp_path, monkeypa
     assert jobs.staged(spark, cfg, "raw_order_items").first()["product_id"] == "p7"
 
 
+@pytest.mark.parametrize("broken", [False])
+def test_exports_hold_the_rows_of_the_tables(spark, tmp_path, monkeypatch, broken):
+    monkeypatch.setattr(staging, "MESSAGES_PER_FILE", 100)
+    t = tb.Tables(spark, SF_SMALL)
+    paths = registry._csv_files(t, str(tmp_path), broken)
+    df = tb.raw_payments(t)
+    df = df.select(*[df[c].cast("string") for c in df.columns])
+    got = read_csv(spark, paths["payments_csv"], df.schema)
+    assert len(glob.glob(f"{paths['payments_csv']}/part-*.gz")) > 1
+    if not broken:
+        assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, df.collect()), key=repr)
+    assert got.count() == df.count()
+
+
 def test_tables_are_written_by_the_smaller_codec(spark, tmp_path):
     cfg = config(tmp_path)
     jobs.load_all(spark, cfg, (jobs.publish_events(spark, cfg, 1), 1)[1])
