@@ -77,7 +77,7 @@ def test_the_first_row_of_an_item_wins_over_many_files(spark, tmp_path, monkeypa
     assert jobs.staged(spark, cfg, "raw_order_items").first()["product_id"] == "p7"
 
 
-@pytest.mark.parametrize("broken", [False])
+@pytest.mark.parametrize("broken", [False, True])
 def test_exports_hold_the_rows_of_the_tables(spark, tmp_path, monkeypatch, broken):
     monkeypatch.setattr(staging, "MESSAGES_PER_FILE", 100)
     t = tb.Tables(spark, SF_SMALL)
